@@ -1,0 +1,110 @@
+"""Window builds of the daily liquidity fact.
+
+``build_window`` is the E1 plan of every registry-based exchange:
+
+  change log  --broadcast join-->  registered (pool, token, index)
+              --union-->           seed rows from the stored table
+              --forward fill-->    one row per (pool, token, index, day)
+              --left joins-->      token symbol/decimals, midnight price, pool name
+              --project-->         the 13 columns of the fact table
+
+Shuffles: the daily compaction (partial aggregation first), the interval
+window (on compacted rows), and the price join unless the daily price
+table is small enough to broadcast.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+from typing import Callable
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from poolbook.operators import fill, labels as L, pools, value
+from poolbook.plans.config import SEED_LOOKBACK_DAYS, PoolJob
+
+LIQUIDITY_COLUMNS = [
+    "day", "token_symbol", "token_amount", "pool_name", "project", "version", "category",
+    "token_amount_raw", "token_usd_amount", "token_address", "pool_address", "token_index",
+    "token_pool_percentage",
+]
+
+
+@dataclass
+class Sources:
+    """The inputs of a window build, as DataFrame factories.
+
+    balances: (wallet_address, token_address, amount_raw, timestamp[, tie])
+    registry: exchange-specific; pool_tokens() turns it into (pool, token, token_index)
+    tokens:   (contract_address, symbol, decimals)
+    prices:   (contract_address, minute, price)
+    labels:   (address, label, type, author) or None
+    trades:   (contract_address, evt_block_time) for activity filters, or None
+    """
+
+    balances: Callable[[], DataFrame]
+    registry: Callable[[], DataFrame]
+    tokens: Callable[[], DataFrame]
+    prices: Callable[[], DataFrame]
+    labels: Callable[[], DataFrame] | None = None
+    trades: Callable[[], DataFrame] | None = None
+    tie: str | None = None
+
+
+def pool_tokens(job: PoolJob, registry: DataFrame) -> DataFrame:
+    """(pool, token, token_index) of the job's registry."""
+    if job.registry_kind == "pair":
+        return pools.unpivot_registry(registry, job.pool_col, list(job.index))
+    if job.registry_kind == "single":
+        return pools.unpivot_registry(registry, job.pool_col, [("token", job.constant_index)])
+    if job.registry_kind == "membership":
+        has_index = "token_index" in registry.columns
+        idx = F.col("token_index") if has_index else F.lit(job.constant_index)
+        return registry.select("pool", "token", idx.alias("token_index")).distinct()
+    raise ValueError(f"unknown registry kind {job.registry_kind!r}")
+
+
+def build_window(job: PoolJob, src: Sources, start, end, stored: DataFrame | None = None,
+                 seed_mode: str = "lookback", lookback_days: int = SEED_LOOKBACK_DAYS,
+                 as_of=None) -> DataFrame:
+    """Rows of the fact table for days in ``[start, end)`` (not yet written)."""
+    changes = fill.in_window(src.balances(), "timestamp", start, end)
+    if job.exclude:
+        changes = pools.exclude_pools(changes, list(job.exclude))
+    if job.active_within_days is not None:
+        changes = pools.active_only(changes, src.trades(), as_of or end, job.active_within_days)
+    classified = pools.classify_index(changes, pool_tokens(job, src.registry()))
+    cols = ["wallet_address", "token_address", "amount_raw", "timestamp", "token_index"]
+    if src.tie:
+        cols.append(src.tie)
+    log = classified.select(*cols)
+    rank = None
+    if stored is not None:
+        mine = stored.where((F.col("project") == job.project) & (F.col("version") == job.version))
+        seeds = fill.seed_rows(mine, start, lookback_days, mode=seed_mode).select(
+            F.col("pool_address").alias("wallet_address"), "token_address",
+            F.col("token_amount_raw").alias("amount_raw"), "day", "token_index")
+        log = fill.seeded_changes(log, seeds, "timestamp", "amount_raw")
+        rank = "_src_rank"
+    daily = fill.forward_fill_daily(
+        log, ["wallet_address", "token_address", "token_index"], "amount_raw", "timestamp",
+        start, end, rank=rank, tie=src.tie)
+    rows = daily.select(
+        "day",
+        F.col("wallet_address").alias("pool_address"),
+        "token_address",
+        "token_index",
+        F.col("amount_raw").alias("token_amount_raw"),
+    )
+    valued = value.value_at_day_open(rows, src.tokens(), src.prices(), start=start, end=end)
+    if src.labels is not None:
+        valued = L.attach_label(valued, src.labels(), "pool_address")
+    else:
+        valued = valued.withColumn("pool_name", F.lit(None).cast("string"))
+    share = F.lit(job.share).cast("double") if job.share is not None else F.lit(None).cast("double")
+    out = (valued.withColumn("project", F.lit(job.project))
+           .withColumn("version", F.lit(job.version))
+           .withColumn("category", F.lit(job.category))
+           .withColumn("token_pool_percentage", share))
+    return out.select(*LIQUIDITY_COLUMNS)

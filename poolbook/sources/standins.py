@@ -112,12 +112,29 @@ def hourly(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+# Order priority -> token of the delta stand-in.
+PRIORITY_TOKEN = {
+    "1-URGENT": "click",
+    "2-HIGH": "error",
+    "3-MEDIUM": "purchase",
+    "4-NOT SPECIFIED": "signup",
+    "5-LOW": "view",
+}
+
+
+def _priority_token():
+    expr = None
+    for k, v in PRIORITY_TOKEN.items():
+        expr = F.when(F.col("o_orderpriority") == k, v) if expr is None else expr.when(F.col("o_orderpriority") == k, v)
+    return expr
+
+
 def deltas(spark: SparkSession, base: str) -> DataFrame:
     o = read_table(spark, base, "orders")
     signed = F.when(F.col("o_orderstatus") == "F", -F.col("o_totalprice")).otherwise(F.col("o_totalprice"))
     return o.select(
         F.col("o_custkey").alias("pool"),
-        F.col("o_orderpriority").alias("token"),
+        _priority_token().alias("token"),
         F.col("o_orderdate").alias("evt_block_time"),
         F.col("o_orderkey").alias("tie"),
         signed.cast("decimal(18,2)").alias("delta"),
@@ -148,3 +165,141 @@ def trades(spark: SparkSession, base: str) -> DataFrame:
         F.col("l_returnflag").alias("token_a_address"),
         F.col("l_linestatus").alias("token_b_address"),
     )
+
+
+def supplier_registry(spark: SparkSession, base: str) -> DataFrame:
+    """Second pair registry (suppliers), same token rule as ``pair_registry``."""
+    c = read_table(spark, base, "supplier")
+    k = F.col("s_suppkey") % 3
+    t0 = t1 = None
+    for r, (a, b) in STANDIN_PAIRS.items():
+        t0 = (F.when(k == r, a) if t0 is None else t0.when(k == r, a))
+        t1 = (F.when(k == r, b) if t1 is None else t1.when(k == r, b))
+    return c.select(F.col("s_suppkey").alias("pair"), t0.alias("token0"), t1.alias("token1"))
+
+
+def swaps_activity(spark: SparkSession, base: str) -> DataFrame:
+    """Swap events (pool, time): the 'purchase' events of each wallet."""
+    ev = read_table(spark, base, "events")
+    return ev.where(F.col("event_type") == "purchase").select(
+        F.col("user_id").alias("contract_address"), F.col("ts").alias("evt_block_time"))
+
+
+def curve_trades(spark: SparkSession, base: str) -> DataFrame:
+    """Trades naming two tokens of a pool: events above 250 are trades of
+    their type against 'click' (or 'view' for clicks)."""
+    ev = read_table(spark, base, "events")
+    other = F.when(F.col("event_type") == "click", "view").otherwise("click")
+    return ev.where(F.col("value") > 250).select(
+        F.col("user_id").alias("exchange_contract_address"),
+        F.col("event_type").alias("token_a_address"),
+        other.alias("token_b_address"),
+    )
+
+
+def vault_swaps(spark: SparkSession, base: str) -> DataFrame:
+    li = read_table(spark, base, "lineitem")
+    return li.select(
+        F.col("l_suppkey").alias("pool"),
+        F.col("l_returnflag").alias("token_in"),
+        F.col("l_quantity").cast("decimal(38,2)").alias("amount_in"),
+        F.col("l_linestatus").alias("token_out"),
+        F.col("l_extendedprice").cast("decimal(38,2)").alias("amount_out"),
+        F.col("l_shipdate").alias("ts"),
+    )
+
+
+def vault_balance_changes(spark: SparkSession, base: str) -> DataFrame:
+    """Join/exit events with token and delta arrays; 'P' orders carry one
+    delta for two tokens (the second token's delta is missing)."""
+    o = read_table(spark, base, "orders")
+    price = F.col("o_totalprice").cast("decimal(38,2)")
+    other = -F.col("o_custkey").cast("decimal(38,2)")
+    return o.select(
+        F.col("o_custkey").alias("pool"),
+        F.array(F.col("o_orderpriority"), F.col("o_orderstatus")).alias("tokens"),
+        F.when(F.col("o_orderstatus") == "P", F.array(price)).otherwise(F.array(price, other)).alias("deltas"),
+        F.col("o_orderdate").alias("ts"),
+    )
+
+
+def vault_managed(spark: SparkSession, base: str) -> DataFrame:
+    o = read_table(spark, base, "orders")
+    return o.where(F.col("o_orderstatus") == "O").select(
+        F.col("o_custkey").alias("pool"),
+        F.col("o_orderpriority").alias("token"),
+        F.col("o_totalprice").cast("decimal(38,2)").alias("cash_delta"),
+        (-F.col("o_orderkey").cast("decimal(38,2)")).alias("managed_delta"),
+        F.col("o_orderdate").alias("ts"),
+    )
+
+
+def vault_internal(spark: SparkSession, base: str) -> DataFrame:
+    li = read_table(spark, base, "lineitem")
+    return li.select(
+        F.col("l_linestatus").alias("token"),
+        F.col("l_tax").cast("decimal(38,2)").alias("delta"),
+        F.col("l_shipdate").alias("ts"),
+    )
+
+
+def pool_registrations(spark: SparkSession, base: str) -> DataFrame:
+    """(pool_id, tx): pages registered as pools; the id is a 64-hex-digit
+    hash, its first 40 digits play the 20-byte pool address."""
+    p = read_table(spark, base, "pages")
+    return p.select(F.sha2(F.col("url"), 256).alias("pool_id"), F.col("page_id").alias("tx"))
+
+
+def pool_creations(spark: SparkSession, base: str, kind: str) -> DataFrame:
+    """Factory calls from embeddings: label 0-3 weighted (3 tokens, 2
+    weights), 4-6 two-token (2 and 2), 7-9 stable (3 tokens, no weights).
+    Weights are fixed-point with 1e18 = 100 %."""
+    e = read_table(spark, base, "embeddings")
+    n_tokens = {"WP": 3, "WP2T": 2, "SP": 3}[kind]
+    cond = {"WP": F.col("label") < 4, "WP2T": (F.col("label") >= 4) & (F.col("label") < 7), "SP": F.col("label") >= 7}[kind]
+    tokens = F.transform(F.slice("embedding", 1, n_tokens), lambda x: F.round(x.cast("double") * 1000).cast("bigint"))
+    cols = [F.col("vec_id").alias("tx"), tokens.alias("tokens"),
+            F.concat(F.lit("BPT-"), F.col("label").cast("string")).alias("symbol")]
+    if kind != "SP":
+        weights = F.transform(F.slice("embedding", 4, 2),
+                              lambda x: (F.round(F.abs(x.cast("double")) * 100) * F.lit(1e16)).cast("decimal(20,0)"))
+        cols.insert(2, weights.alias("weights"))
+    return e.where(cond).select(*cols)
+
+
+def event_transfers(spark: SparkSession, base: str) -> DataFrame:
+    """Token transfers between wallets: each event moves value*100 of its
+    type from the user to the wallet named by the event's ``k`` property."""
+    ev = read_table(spark, base, "events")
+    return ev.select(
+        F.col("event_type").alias("contract_address"),
+        F.col("user_id").alias("from"),
+        F.get_json_object("props", "$.k").cast("bigint").alias("to"),
+        F.round(F.col("value") * 100).cast("decimal(38,0)").alias("value"),
+        F.col("ts").alias("evt_block_time"),
+    )
+
+
+def event_vault_swaps(spark: SparkSession, base: str) -> DataFrame:
+    """Vault swaps: each 'purchase' swaps value*100 'purchase' in for
+    value*40 'click' out of pool user_id."""
+    ev = read_table(spark, base, "events")
+    return ev.where(F.col("event_type") == "purchase").select(
+        F.col("user_id").alias("pool"),
+        F.lit("purchase").alias("token_in"),
+        F.round(F.col("value") * 100).cast("decimal(38,0)").alias("amount_in"),
+        F.lit("click").alias("token_out"),
+        F.round(F.col("value") * 40).cast("decimal(38,0)").alias("amount_out"),
+        F.col("ts").alias("ts"),
+    )
+
+
+def pool_weights(spark: SparkSession, base: str) -> DataFrame:
+    """(pool_id, token_address, normalized_weight) from the pair registry:
+    token0 weighs c_acctbal / 10000 (negative for some), token1 the rest."""
+    c = read_table(spark, base, "customer")
+    reg = pair_registry(spark, base).join(c.select(F.col("c_custkey").alias("pair"), "c_acctbal"), "pair")
+    w0 = F.col("c_acctbal") / F.lit(10000.0)
+    a = reg.select(F.col("pair").alias("pool_id"), F.col("token0").alias("token_address"), w0.alias("normalized_weight"))
+    b = reg.select(F.col("pair").alias("pool_id"), F.col("token1").alias("token_address"), (F.lit(1.0) - w0).alias("normalized_weight"))
+    return a.unionByName(b)
