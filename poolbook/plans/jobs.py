@@ -108,3 +108,136 @@ def build_window(job: PoolJob, src: Sources, start, end, stored: DataFrame | Non
            .withColumn("category", F.lit(job.category))
            .withColumn("token_pool_percentage", share))
     return out.select(*LIQUIDITY_COLUMNS)
+
+
+def vault_totals_changes(balances: DataFrame, vault, pool_defs: DataFrame) -> DataFrame:
+    """Q11 change log: balances of the one vault wallet, restricted to tokens
+    that belong to some registered pool (semi join), index ``token_x``."""
+    member = pools.member_tokens_only(balances, vault, pool_defs.select("token_address"))
+    return member.withColumn("token_index", F.lit("token_x"))
+
+
+def build_vault_totals_window(src: Sources, vault, pool_defs: DataFrame, start, end,
+                              project: str = "Balancer", version: str = "2",
+                              stored: DataFrame | None = None) -> DataFrame:
+    """Q11: daily vault totals per token (pool share unknown: NULL)."""
+    changes = fill.in_window(src.balances(), "timestamp", start, end)
+    log = vault_totals_changes(changes, vault, pool_defs).select(
+        "wallet_address", "token_address", "amount_raw", "timestamp", "token_index", *([src.tie] if src.tie else []))
+    rank = None
+    if stored is not None:
+        mine = stored.where((F.col("project") == project) & (F.col("version") == version))
+        seeds = fill.seed_rows(mine, start).select(
+            F.col("pool_address").alias("wallet_address"), "token_address",
+            F.col("token_amount_raw").alias("amount_raw"), "day", "token_index")
+        log = fill.seeded_changes(log, seeds, "timestamp", "amount_raw")
+        rank = "_src_rank"
+    daily = fill.forward_fill_daily(log, ["wallet_address", "token_address", "token_index"], "amount_raw",
+                                    "timestamp", start, end, rank=rank, tie=src.tie)
+    rows = daily.select("day", F.col("wallet_address").alias("pool_address"), "token_address", "token_index",
+                        F.col("amount_raw").alias("token_amount_raw"))
+    valued = value.value_at_day_open(rows, src.tokens(), src.prices(), start=start, end=end)
+    return (valued.withColumn("pool_name", F.lit(None).cast("string"))
+            .withColumn("project", F.lit(project)).withColumn("version", F.lit(version))
+            .withColumn("category", F.lit("DEX"))
+            .withColumn("token_pool_percentage", F.lit(None).cast("double"))
+            .select(*LIQUIDITY_COLUMNS))
+
+
+def build_deltas_window(deltas: DataFrame, pool_defs: DataFrame, tokens: DataFrame, prices: DataFrame,
+                        start, end, labels: DataFrame | None = None, project: str = "Balancer",
+                        version: str = "2", name_prefix: str = "Balancer v2 LP ",
+                        opening: DataFrame | None = None, ts: str = "ts") -> DataFrame:
+    """Q10: per-pool balances from signed deltas.
+
+    ``deltas``: (pool, token, delta, ts) -- the vault delta union (C12) at
+    event grain.  Daily sums (partial aggregation) feed a running balance
+    over days (+ optional opening balance), which is forward-filled over the
+    window.  ``pool_defs`` (pool_address, token_address, normalized_weight,
+    pool_name_symbolic) gives the share and the fallback pool name."""
+    upto = deltas.where(F.col(ts).cast("timestamp_ntz") < F.lit(fill._date(end)).cast("timestamp_ntz"))
+    if opening is not None:
+        upto = fill.in_window(upto, ts, start, end)
+    from poolbook.operators import balance
+
+    daily = balance.daily_deltas(upto, ["pool", "token"], ts, "delta")
+    rb = balance.running_balance(daily, ["pool", "token"], opening, start=start,
+                                 opening_keys=["pool_address", "token_address"] if opening is not None else None,
+                                 carry_inactive=opening is not None)
+    state = rb.select("pool", "token", "day", F.col("cumulative_amount").alias("token_amount_raw"))
+    filled = fill.expand_days(fill.close_intervals(state, ["pool", "token"], end), start, end)
+    defs = pool_defs.select(F.col("pool_address").alias("_d_pool"), F.col("token_address").alias("_d_tok"),
+                            "normalized_weight", "pool_name_symbolic")
+    rows = (filled.join(defs, (F.col("pool") == F.col("_d_pool")) & (F.col("token") == F.col("_d_tok")), "left")
+            .select("day", F.col("pool").alias("pool_address"), F.col("token").alias("token_address"),
+                    "token_amount_raw", "normalized_weight", "pool_name_symbolic"))
+    valued = value.value_at_day_open(rows, tokens, prices, start=start, end=end)
+    computed = F.when(F.col("pool_name_symbolic").isNotNull(),
+                      F.concat(F.lit(name_prefix), F.col("pool_name_symbolic")))
+    if labels is not None:
+        valued = L.attach_label(valued, labels, "pool_address", out="_label")
+        name = F.coalesce(F.col("_label"), computed)
+    else:
+        name = computed
+    return (valued.withColumn("pool_name", name)
+            .withColumn("project", F.lit(project)).withColumn("version", F.lit(version))
+            .withColumn("category", F.lit("DEX")).withColumn("token_index", F.lit("token_x"))
+            .withColumn("token_pool_percentage", F.col("normalized_weight").cast("double"))
+            .select(*LIQUIDITY_COLUMNS))
+
+
+VIEW_LIQUIDITY_COLUMNS = [
+    "block_time", "pool_address", "token_address", "token_symbol", "token_weight", "delta_token_amount",
+    "delta_token_amount_raw", "delta_usd_amount", "token_amount", "token_amount_raw", "usd_amount", "version",
+]
+
+
+def build_flows_window(flows_v1: DataFrame, deltas_v2: DataFrame, tokens: DataFrame, prices: DataFrame,
+                       hourly: DataFrame, weights: DataFrame, start, end, min_samples: int = 2,
+                       stored: DataFrame | None = None, carry_inactive: bool = False) -> DataFrame:
+    """Q12: the flow-based design.
+
+    flows_v1 / deltas_v2: (day, pool, token, amount) daily movements of the
+    two versions (C7 and C12).  They are summed per (day, version, pool,
+    token); the running balance per (pool, token) starts from the stored
+    snapshot of the day before ``start`` (C13); each balance holds until the
+    key's next movement (calendar left join, J5); valuation uses the daily
+    average price, else the as-of sparse median (C6); only rows with a
+    positive value and a positive pool weight are kept (J11, P11)."""
+    from poolbook.operators import balance
+
+    both = (flows_v1.select("day", F.lit("1").alias("version"), "pool", "token", F.col("amount").alias("amount"))
+            .unionByName(deltas_v2.select("day", F.lit("2").alias("version"), "pool", "token",
+                                          F.col("amount").alias("amount"))))
+    daily = both.groupBy("day", "version", "pool", "token").agg(
+        F.sum(F.coalesce(F.col("amount"), F.lit(0).cast(both.schema["amount"].dataType))).alias("delta_amount"))
+    opening = balance.opening_balance(stored, start) if stored is not None else None
+    keys = ["pool", "token"]
+    d = daily
+    if opening is not None:
+        d = d.join(opening.select(F.col("pool_address").alias("pool"), F.col("token_address").alias("token"),
+                                  "last_amount"), keys, "left")
+        base = F.coalesce(F.col("last_amount"), F.lit(0).cast(d.schema["delta_amount"].dataType))
+    else:
+        base = F.lit(0).cast(d.schema["delta_amount"].dataType)
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(*keys).orderBy("day", "version")
+    d = (d.withColumn("cumulative_amount", base + F.sum("delta_amount").over(
+            w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+         .withColumn("next_day", F.lead("day", 1, fill._date(end)).over(w)))
+    cal = fill.calendar_left_fill(d.select("day", "next_day", "version", "pool", "token", "delta_amount",
+                                           "cumulative_amount"), start, end)
+    valued = value.value_with_fallback(
+        cal, tokens, prices, hourly, start, end, min_samples, token_col="token", day_col="day",
+        amounts={"delta_amount": ("delta_token_amount", "delta_usd_amount"),
+                 "cumulative_amount": ("token_amount", "usd_amount")})
+    wt = weights.select(F.col("pool_id").alias("_w_pool"), F.col("token_address").alias("_w_tok"),
+                        F.col("normalized_weight").alias("token_weight"))
+    kept = (valued.join(wt, (F.col("pool") == F.col("_w_pool")) & (F.col("token") == F.col("_w_tok")))
+            .where((F.col("usd_amount") > 0) & (F.col("token_weight") > 0)))
+    return kept.select(
+        F.col("day").alias("block_time"), F.col("pool").alias("pool_address"), F.col("token").alias("token_address"),
+        "token_symbol", "token_weight", "delta_token_amount",
+        F.col("delta_amount").alias("delta_token_amount_raw"), "delta_usd_amount", "token_amount",
+        F.col("cumulative_amount").alias("token_amount_raw"), "usd_amount", "version")
