@@ -5,6 +5,13 @@ first proven small by counting at most ``max_rows + 1`` of its rows (a
 ``limit`` job that stops early).  Beyond the bound the side is returned
 unhinted and Spark plans a shuffle join; AQE can still switch to a broadcast
 at runtime from measured shuffle sizes.
+
+Only dimension-like sides go through here (token dimension, registries,
+label sets).  Sides that grow with the data (daily prices: tokens x days)
+are never hinted; the planner and AQE decide from their measured size.
+
+The check result is remembered per session and plan (``semanticHash``), so a
+dimension read by several joins of one job is counted once.
 """
 
 from __future__ import annotations
@@ -16,9 +23,16 @@ from pyspark.sql import functions as F
 # 2M rows stay well under the 8 GB broadcast ceiling and the executor budget.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
+_checked: dict[tuple[str, int, int], bool] = {}
+
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    hit = _checked.get(key)
+    if hit is None:
+        hit = df.limit(max_rows + 1).count() <= max_rows
+        _checked[key] = hit
+    return hit
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

@@ -42,22 +42,25 @@ def new_rows(batch: DataFrame, target: DataFrame, keys: list[str], order: list[s
 
 
 def insert_ignore(batch: DataFrame, path: str, target: DataFrame, keys: list[str], order: list[str],
-                  partition_by: list[str] | None = None, sort_within: list[str] | None = None) -> int:
+                  partition_by: list[str] | None = None, cluster_by: list[str] | None = None) -> int:
     """K1 / K2: append the new rows of ``batch`` to the Parquet table at
     ``path`` and return how many were written.
 
     ``target`` is the stored table already pruned by the caller to the
     partitions the batch can touch (project, version, window months) so the
     anti join reads only those.  The count is observed on the write itself
-    (no second pass).  First write wins: a recomputed row never replaces a
+    (no second pass).  Files are written per ``partition_by`` directory,
+    clustered by ``cluster_by``.  First write wins: a recomputed row never replaces a
     stored one.  Single writer per table assumed."""
     rows = new_rows(batch, target, keys, order)
     obs = Observation("insert_ignore")
     rows = rows.observe(obs, F.count(F.lit(1)).alias("n"))
-    if partition_by:
-        rows = rows.repartition(*[F.col(c) for c in partition_by])
-    if sort_within:
-        rows = rows.sortWithinPartitions(*sort_within)
+    if cluster_by:
+        # Range-partition on the clustering columns (e.g. day, pool): tasks get
+        # balanced, contiguous slices, and every file holds a narrow min/max
+        # range for Parquet statistics.  Hash-partitioning on the directory
+        # columns instead would send a whole month of a project to one task.
+        rows = rows.repartitionByRange(*[F.col(c) for c in cluster_by]).sortWithinPartitions(*cluster_by)
     writer = rows.write.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

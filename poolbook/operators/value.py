@@ -52,7 +52,7 @@ def value_at_day_open(
     out = (
         df.join(sized_broadcast(dim), F.col(token_col) == F.col("_t_token"), "left")
         .join(
-            sized_broadcast(px),
+            px,  # grows with tokens x days: no hint, AQE broadcasts it only when measured small
             (F.col(token_col) == F.col("_p_token")) & (F.col(day_col) == F.col("_p_day")),
             "left",
         )
@@ -129,8 +129,8 @@ def value_with_fallback(
     )
     out = (
         df.join(sized_broadcast(dim), F.col(token_col) == F.col("_t_token"), "left")
-        .join(sized_broadcast(daily), (F.col(token_col) == F.col("_d_token")) & (F.col(day_col) == F.col("_d_day")), "left")
-        .join(sized_broadcast(sparse), (F.col(token_col) == F.col("_s_token")) & (F.col(day_col) == F.col("_s_day")), "left")
+        .join(daily, (F.col(token_col) == F.col("_d_token")) & (F.col(day_col) == F.col("_d_day")), "left")
+        .join(sparse, (F.col(token_col) == F.col("_s_token")) & (F.col(day_col) == F.col("_s_day")), "left")
         .withColumn("price", F.coalesce("_d_price", "_s_price"))
     )
     for raw, (amount_name, usd_name) in (amounts or {}).items():

@@ -63,7 +63,7 @@ def write_window(rows: DataFrame, path: str, stored: DataFrame, project: str, ve
     target = _prune(stored, project, version, start, end)
     return sink.insert_ignore(
         batch, path, target, LIQUIDITY_KEY, order or ["token_index", "token_amount_raw"],
-        partition_by=LIQUIDITY_PARTITIONS, sort_within=["day", "pool_address"])
+        partition_by=LIQUIDITY_PARTITIONS, cluster_by=["day", "pool_address"])
 
 
 def backfill(spark: SparkSession, job: WindowJob, path: str, row_schema: T.StructType, project: str,
