@@ -53,14 +53,16 @@ def insert_ignore(batch: DataFrame, path: str, target: DataFrame, keys: list[str
     clustered by ``cluster_by``.  First write wins: a recomputed row never replaces a
     stored one.  Single writer per table assumed."""
     rows = new_rows(batch, target, keys, order)
-    obs = Observation("insert_ignore")
-    rows = rows.observe(obs, F.count(F.lit(1)).alias("n"))
     if cluster_by:
         # Range-partition on the clustering columns (e.g. day, pool): tasks get
         # balanced, contiguous slices, and every file holds a narrow min/max
         # range for Parquet statistics.  Hash-partitioning on the directory
         # columns instead would send a whole month of a project to one task.
         rows = rows.repartitionByRange(*[F.col(c) for c in cluster_by]).sortWithinPartitions(*cluster_by)
+    # Observe last: the range partitioner samples its input in a separate
+    # job, and an observer below it would count the sampled rows too.
+    obs = Observation("insert_ignore")
+    rows = rows.observe(obs, F.count(F.lit(1)).alias("n"))
     writer = rows.write.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
