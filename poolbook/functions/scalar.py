@@ -63,6 +63,21 @@ def hex_bytes(literal: str) -> Column:
     return F.unhex(F.lit(text))
 
 
+def address_value(value, dtype):
+    """A configured address for comparison with a column of ``dtype``: hex
+    text ('0x..' or '\\x..', any case) becomes bytes for BINARY columns;
+    anything else is passed through."""
+    from pyspark.sql.types import BinaryType
+
+    if isinstance(dtype, BinaryType) and isinstance(value, str):
+        text = value.lower()
+        for prefix in ("\\x", "0x"):
+            if text.startswith(prefix):
+                text = text[len(prefix):]
+        return bytes.fromhex(text)
+    return value
+
+
 def replace_value(value: ColumnOrName, old: Column, new: Column) -> Column:
     """``CASE WHEN value = old THEN new ELSE value END``."""
     v = _col(value)

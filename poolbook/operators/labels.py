@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from poolbook.functions.scalar import concat_skip_null, replace_value
+from poolbook.functions.scalar import address_value, concat_skip_null, replace_value
 from poolbook.operators.joins import sized_broadcast
 
 LABEL_TYPE = "lp_pool_name"
@@ -48,6 +48,8 @@ def hub_labels(events: DataFrame, tokens: DataFrame, pool: str, token: str, nati
     """Q16: pools paired with a hub token: distinct (pool, reserve token)
     without the hub itself, native placeholder replaced by its wrapped token,
     named ``<prefix><symbol> - <hub_symbol>``."""
+    dtype = events.schema[token].dataType
+    native, wrapped, hub = (address_value(v, dtype) for v in (native, wrapped, hub))
     pairs = (events.where(F.col(token) != F.lit(hub))
              .select(F.col(pool).alias("_pool"), replace_value(F.col(token), F.lit(native), F.lit(wrapped)).alias("_tok"))
              .distinct())

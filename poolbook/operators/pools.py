@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from poolbook.functions.generators import _date, zip_explode
-from poolbook.functions.scalar import byte_prefix, replace_value, scale_weight
+from poolbook.functions.scalar import address_value, byte_prefix, replace_value, scale_weight
 from poolbook.operators.joins import sized_broadcast
 
 
@@ -62,7 +62,8 @@ def exclude_pools(df: DataFrame, pools: list, wallet: str = "wallet_address") ->
     too, as in SQL)."""
     if not pools:
         return df.where(F.col(wallet).isNotNull())
-    return df.where(~F.col(wallet).isin(pools))
+    dtype = df.schema[wallet].dataType
+    return df.where(~F.col(wallet).isin([address_value(p, dtype) for p in pools]))
 
 
 def pair_union_distinct(trades: DataFrame, pool: str, token_a: str, token_b: str) -> DataFrame:
@@ -87,6 +88,8 @@ def substitute_token(events: DataFrame, pool: str, token: str, native, wrapped,
                      hub_index: str = "token_1", other_index: str = "token_0") -> DataFrame:
     """P9 + P10 + A11: distinct (pool, token) with the native-coin placeholder
     replaced by its wrapped token, and the hub token placed second."""
+    dtype = events.schema[token].dataType
+    native, wrapped, hub = (address_value(v, dtype) for v in (native, wrapped, hub))
     sub = replace_value(F.col(token), F.lit(native), F.lit(wrapped))
     pairs = events.select(F.col(pool).alias("pool"), sub.alias("token")).distinct()
     return pairs.withColumn(
@@ -140,4 +143,5 @@ def member_tokens_only(df: DataFrame, wallet_value, pools: DataFrame,
                        pool_token: str = "token_address") -> DataFrame:
     """P5 + J14: one wallet's rows whose token belongs to some pool."""
     member = pools.select(F.col(pool_token).alias("_tok")).distinct()
+    wallet_value = address_value(wallet_value, df.schema[wallet].dataType)
     return df.where(F.col(wallet) == F.lit(wallet_value)).join(member, F.col(token) == F.col("_tok"), "left_semi")

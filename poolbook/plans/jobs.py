@@ -21,6 +21,7 @@ from typing import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from poolbook.functions.scalar import byte_prefix
 from poolbook.operators import fill, labels as L, pools, value
 from poolbook.plans.config import SEED_LOOKBACK_DAYS, PoolJob
 
@@ -147,7 +148,8 @@ def build_vault_totals_window(src: Sources, vault, pool_defs: DataFrame, start,
 def build_deltas_window(deltas: DataFrame, pool_defs: DataFrame, tokens: DataFrame, prices: DataFrame,
                         start, end, labels: DataFrame | None = None, project: str = "Balancer",
                         version: str = "2", name_prefix: str = "Balancer v2 LP ",
-                        opening: DataFrame | None = None, ts: str = "ts") -> DataFrame:
+                        opening: DataFrame | None = None, ts: str = "ts",
+                        pool_prefix_len: int | None = None) -> DataFrame:
     """Q10: per-pool balances from signed deltas.
 
     ``deltas``: (pool, token, delta, ts) -- the vault delta union (C12) at
@@ -155,6 +157,11 @@ def build_deltas_window(deltas: DataFrame, pool_defs: DataFrame, tokens: DataFra
     over days (+ optional opening balance), which is forward-filled over the
     window.  ``pool_defs`` (pool_address, token_address, normalized_weight,
     pool_name_symbolic) gives the share and the fallback pool name."""
+    if pool_prefix_len:
+        # Vault events name pools by a 32-byte id whose first 20 bytes are the
+        # pool's address; key everything by the address so the definitions
+        # (and the stored table) join on equal values.
+        deltas = deltas.withColumn("pool", byte_prefix("pool", pool_prefix_len))
     upto = deltas.where(F.col(ts).cast("timestamp_ntz") < F.lit(fill._date(end)).cast("timestamp_ntz"))
     if opening is not None:
         upto = fill.in_window(upto, ts, start, end)

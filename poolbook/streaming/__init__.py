@@ -1,8 +1,16 @@
-"""Freshness: the reference keeps its fact table current by polling
+"""Freshness: the reference keeps its fact tables current by polling
 (scheduled backfill windows and a refresh from the high-water mark), not by
-a stream.  ``refresh`` re-expresses that as batch jobs over a stored Parquet
-table; any scheduler can call it."""
+a stream.  ``polling`` re-expresses that as batch jobs over stored Parquet
+tables; any scheduler can call it."""
 
-from poolbook.streaming.polling import backfill, month_of, refresh, stored_table
+from poolbook.streaming.polling import (
+    FactTable,
+    backfill,
+    liquidity_table,
+    month_of,
+    refresh,
+    stored_table,
+    view_liquidity_table,
+)
 
-__all__ = ["backfill", "month_of", "refresh", "stored_table"]
+__all__ = ["FactTable", "backfill", "liquidity_table", "month_of", "refresh", "stored_table", "view_liquidity_table"]

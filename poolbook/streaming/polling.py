@@ -1,17 +1,18 @@
-"""Windowed backfill and high-water-mark refresh of the daily fact table.
-
-The stored table is Parquet partitioned by (project, version, month); every
-write goes through insert-ignore, so reruns and overlapping windows never
-duplicate or replace a stored row (first write wins).  Each window's output
-is a written table, which is also what cuts the lineage between windows: the
-next window reads its seed rows back from storage, not from the previous
-plan.
+"""Windowed backfill and high-water-mark refresh of a daily fact table.
+
+A stored table is Parquet partitioned by its scope columns (e.g. project,
+version) and month; every write goes through insert-ignore, so reruns and
+overlapping windows never duplicate or replace a stored row (first write
+wins).  Each window's output is a written table, which is also what cuts the
+lineage between windows: the next window reads its seed rows back from
+storage, not from the previous plan.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,87 +21,124 @@ from pyspark.sql import types as T
 from poolbook.functions.generators import _date
 from poolbook.operators import sink
 from poolbook.plans.config import REFRESH_END_LAG_MINUTES, REFRESH_OVERLAP_DAYS
-from poolbook.schemas import LIQUIDITY_KEY, LIQUIDITY_PARTITIONS
+from poolbook.schemas import LIQUIDITY_KEY, VIEW_LIQUIDITY_KEY
 
 # (start, end, stored) -> rows of the window, not yet written
 WindowJob = Callable[[object, object, DataFrame], DataFrame]
 
 
+@dataclass(frozen=True)
+class FactTable:
+    """Where and how a daily fact table is stored.
+
+    scope: column values that identify one job's slice of the table (for the
+    liquidity fact: project and version); they are also directory partitions,
+    followed by ``month`` derived from ``time_col``."""
+
+    path: str
+    row_schema: T.StructType
+    keys: tuple[str, ...]
+    time_col: str = "day"
+    scope: dict[str, str] = field(default_factory=dict)
+    order: tuple[str, ...] = ()
+    cluster_by: tuple[str, ...] = ()
+
+    @property
+    def partition_by(self) -> list[str]:
+        return [*self.scope, "month"]
+
+
+def liquidity_table(path: str, row_schema: T.StructType, project: str, version: str) -> FactTable:
+    """K1 target: key (day, pool, token), one slice per project/version."""
+    return FactTable(path, row_schema, tuple(LIQUIDITY_KEY), "day", {"project": project, "version": version},
+                     order=("token_index", "token_amount_raw"), cluster_by=("day", "pool_address"))
+
+
+def view_liquidity_table(path: str, row_schema: T.StructType) -> FactTable:
+    """K2 target: key (block_time, pool, token), token may be NULL."""
+    return FactTable(path, row_schema, tuple(VIEW_LIQUIDITY_KEY), "block_time", {},
+                     order=("version", "token_amount_raw"), cluster_by=("block_time", "pool_address"))
+
+
 def month_of(day_col: str = "day"):
     return F.date_format(F.col(day_col), "yyyy-MM")
 
 
-def stored_table(spark: SparkSession, path: str, row_schema: T.StructType) -> DataFrame:
+def stored_table(spark: SparkSession, table: FactTable) -> DataFrame:
     """The stored table with the batch's row schema (plus ``month``), or an
     empty frame before the first write.  The schema is given explicitly so
     partition values keep their declared types (``version`` stays text)."""
-    fields = list(row_schema.fields)
-    if "month" not in row_schema.fieldNames():
+    fields = list(table.row_schema.fields)
+    if "month" not in table.row_schema.fieldNames():
         fields.append(T.StructField("month", T.StringType()))
     schema = T.StructType(fields)
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(table.path)
     except Exception as exc:  # nothing written yet
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
             return spark.createDataFrame([], schema)
         raise
 
 
-def _prune(stored: DataFrame, project: str, version: str, start, end) -> DataFrame:
-    """Partition pruning: the project/version and the months the window
-    touches; the day filter then works on Parquet min/max statistics."""
+def _mine(stored: DataFrame, table: FactTable) -> DataFrame:
+    out = stored
+    for col, value in table.scope.items():
+        out = out.where(F.col(col) == value)
+    return out
+
+
+def _prune(stored: DataFrame, table: FactTable, start, end) -> DataFrame:
+    """Partition pruning: the job's scope and the months the window touches;
+    the day filter then works on Parquet min/max statistics."""
     lo, hi = _date(start), _date(end)
-    return stored.where(
-        (F.col("project") == project) & (F.col("version") == version)
-        & (F.col("month") >= lo.strftime("%Y-%m")) & (F.col("month") <= hi.strftime("%Y-%m"))
-        & (F.col("day") >= F.lit(lo)) & (F.col("day") < F.lit(hi)))
+    t = F.col(table.time_col)
+    return _mine(stored, table).where(
+        (F.col("month") >= lo.strftime("%Y-%m")) & (F.col("month") <= hi.strftime("%Y-%m"))
+        & (t >= F.lit(lo)) & (t < F.lit(hi)))
 
 
-def write_window(rows: DataFrame, path: str, stored: DataFrame, project: str, version: str, start, end,
-                 order: list[str] | None = None) -> int:
+def write_window(rows: DataFrame, table: FactTable, stored: DataFrame, start, end) -> int:
     """Insert-ignore one window's rows; returns the number of rows written."""
-    batch = rows.withColumn("month", month_of())
-    target = _prune(stored, project, version, start, end)
+    batch = rows.withColumn("month", month_of(table.time_col))
     return sink.insert_ignore(
-        batch, path, target, LIQUIDITY_KEY, order or ["token_index", "token_amount_raw"],
-        partition_by=LIQUIDITY_PARTITIONS, cluster_by=["day", "pool_address"])
+        batch, table.path, _prune(stored, table, start, end), list(table.keys), list(table.order),
+        partition_by=table.partition_by, cluster_by=list(table.cluster_by))
+
+
+def window_filled(stored: DataFrame, table: FactTable, start, end) -> bool:
+    return sink.window_filled(_mine(stored, table), start, end, day=table.time_col)
 
 
-def backfill(spark: SparkSession, job: WindowJob, path: str, row_schema: T.StructType, project: str,
-             version: str, windows: Iterable[tuple[object, object]], skip_filled: bool = True) -> list[int]:
+def backfill(spark: SparkSession, job: WindowJob, table: FactTable, windows: Iterable[tuple[object, object]],
+             skip_filled: bool = True) -> list[int]:
     """Run windows oldest first; each is seeded from what the previous ones
-    stored.  A window that already holds rows of the project/version is
-    skipped (a partly filled window counts as filled)."""
+    stored.  A window that already holds rows of the job's scope is skipped
+    (a partly filled window counts as filled).  A window that would leave a
+    gap after the stored rows is refused: its seeds would be missing."""
     counts = []
-    ordered = sorted(windows, key=lambda w: _date(w[0]))
-    for start, end in ordered:
-        stored = stored_table(spark, path, row_schema)
-        if skip_filled and sink.window_filled(stored, start, end, project, version):
+    for start, end in sorted(windows, key=lambda w: _date(w[0])):
+        stored = stored_table(spark, table)
+        if skip_filled and window_filled(stored, table, start, end):
             counts.append(0)
             continue
-        older = stored.where((F.col("project") == project) & (F.col("version") == version)
-                             & (F.col("day") < F.lit(_date(start))))
-        latest_before = older.agg(F.max("day")).first()[0]
+        older = _mine(stored, table).where(F.col(table.time_col) < F.lit(_date(start)))
+        latest_before = older.agg(F.max(table.time_col)).first()[0]
         if latest_before is not None and latest_before < _date(start) - dt.timedelta(days=1):
             raise ValueError(f"window {start}..{end} would start after a gap: stored rows end {latest_before}")
-        rows = job(start, end, stored)
-        counts.append(write_window(rows, path, stored, project, version, start, end))
+        counts.append(write_window(job(start, end, stored), table, stored, start, end))
     return counts
 
 
-def refresh(spark: SparkSession, job: WindowJob, path: str, row_schema: T.StructType, project: str,
-            version: str, as_of: dt.datetime, overlap_days: int = REFRESH_OVERLAP_DAYS,
-            lag_minutes: int = REFRESH_END_LAG_MINUTES) -> int:
+def refresh(spark: SparkSession, job: WindowJob, table: FactTable, as_of: dt.datetime,
+            overlap_days: int = REFRESH_OVERLAP_DAYS, lag_minutes: int = REFRESH_END_LAG_MINUTES) -> int:
     """Recompute from ``high-water mark - overlap_days`` to the last finished
     day before ``as_of - lag``; only missing keys are written."""
-    stored = stored_table(spark, path, row_schema)
-    mine = stored.where((F.col("project") == project) & (F.col("version") == version))
-    hwm = sink.high_water_mark(mine)
+    stored = stored_table(spark, table)
+    hwm = sink.high_water_mark(_mine(stored, table), day=table.time_col)
     if hwm is None:
-        raise ValueError(f"no stored rows for {project} {version}: run a backfill first")
+        raise ValueError(f"no stored rows in {table.path} for {table.scope}: run a backfill first")
     start = hwm - dt.timedelta(days=overlap_days)
     end = (as_of - dt.timedelta(minutes=lag_minutes)).date()  # finished days only
     if end <= start:
         return 0
-    rows = job(start, end, stored)
-    return write_window(rows, path, stored, project, version, start, end)
+    return write_window(job(start, end, stored), table, stored, start, end)

@@ -5,8 +5,10 @@ import os
 
 from pyspark.sql import functions as F
 
+from poolbook.operators import balance
 from poolbook.plans import catalog as C
 from poolbook.plans import jobs as J
+from poolbook.sources import standins as S
 from poolbook.streaming import polling as R
 
 SF = "/root/testdata/sf0.001"
@@ -17,23 +19,50 @@ def _job(spark):
     return lambda start, end, stored: J.build_window(C.PAIR_JOB, src, start, end, stored=stored)
 
 
-def _rows(df):
-    return sorted((tuple(r) for r in df.select(*J.LIQUIDITY_COLUMNS).collect()), key=repr)
+def _rows(df, cols):
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)
 
 
 def test_chained_windows_equal_full_run_and_rerun_adds_nothing(spark, scratch):
-    path = os.path.join(scratch, "liquidity")
     job = _job(spark)
     schema = J.build_window(C.PAIR_JOB, C._pair_sources(spark, SF), "2024-01-01", "2024-01-02").schema
+    table = R.liquidity_table(os.path.join(scratch, "liquidity"), schema, "Uniswap", "2")
     windows = [("2024-01-11", "2024-02-01"), ("2024-01-01", "2024-01-11")]  # given out of order
-    counts = R.backfill(spark, job, path, schema, "Uniswap", "2", windows)
+    counts = R.backfill(spark, job, table, windows)
     full = J.build_window(C.PAIR_JOB, C._pair_sources(spark, SF), "2024-01-01", "2024-02-01")
-    stored = R.stored_table(spark, path, schema)
+    stored = R.stored_table(spark, table)
     assert sum(counts) == full.count()
-    assert _rows(stored) == _rows(full)
-    assert R.backfill(spark, job, path, schema, "Uniswap", "2", windows) == [0, 0]
+    assert _rows(stored, J.LIQUIDITY_COLUMNS) == _rows(full, J.LIQUIDITY_COLUMNS)
+    assert R.backfill(spark, job, table, windows) == [0, 0]
     # no late data: a refresh recomputes the overlap and writes nothing new
-    n = R.refresh(spark, job, path, schema, "Uniswap", "2", dt.datetime(2024, 2, 1, 0, 30))
-    assert n == 0
-    months = {r["month"] for r in stored.select("month").distinct().collect()}
-    assert months == {"2024-01"}
+    assert R.refresh(spark, job, table, dt.datetime(2024, 2, 1, 0, 30)) == 0
+    assert {r["month"] for r in stored.select("month").distinct().collect()} == {"2024-01"}
+
+
+def test_window_after_a_gap_is_refused(spark, scratch):
+    job = _job(spark)
+    schema = J.build_window(C.PAIR_JOB, C._pair_sources(spark, SF), "2024-01-01", "2024-01-02").schema
+    table = R.liquidity_table(os.path.join(scratch, "liquidity"), schema, "Uniswap", "2")
+    R.backfill(spark, job, table, [("2024-01-01", "2024-01-05")])
+    try:
+        R.backfill(spark, job, table, [("2024-01-10", "2024-01-12")])
+    except ValueError as exc:
+        assert "gap" in str(exc)
+    else:
+        raise AssertionError("a window after a gap must be refused")
+
+
+def test_flow_table_backfill_writes_each_key_once(spark, scratch):
+    def flows_job(start, end, stored):
+        v1 = balance.net_flows(S.event_transfers(spark, SF), S.members(spark, SF), start, end)
+        v2 = balance.vault_deltas(start, end, swaps=S.event_vault_swaps(spark, SF)).withColumnRenamed("delta_amount", "amount")
+        return J.build_flows_window(v1, v2, S.tokens(spark), S.prices(spark, SF), S.hourly(spark, SF),
+                                    S.pool_weights(spark, SF), start, end, 2, stored=stored)
+
+    schema = flows_job("2024-01-01", "2024-01-02", None).schema
+    table = R.view_liquidity_table(os.path.join(scratch, "view_liquidity"), schema)
+    counts = R.backfill(spark, flows_job, table, [("2024-01-01", "2024-01-16"), ("2024-01-16", "2024-02-01")])
+    stored = R.stored_table(spark, table)
+    assert sum(counts) == stored.count() > 0
+    assert stored.groupBy(*J.VIEW_LIQUIDITY_COLUMNS[:3]).count().where("count > 1").count() == 0
+    assert R.backfill(spark, flows_job, table, [("2024-01-16", "2024-02-01")]) == [0]

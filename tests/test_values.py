@@ -83,3 +83,14 @@ def test_opening_plus_deltas_equals_last_running_balance(spark):
                                   "day date, pool string, token string, delta_amount decimal(38,0)")
     rb = balance.running_balance(daily, ["pool", "token"], opening, opening_keys=["pool_address", "token_address"])
     assert sorted(int(r["cumulative_amount"]) for r in rb.collect()) == [103, 105]
+
+
+def test_amounts_beyond_38_digits_are_quarantined_not_nulled(spark):
+    from poolbook.sources.ingest import split_amounts, tag_amounts
+
+    df = spark.createDataFrame([("a", "9" * 38), ("b", "9" * 39), ("c", "1" * 78), ("d", None)], "id string, amount string")
+    clean, bad = split_amounts(df, ["amount"])
+    assert sorted(r["id"] for r in clean.collect()) == ["a", "d"]
+    got = {r["id"]: (r["amount"], r["amount_raw_text"]) for r in bad.collect()}
+    assert got == {"b": (None, "9" * 39), "c": (None, "1" * 78)}
+    assert tag_amounts(df, ["amount"]).where("quarantined").count() == 2
