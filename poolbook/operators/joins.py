@@ -35,6 +35,18 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) ->
     return hit
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                    bound_by: DataFrame | None = None, fan_out: int = 1) -> DataFrame:
+    """``broadcast(df)`` when ``df`` is proven to have at most ``max_rows``
+    rows, else ``df``.
+
+    ``bound_by``: an input whose row count bounds ``df``'s (``df`` has at
+    most ``fan_out`` rows per row of it -- a projection, a filter, an unpivot
+    of ``fan_out`` columns, a join with a unique-keyed dimension).  Counting
+    the input is a scan that stops early, cheaper than running ``df``'s own
+    plan, and it is shared by every frame derived from the same input."""
+    if bound_by is not None:
+        small = fits_broadcast(bound_by, max_rows // max(fan_out, 1))
+    else:
+        small = fits_broadcast(df, max_rows)
+    return F.broadcast(df) if small else df

@@ -36,15 +36,20 @@ def classify_index(
     pool_tokens: DataFrame,
     wallet: str = "wallet_address",
     token: str = "token_address",
+    registry: DataFrame | None = None,
+    positions: int = 1,
 ) -> DataFrame:
     """Keep balance changes of registered (pool, token) pairs and
     attach the token's position.  The reference's ``pool = wallet AND (token =
     token0 OR token = token1)`` join becomes an equi-join on the unpivoted
-    registry (no nested loop); the registry is broadcast when proven small."""
+    registry (no nested loop); the registry is broadcast when proven small,
+    by counting the raw ``registry`` (``positions`` rows per registry row)
+    when it is given."""
     reg = pool_tokens.select(
         F.col("pool").alias("_r_pool"), F.col("token").alias("_r_token"), "token_index")
     cond = (F.col(wallet) == F.col("_r_pool")) & (F.col(token) == F.col("_r_token"))
-    return balances.join(sized_broadcast(reg), cond, "inner").drop("_r_pool", "_r_token")
+    side = sized_broadcast(reg, bound_by=registry, fan_out=positions)
+    return balances.join(side, cond, "inner").drop("_r_pool", "_r_token")
 
 
 def constant_index(balances: DataFrame, members: DataFrame, label: str,

@@ -50,7 +50,7 @@ def value_at_day_open(
     )
     px = midnight_prices(prices, start, end)
     out = (
-        df.join(sized_broadcast(dim), F.col(token_col) == F.col("_t_token"), "left")
+        df.join(sized_broadcast(dim, bound_by=tokens), F.col(token_col) == F.col("_t_token"), "left")
         .join(
             px,  # grows with tokens x days: no hint, AQE broadcasts it only when measured small
             (F.col(token_col) == F.col("_p_token")) & (F.col(day_col) == F.col("_p_day")),
@@ -128,7 +128,7 @@ def value_with_fallback(
         F.col("decimals").alias("_t_decimals"),
     )
     out = (
-        df.join(sized_broadcast(dim), F.col(token_col) == F.col("_t_token"), "left")
+        df.join(sized_broadcast(dim, bound_by=tokens), F.col(token_col) == F.col("_t_token"), "left")
         .join(daily, (F.col(token_col) == F.col("_d_token")) & (F.col(day_col) == F.col("_d_day")), "left")
         .join(sparse, (F.col(token_col) == F.col("_s_token")) & (F.col(day_col) == F.col("_s_day")), "left")
         .withColumn("price", F.coalesce("_d_price", "_s_price"))

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from poolbook.functions.scalar import byte_prefix
 from poolbook.operators import fill, labels as L, pools, value
 from poolbook.plans.config import SEED_LOOKBACK_DAYS, PoolJob
+from poolbook.session import checkpoint
 
 LIQUIDITY_COLUMNS = [
     "day", "token_symbol", "token_amount", "pool_name", "project", "version", "category",
@@ -75,7 +76,18 @@ def build_window(job: PoolJob, src: Sources, start, end, stored: DataFrame | Non
         changes = pools.exclude_pools(changes, list(job.exclude))
     if job.active_within_days is not None:
         changes = pools.active_only(changes, src.trades(), as_of or end, job.active_within_days)
-    classified = pools.classify_index(changes, pool_tokens(job, src.registry()))
+    registry = src.registry()
+    members = pool_tokens(job, registry)
+    if job.registry_kind in ("pair", "single"):
+        # Registry rows bound the unpivoted rows: count the raw scan.
+        bound, positions = registry, (len(job.index) if job.registry_kind == "pair" else 1)
+    else:
+        # Membership derived from trades/transfers scans a big table: write it
+        # once to the shared checkpoint folder; the size check and the join
+        # then read the small materialized result instead of re-deriving it.
+        members = checkpoint(members)
+        bound, positions = None, 1
+    classified = pools.classify_index(changes, members, registry=bound, positions=positions)
     cols = ["wallet_address", "token_address", "amount_raw", "timestamp", "token_index"]
     if src.tie:
         cols.append(src.tie)
