@@ -88,6 +88,14 @@ def running_balance(daily: DataFrame, keys: list[str], opening: DataFrame | None
     return out_df.drop("last_amount") if opening is not None else out_df
 
 
+def _window(df: DataFrame, start, end, ts: str = "ts") -> DataFrame:
+    if start is None and end is None:
+        return df
+    if start is None:
+        return df.where(F.col(ts).cast("timestamp_ntz") < F.lit(_date(end)).cast("timestamp_ntz"))
+    return in_window(df, ts, start, end)
+
+
 def net_flows(transfers: DataFrame, members: DataFrame, start, end,
               token: str = "contract_address", src: str = "from", dst: str = "to",
               value: str = "value", ts: str = "evt_block_time") -> DataFrame:
@@ -111,6 +119,14 @@ def net_flows(transfers: DataFrame, members: DataFrame, start, end,
 
 def vault_deltas(start, end, swaps: DataFrame | None = None, balance_changes: DataFrame | None = None,
                  managed: DataFrame | None = None, internal: DataFrame | None = None) -> DataFrame:
+    """C12 summed per day: (day, pool, token, delta_amount); see
+    ``vault_delta_events`` for the arms."""
+    u = vault_delta_events(start, end, swaps, balance_changes, managed, internal)
+    return daily_deltas(u, ["pool", "token"], "ts", "delta")
+
+
+def vault_delta_events(start, end, swaps: DataFrame | None = None, balance_changes: DataFrame | None = None,
+                       managed: DataFrame | None = None, internal: DataFrame | None = None) -> DataFrame:
     """All vault movements as (day, pool, token, delta_amount).
 
     swaps: (pool, token_in, amount_in, token_out, amount_out, ts) -- one scan,
@@ -118,25 +134,26 @@ def vault_deltas(start, end, swaps: DataFrame | None = None, balance_changes: Da
     balance_changes: (pool, tokens[], deltas[], ts) -- lock-step explode;
     managed: (pool, token, cash_delta, managed_delta, ts) -- cash + managed;
     internal: (token, delta, ts) -- no pool (NULL).
-    Arms are unioned and summed per day with ``SUM(COALESCE(delta, 0))``."""
+    Arms are unioned at event grain: (ts, pool, token, delta).  ``start`` /
+    ``end`` may be None for the full history."""
     arms = []
     if swaps is not None:
-        s = in_window(swaps, "ts", start, end)
+        s = _window(swaps, start, end)
         arms.append(s.select("ts", "pool", F.explode(F.array(
             F.struct(F.col("token_in").alias("token"), F.col("amount_in").alias("delta")),
             F.struct(F.col("token_out").alias("token"), (-F.col("amount_out")).alias("delta")),
         )).alias("leg")).select("ts", "pool", "leg.token", "leg.delta"))
     if balance_changes is not None:
-        b = in_window(balance_changes, "ts", start, end)
+        b = _window(balance_changes, start, end)
         arms.append(zip_explode(b, ["ts", "pool"], {"token": F.col("tokens"), "delta": F.col("deltas")}))
     if managed is not None:
-        m = in_window(managed, "ts", start, end)
+        m = _window(managed, start, end)
         arms.append(m.select("ts", "pool", "token", (F.col("cash_delta") + F.col("managed_delta")).alias("delta")))
     if internal is not None:
-        i = in_window(internal, "ts", start, end)
+        i = _window(internal, start, end)
         arms.append(i.select("ts", F.lit(None).cast(arms[0].schema["pool"].dataType if arms else "string").alias("pool"),
                              "token", "delta"))
     u = arms[0]
     for a in arms[1:]:
         u = u.unionByName(a)
-    return daily_deltas(u, ["pool", "token"], "ts", "delta")
+    return u
