@@ -10,35 +10,47 @@ from poolbook.functions.generators import _date
 from poolbook.operators.joins import sized_broadcast
 
 
-def first_per_key(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key: the row with the smallest ``order`` tuple.  Rows with
-    a NULL key column are never duplicates of each other (SQL unique-key
-    semantics) and pass unchanged.
+def _null_key(keys: list[str]):
+    cond = None
+    for k in keys:
+        c = F.col(k).isNull()
+        cond = c if cond is None else (cond | c)
+    return cond
+
+
+def _first_keyed(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """First row per key among rows whose key has no NULL.
 
     ``min_by`` aggregates map-side first, so a key repeated a million times
-    reaches the shuffle as one row per map partition."""
+    reaches the shuffle as one row per map partition.  The output stays
+    hash-partitioned (and sorted) by the keys for a following join on them."""
     others = [c for c in batch.columns if c not in keys]
-    has_null = None
-    for k in keys:
-        c = F.col(k).isNull()
-        has_null = c if has_null is None else (has_null | c)
-    keyed = batch.where(~has_null)
-    picked = (keyed.groupBy(*keys)
-              .agg(F.min_by(F.struct(*others), F.struct(*order)).alias("_row"))
-              .select(*keys, "_row.*"))
-    return picked.select(*batch.columns).unionByName(batch.where(has_null))
+    return (batch.where(~_null_key(keys)).groupBy(*keys)
+            .agg(F.min_by(F.struct(*others), F.struct(*order)).alias("_row"))
+            .select(*keys, "_row.*").select(*batch.columns))
+
+
+def first_per_key(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One row per key: the row with the smallest ``order`` tuple.  Rows with
+    a NULL key column are never duplicates of each other (SQL unique-key
+    semantics) and pass unchanged."""
+    return _first_keyed(batch, keys, order).unionByName(batch.where(_null_key(keys)))
 
 
 def new_rows(batch: DataFrame, target: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """K1 without the write: the rows insert-ignore would add -- first row per
     key by ``order``, minus keys already in ``target`` (plain ``=``: a NULL
-    key matches nothing, so it is always new)."""
+    key matches nothing, so it is always new).
+
+    The anti join runs on the de-duplicated keyed rows, whose hash
+    partitioning it reuses; NULL-key rows bypass it and are appended after."""
     existing = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
     cond = None
     for k in keys:
         c = F.col(k) == F.col(f"_t_{k}")
         cond = c if cond is None else (cond & c)
-    return first_per_key(batch, keys, order).join(existing, cond, "left_anti")
+    fresh = _first_keyed(batch, keys, order).join(existing, cond, "left_anti")
+    return fresh.unionByName(batch.where(_null_key(keys)))
 
 
 def insert_ignore(batch: DataFrame, path: str, target: DataFrame, keys: list[str], order: list[str],
