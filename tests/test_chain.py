@@ -126,3 +126,26 @@ def test_balancer_v2_by_pool_from_vault_events(spark, scratch):
     first = balancer_v2_window(t, "2021-07-01", "2021-07-03", with_labels=False)
     second = amounts(balancer_v2_window(t, "2021-07-03", "2021-07-05", stored=first, with_labels=False))
     assert second == {k: v for k, v in full.items() if k[1] >= 3}
+
+
+def test_command_line_backfill_and_refresh(spark, scratch):
+    from poolbook.plans.run import main
+
+    _fixture(spark, scratch)
+    target = os.path.join(scratch, "out", "liquidity")
+    lake = ["--lake", scratch, "--target", target, "--job", "uniswap_v2"]
+    # labels need all label tables; this fixture has only the pair registry
+    import poolbook.sources.chain as chain_mod
+
+    orig = chain_mod.sources_for
+    chain_mod.sources_for = lambda t, job, with_labels=True: orig(t, job, with_labels=False)
+    try:
+        r1 = main(["backfill", *lake, "--window", "2021-07-01", "2021-07-04", "--window", "2021-07-04", "2021-07-06"],
+                  spark=spark)
+        r2 = main(["refresh", *lake, "--as-of", "2021-07-07T00:30:00"], spark=spark)
+    finally:
+        chain_mod.sources_for = orig
+    assert sum(r1["inserted"]) == 11          # 5 + 4 + 2 days from each pair's first change to 07-05
+    assert r2["inserted"] == 3                # day 07-06 is new; the overlap days are already stored
+    stored = spark.read.parquet(target)
+    assert stored.groupBy("day", "pool_address", "token_address").count().where("count > 1").count() == 0
