@@ -6,6 +6,7 @@ tables; any scheduler can call it."""
 from poolbook.streaming.polling import (
     FactTable,
     backfill,
+    compact,
     liquidity_table,
     month_of,
     refresh,
@@ -13,4 +14,4 @@ from poolbook.streaming.polling import (
     view_liquidity_table,
 )
 
-__all__ = ["FactTable", "backfill", "liquidity_table", "month_of", "refresh", "stored_table", "view_liquidity_table"]
+__all__ = ["FactTable", "backfill", "compact", "liquidity_table", "month_of", "refresh", "stored_table", "view_liquidity_table"]

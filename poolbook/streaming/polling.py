@@ -142,3 +142,24 @@ def refresh(spark: SparkSession, job: WindowJob, table: FactTable, as_of: dt.dat
     if end <= start:
         return 0
     return write_window(job(start, end, stored), table, stored, start, end)
+
+
+def compact(spark: SparkSession, table: FactTable, months: list[str], files_per_month: int = 1) -> int:
+    """Rewrite the given month partitions of the job's slice into
+    ``files_per_month`` range-clustered files each (frequent refreshes leave
+    many small files).  Rows are first checkpointed into the shared
+    checkpoint folder, so the overwrite never reads from its own target; only
+    the listed partitions are replaced (dynamic partition overwrite).
+    Returns the number of rows rewritten."""
+    from poolbook.session import checkpoint
+
+    part = _mine(stored_table(spark, table), table).where(F.col("month").isin(list(months)))
+    snap = checkpoint(part)
+    n = snap.count()
+    if n == 0:
+        return 0
+    cluster = [F.col(c) for c in (table.cluster_by or table.keys)]
+    out = snap.repartitionByRange(max(files_per_month, 1) * len(months), *cluster).sortWithinPartitions(*cluster)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*table.partition_by).parquet(table.path))
+    return n

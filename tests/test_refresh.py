@@ -66,3 +66,19 @@ def test_flow_table_backfill_writes_each_key_once(spark, scratch):
     assert sum(counts) == stored.count() > 0
     assert stored.groupBy(*J.VIEW_LIQUIDITY_COLUMNS[:3]).count().where("count > 1").count() == 0
     assert R.backfill(spark, flows_job, table, [("2024-01-16", "2024-02-01")]) == [0]
+
+
+def test_compaction_keeps_rows_and_reduces_files(spark, scratch):
+    import glob
+
+    job = _job(spark)
+    schema = J.build_window(C.PAIR_JOB, C._pair_sources(spark, SF), "2024-01-01", "2024-01-02").schema
+    table = R.liquidity_table(os.path.join(scratch, "liquidity"), schema, "Uniswap", "2")
+    R.backfill(spark, job, table, [("2024-01-01", "2024-01-05"), ("2024-01-05", "2024-01-09"),
+                                   ("2024-01-09", "2024-01-13")])
+    before = _rows(R.stored_table(spark, table), J.LIQUIDITY_COLUMNS)
+    files = lambda: glob.glob(os.path.join(table.path, "project=Uniswap", "version=2", "month=2024-01", "*.parquet"))
+    n_before = len(files())
+    assert R.compact(spark, table, ["2024-01"]) == len(before)
+    assert _rows(R.stored_table(spark, table), J.LIQUIDITY_COLUMNS) == before
+    assert len(files()) == 1 < n_before
