@@ -51,11 +51,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    filesystem).  Only when it is unset -- local tests -- a fresh temporary
-    folder is created and registered.
+    filesystem); unset on a cluster is an error.  Only for a local master
+    (tests) an unset setting gets a fresh temporary folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local"):
+            # A machine-local folder would not survive executor loss.
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (e.g. on HDFS/S3) for this cluster")
         path = tempfile.mkdtemp(prefix="poolbook-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
