@@ -16,19 +16,17 @@ def unpivot_registry(registry: DataFrame, pool: str, token_cols: list[tuple[str,
     the first listed one wins (a CASE over the columns picks the first match);
     duplicate registry rows collapse."""
     arms = [
-        registry.select(
-            F.col(pool).alias("pool"),
-            F.col(col).alias("token"),
-            F.lit(pos).alias("_pos"),
-            F.lit(label).alias("token_index"),
-        )
-        for pos, (col, label) in enumerate(token_cols)
+        registry.select(F.col(pool).alias("pool"), F.col(col).alias("token"), F.lit(pos).alias("_pos"))
+        for pos, (col, _label) in enumerate(token_cols)
     ]
     rows = arms[0]
     for arm in arms[1:]:
         rows = rows.unionByName(arm)
-    first = rows.groupBy("pool", "token").agg(F.min_by("token_index", "_pos").alias("token_index"))
-    return first.where(F.col("pool").isNotNull() & F.col("token").isNotNull())
+    # min over an int position stays a hash aggregate; the label is looked up after.
+    labels = F.array(*[F.lit(label) for _col, label in token_cols])
+    first = rows.groupBy("pool", "token").agg(F.min("_pos").alias("_pos"))
+    return (first.where(F.col("pool").isNotNull() & F.col("token").isNotNull())
+            .select("pool", "token", F.element_at(labels, F.col("_pos") + 1).alias("token_index")))
 
 
 def classify_index(
