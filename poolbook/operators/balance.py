@@ -44,14 +44,14 @@ def running_balance_events(deltas: DataFrame, keys: list[str], ts: str, delta: s
 
 def opening_balance(stored: DataFrame, start, time_col: str = "block_time",
                     keys: tuple[str, ...] = ("pool_address", "token_address"),
-                    amount: str = "token_amount_raw") -> DataFrame:
+                    amount: str = "token_amount_raw", extra: tuple[str, ...] = ()) -> DataFrame:
     """Stored rows at the latest time within the day before ``start``
     (a scalar max, broadcast back as a one-row frame)."""
     prev = F.date_sub(F.lit(_date(start)), 1)
     day_rows = stored.where(F.to_date(time_col) == prev)
     latest = day_rows.agg(F.max(time_col).alias("_latest"))
     return (day_rows.join(F.broadcast(latest), F.col(time_col) == F.col("_latest"))
-            .select(*keys, F.col(amount).alias("last_amount")))
+            .select(*keys, F.col(amount).alias("last_amount"), *extra))
 
 
 def running_balance(daily: DataFrame, keys: list[str], opening: DataFrame | None = None,

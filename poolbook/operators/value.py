@@ -3,6 +3,8 @@ fallback price (daily average, else the latest sparse median)."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,13 +116,18 @@ def value_with_fallback(
     token_col: str = "token",
     day_col: str = "day",
     amounts: dict[str, str] | None = None,
+    lookback_days: int = 0,
 ) -> DataFrame:
     """price = daily average of ``prices`` if the token has one that day,
     else the latest sparse median at or before the day (as-of).  ``amounts``
-    maps raw amount columns to (scaled name, usd name) prefixes."""
+    maps raw amount columns to (scaled name, usd name).  Sparse prices are
+    read from ``start - lookback_days`` (0 = the reference's behaviour)."""
     daily = daily_average_prices(prices, start, end).select(
         F.col("token").alias("_d_token"), F.col("day").alias("_d_day"), F.col("price").alias("_d_price"))
-    sparse = as_of_daily(sparse_daily_medians(hourly, start, end, min_samples), end).select(
+    # lookback_days > 0 lets days early in the window use a sparse price from
+    # before it (the reference starts the as-of series at the window start).
+    sparse_start = _date(start) - dt.timedelta(days=lookback_days)
+    sparse = as_of_daily(sparse_daily_medians(hourly, sparse_start, end, min_samples), end).select(
         F.col("token").alias("_s_token"), F.col("day").alias("_s_day"), F.col("price").alias("_s_price"))
     dim = tokens.select(
         F.col("contract_address").alias("_t_token"),

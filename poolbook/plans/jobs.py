@@ -213,7 +213,8 @@ VIEW_LIQUIDITY_COLUMNS = [
 
 def build_flows_window(flows_v1: DataFrame, deltas_v2: DataFrame, tokens: DataFrame, prices: DataFrame,
                        hourly: DataFrame, weights: DataFrame, start, end, min_samples: int = 2,
-                       stored: DataFrame | None = None, carry_inactive: bool = False) -> DataFrame:
+                       stored: DataFrame | None = None, carry_inactive: bool = False,
+                       price_lookback_days: int = 0) -> DataFrame:
     """Q12: the flow-based design.
 
     flows_v1 / deltas_v2: (day, pool, token, amount) daily movements of the
@@ -230,9 +231,16 @@ def build_flows_window(flows_v1: DataFrame, deltas_v2: DataFrame, tokens: DataFr
                                           F.col("amount").alias("amount"))))
     daily = both.groupBy("day", "version", "pool", "token").agg(
         F.sum(F.coalesce(F.col("amount"), F.lit(0).cast(both.schema["amount"].dataType))).alias("delta_amount"))
-    opening = balance.opening_balance(stored, start) if stored is not None else None
+    opening = balance.opening_balance(stored, start, extra=("version",)) if stored is not None else None
     keys = ["pool", "token"]
     d = daily
+    if opening is not None and carry_inactive:
+        # Pools with an opening balance but no movement in the window keep
+        # their balance (a zero-delta row on ``start``); the reference drops them.
+        idle = opening.select(F.col("pool_address").alias("pool"), F.col("token_address").alias("token"),
+                              "version").join(daily.select(*keys).distinct(), keys, "left_anti")
+        d = d.unionByName(idle.select(F.lit(fill._date(start)).alias("day"), "version", *keys,
+                                      F.lit(0).cast(daily.schema["delta_amount"].dataType).alias("delta_amount")))
     if opening is not None:
         d = d.join(opening.select(F.col("pool_address").alias("pool"), F.col("token_address").alias("token"),
                                   "last_amount"), keys, "left")
@@ -250,7 +258,8 @@ def build_flows_window(flows_v1: DataFrame, deltas_v2: DataFrame, tokens: DataFr
     valued = value.value_with_fallback(
         cal, tokens, prices, hourly, start, end, min_samples, token_col="token", day_col="day",
         amounts={"delta_amount": ("delta_token_amount", "delta_usd_amount"),
-                 "cumulative_amount": ("token_amount", "usd_amount")})
+                 "cumulative_amount": ("token_amount", "usd_amount")},
+        lookback_days=price_lookback_days)
     wt = weights.select(F.col("pool_id").alias("_w_pool"), F.col("token_address").alias("_w_tok"),
                         F.col("normalized_weight").alias("token_weight"))
     kept = (valued.join(wt, (F.col("pool") == F.col("_w_pool")) & (F.col("token") == F.col("_w_tok")))

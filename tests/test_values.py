@@ -94,3 +94,37 @@ def test_amounts_beyond_38_digits_are_quarantined_not_nulled(spark):
     got = {r["id"]: (r["amount"], r["amount_raw_text"]) for r in bad.collect()}
     assert got == {"b": (None, "9" * 39), "c": (None, "1" * 78)}
     assert tag_amounts(df, ["amount"]).where("quarantined").count() == 2
+
+
+def test_sparse_price_lookback_reaches_before_the_window(spark):
+    rows = spark.createDataFrame([(dt.date(2021, 7, 3), "A", Decimal(100))],
+                                 "day date, token string, raw decimal(38,0)")
+    tokens = spark.createDataFrame([("A", "AAA", 0)], "contract_address string, symbol string, decimals int")
+    prices = spark.createDataFrame([], "contract_address string, minute timestamp_ntz, price double")
+    hourly = spark.createDataFrame([("A", dt.datetime(2021, 7, 1, 5), 4.0, 10)],
+                                   "contract_address string, hour timestamp_ntz, median_price double, sample_size bigint")
+    args = (rows, tokens, prices, hourly, "2021-07-03", "2021-07-05", 2)
+    kw = dict(token_col="token", amounts={"raw": ("amount", "usd")})
+    assert value.value_with_fallback(*args, **kw).first()["usd"] is None
+    assert value.value_with_fallback(*args, lookback_days=3, **kw).first()["usd"] == 400.0
+
+
+def test_flow_job_carries_pools_without_movement_when_asked(spark):
+    from poolbook.plans.jobs import build_flows_window
+
+    flows = spark.createDataFrame([], "day date, pool string, token string, amount decimal(38,0)")
+    deltas = spark.createDataFrame([(dt.date(2021, 7, 2), "q", "A", Decimal(5))],
+                                   "day date, pool string, token string, amount decimal(38,0)")
+    tokens = spark.createDataFrame([("A", "AAA", 0)], "contract_address string, symbol string, decimals int")
+    prices = spark.createDataFrame([("A", dt.datetime(2021, 7, d), 2.0) for d in (1, 2, 3)],
+                                   "contract_address string, minute timestamp_ntz, price double")
+    hourly = spark.createDataFrame([], "contract_address string, hour timestamp_ntz, median_price double, sample_size bigint")
+    weights = spark.createDataFrame([("p", "A", 0.5), ("q", "A", 0.5)], "pool_id string, token_address string, normalized_weight double")
+    stored = spark.createDataFrame([(dt.date(2021, 7, 1), "p", "A", Decimal(100), "1")],
+                                   "block_time date, pool_address string, token_address string, token_amount_raw decimal(38,0), version string")
+    args = (flows, deltas, tokens, prices, hourly, weights, "2021-07-02", "2021-07-04", 2)
+    dropped = {(r["pool_address"], r["block_time"].day) for r in build_flows_window(*args, stored=stored).collect()}
+    carried = {(r["pool_address"], r["block_time"].day, int(r["token_amount_raw"]))
+               for r in build_flows_window(*args, stored=stored, carry_inactive=True).collect()}
+    assert dropped == {("q", 2), ("q", 3)}
+    assert carried == {("q", 2, 5), ("q", 3, 5), ("p", 2, 100), ("p", 3, 100)}
