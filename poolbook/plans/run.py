@@ -61,7 +61,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     p.add_argument("--as-of", help="ISO time for refresh (default: now, UTC)")
     args = p.parse_args(argv)
 
-    spark = spark or build_session()
+    spark = spark or build_session(profile="cluster")
     tables = chain.ChainTables(spark, base=args.lake)
     job, scope = window_job(tables, args.job)
     if args.command == "backfill":

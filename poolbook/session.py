@@ -26,17 +26,44 @@ CORE_CONF = {
 }
 
 
+# Sizing for large clusters (100 TB inputs, ~1000 executors).  Scan splits of
+# 256 MB keep task counts in the hundreds of thousands; AQE sizes shuffle
+# partitions from measured bytes (advisory 256 MB) starting from a generous
+# initial count, splits skewed partitions above 5x the median (and 512 MB), and
+# converts joins to broadcasts only below 64 MB measured.  Applied by
+# ``build_session(profile="cluster")`` where the cluster has not set them.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.files.maxRecordsPerFile": "20000000",
+}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "poolbook",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    profile: str = "local",
 ) -> SparkSession:
-    """Get or create a session with the settings the operators assume."""
+    """Get or create a session with the settings the operators assume.
+
+    ``profile="cluster"`` adds ``CLUSTER_CONF`` for settings the cluster's
+    own configuration leaves unset."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(CORE_CONF)
+    if profile == "cluster":
+        from pyspark import SparkConf
+
+        present = dict(SparkConf().getAll())
+        conf.update({k: v for k, v in CLUSTER_CONF.items() if k not in present})
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
