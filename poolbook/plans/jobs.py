@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from poolbook.functions.scalar import byte_prefix
 from poolbook.operators import fill, labels as L, pools, value
-from poolbook.plans.config import SEED_LOOKBACK_DAYS, PoolJob
+from poolbook.plans.config import LABEL_PREFIX, SEED_LOOKBACK_DAYS, PoolJob
 from poolbook.session import checkpoint
 
 LIQUIDITY_COLUMNS = [
@@ -159,7 +159,7 @@ def build_vault_totals_window(src: Sources, vault, pool_defs: DataFrame, start,
 
 def build_deltas_window(deltas: DataFrame, pool_defs: DataFrame, tokens: DataFrame, prices: DataFrame,
                         start, end, labels: DataFrame | None = None, project: str = "Balancer",
-                        version: str = "2", name_prefix: str = "Balancer v2 LP ",
+                        version: str = "2", name_prefix: str = LABEL_PREFIX[("Balancer", "2")],
                         opening: DataFrame | None = None, ts: str = "ts",
                         pool_prefix_len: int | None = None) -> DataFrame:
     """Q10: per-pool balances from signed deltas.

@@ -25,6 +25,7 @@ from poolbook.plans.config import (
     BANCOR_HUB_SYMBOL,
     BANCOR_HUB_TOKEN,
     JOBS,
+    LABEL_PREFIX,
     NATIVE_PLACEHOLDER,
     NATIVE_SYMBOL,
     WRAPPED_NATIVE,
@@ -155,14 +156,14 @@ def pool_labels(t: ChainTables) -> DataFrame:
     oneinch = t("oneinch_pools")  # first factory only, as the reference
     bancor = t("bancor_liquidity_added").select("contract_address", F.col("_reserveToken").alias("reserve"))
     return L.union_labels(
-        L.single_labels(uni_v1, tok, "exchange", "token", "Uni v1 LP ", NATIVE_SYMBOL),
-        L.pair_labels(t("uniswap_v2_pairs"), tok, "pair", "token0", "token1", "Uni v2 LP "),
-        L.pair_labels(t("uniswap_v3_pools"), tok, "pool", "token0", "token1", "Uni v3 LP "),
-        L.pair_labels(t("sushi_pairs"), tok, "pair", "token0", "token1", "Sushi v1 LP "),
-        L.pair_labels(oneinch, tok, "mooniswap", "token1", "token2", "1inch v1 LP "),
-        L.pair_labels(moon, tok, "mooniswap", "token1", "token2", "Mooniswap v1 LP "),
+        L.single_labels(uni_v1, tok, "exchange", "token", LABEL_PREFIX[("Uniswap", "1")], NATIVE_SYMBOL),
+        L.pair_labels(t("uniswap_v2_pairs"), tok, "pair", "token0", "token1", LABEL_PREFIX[("Uniswap", "2")]),
+        L.pair_labels(t("uniswap_v3_pools"), tok, "pool", "token0", "token1", LABEL_PREFIX[("Uniswap", "3")]),
+        L.pair_labels(t("sushi_pairs"), tok, "pair", "token0", "token1", LABEL_PREFIX[("Sushiswap", "1")]),
+        L.pair_labels(oneinch, tok, "mooniswap", "token1", "token2", LABEL_PREFIX[("1inch", "1")]),
+        L.pair_labels(moon, tok, "mooniswap", "token1", "token2", LABEL_PREFIX[("Mooniswap", "1")]),
         L.hub_labels(bancor, tok, "contract_address", "reserve", NATIVE_PLACEHOLDER, WRAPPED_NATIVE,
-                     BANCOR_HUB_TOKEN, "Bancor LP ", BANCOR_HUB_SYMBOL),
+                     BANCOR_HUB_TOKEN, LABEL_PREFIX[("Bancor", "2")], BANCOR_HUB_SYMBOL),
     )
 
 
