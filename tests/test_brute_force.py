@@ -73,3 +73,30 @@ def test_running_balances_match_brute_force(spark, rows):
     for frame, want in (("rows", rows_total), ("range", range_total)):
         out = balance.running_balance_events(df, KEYS, "timestamp", "delta", frame=frame, tie="tie")
         assert {r["tie"]: int(r["amount_raw"]) for r in out.collect()} == want
+
+
+key_part = st.one_of(st.none(), st.sampled_from(["a", "b", "hot", "hot", "hot"]))
+batch_rows = st.lists(st.tuples(st.sampled_from([1, 2, 2, 2]), key_part, st.integers(0, 5), st.integers(0, 99)),
+                      min_size=1, max_size=40)
+target_keys = st.lists(st.tuples(st.sampled_from([1, 2, 3]), key_part), max_size=6)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=batch_rows, stored=target_keys)
+def test_insert_ignore_matches_brute_force(spark, rows, stored):
+    from poolbook.operators import sink
+
+    batch = spark.createDataFrame(rows, "k int, t string, o int, v int")
+    target = spark.createDataFrame(stored, "k int, t string")
+    got = sorted((tuple(r) for r in sink.new_rows(batch, target, ["k", "t"], ["o", "v"]).collect()), key=repr)
+    # brute force: NULL keys never collide; otherwise the smallest (o, v) per
+    # key wins, unless the key is already stored (NULL stored keys match nothing)
+    stored_keys = {s for s in stored if None not in s}
+    best = {}
+    for k, t, o, v in rows:
+        if t is None:
+            continue
+        if (k, t) not in best or (o, v) < best[(k, t)][2:]:
+            best[(k, t)] = (k, t, o, v)
+    want = [r for key, r in best.items() if key not in stored_keys] + [r for r in rows if r[1] is None]
+    assert got == sorted(want, key=repr)
