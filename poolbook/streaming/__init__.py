@@ -3,6 +3,7 @@
 a stream.  ``polling`` re-expresses that as batch jobs over stored Parquet
 tables; any scheduler can call it."""
 
+from poolbook.streaming.arrival import refresh_on_arrival
 from poolbook.streaming.polling import (
     FactTable,
     backfill,
@@ -14,4 +15,4 @@ from poolbook.streaming.polling import (
     view_liquidity_table,
 )
 
-__all__ = ["FactTable", "backfill", "compact", "liquidity_table", "month_of", "refresh", "stored_table", "view_liquidity_table"]
+__all__ = ["FactTable", "backfill", "compact", "refresh_on_arrival", "liquidity_table", "month_of", "refresh", "stored_table", "view_liquidity_table"]

@@ -82,3 +82,41 @@ def test_compaction_keeps_rows_and_reduces_files(spark, scratch):
     assert R.compact(spark, table, ["2024-01"]) == len(before)
     assert _rows(R.stored_table(spark, table), J.LIQUIDITY_COLUMNS) == before
     assert len(files()) == 1 < n_before
+
+
+def test_refresh_on_arrival_matches_batch_build(spark, scratch):
+    """New change files arrive in two drops; each availableNow run writes the
+    affected days; the table ends equal to one batch build."""
+    import datetime as dt
+    from decimal import Decimal
+
+    from pyspark.sql import types as T
+
+    from poolbook.plans.config import PoolJob
+    from poolbook.plans.jobs import Sources
+    from poolbook.streaming import refresh_on_arrival
+
+    schema = T.StructType([T.StructField("wallet_address", T.LongType()), T.StructField("token_address", T.StringType()),
+                           T.StructField("amount_raw", T.DecimalType(38, 0)), T.StructField("timestamp", T.TimestampNTZType())])
+    changes_dir = os.path.join(scratch, "changes")
+    drop = lambda rows, part: spark.createDataFrame(rows, schema).write.mode("append").parquet(changes_dir)
+    drop([(1, "A", Decimal(10), dt.datetime(2024, 1, 1, 5)), (2, "A", Decimal(7), dt.datetime(2024, 1, 2, 5))], "p1")
+    registry = spark.createDataFrame([(1, "A"), (2, "A")], "exchange long, token string")
+    tokens = spark.createDataFrame([("A", "AAA", 0)], "contract_address string, symbol string, decimals int")
+    prices = spark.createDataFrame([], "contract_address string, minute timestamp_ntz, price double")
+    job_cfg = PoolJob("Test", "1", "single", pool_col="exchange", constant_index="token_0")
+    src = Sources(balances=lambda: spark.read.schema(schema).parquet(changes_dir), registry=lambda: registry,
+                  tokens=lambda: tokens, prices=lambda: prices)
+    job = lambda s, e, stored: J.build_window(job_cfg, src, s, e, stored=stored)
+    table = R.liquidity_table(os.path.join(scratch, "fact"), job("2024-01-01", "2024-01-02", None).schema, "Test", "1")
+    clock = {"now": dt.datetime(2024, 1, 4, 1)}
+    run = lambda: refresh_on_arrival(spark, job, table, changes_dir, schema, name=f"t{id(table)}",
+                                     now=lambda: clock["now"]).awaitTermination()
+    run()
+    first = R.stored_table(spark, table).count()
+    assert first == 3 + 2  # wallet 1: Jan 1-3, wallet 2: Jan 2-3
+    drop([(1, "A", Decimal(11), dt.datetime(2024, 1, 5, 5))], "p2")
+    clock["now"] = dt.datetime(2024, 1, 7, 1)
+    run()
+    full = J.build_window(job_cfg, src, "2024-01-01", "2024-01-07")
+    assert _rows(R.stored_table(spark, table), J.LIQUIDITY_COLUMNS) == _rows(full, J.LIQUIDITY_COLUMNS)
