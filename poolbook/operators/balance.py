@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from poolbook.functions.generators import _date, zip_explode
-from poolbook.operators.fill import in_window
+from poolbook.operators.fill import in_window, ts_literal
 from poolbook.operators.joins import sized_broadcast
 
 
@@ -92,7 +92,7 @@ def _window(df: DataFrame, start, end, ts: str = "ts") -> DataFrame:
     if start is None and end is None:
         return df
     if start is None:
-        return df.where(F.col(ts).cast("timestamp_ntz") < F.lit(_date(end)).cast("timestamp_ntz"))
+        return df.where(F.col(ts) < ts_literal(df, ts, end))
     return in_window(df, ts, start, end)
 
 

@@ -76,18 +76,22 @@ def forward_fill_daily(
 
     Changes at or after ``end`` cannot affect any output day and are dropped
     before the aggregation (the filter reaches the scan)."""
-    end_ts = F.lit(_date(end)).cast("timestamp_ntz")
-    relevant = changes.where(F.col(ts).cast("timestamp_ntz") < end_ts)
+    relevant = changes.where(F.col(ts) < ts_literal(changes, ts, end))
     daily = compact_daily(relevant, keys, value, ts, rank=rank, tie=tie)
     return expand_days(close_intervals(daily, keys, end), start, end)
 
 
 def in_window(changes: DataFrame, ts: str, start, end) -> DataFrame:
     """Half-open time filter ``start <= ts < end`` (P2); pushed to Parquet."""
-    lo = F.lit(_date(start)).cast("timestamp_ntz")
-    hi = F.lit(_date(end)).cast("timestamp_ntz")
-    t = F.col(ts).cast("timestamp_ntz")
-    return changes.where((t >= lo) & (t < hi))
+    t = F.col(ts)
+    return changes.where((t >= ts_literal(changes, ts, start)) & (t < ts_literal(changes, ts, end)))
+
+
+def ts_literal(df: DataFrame, ts: str, day) -> Column:
+    """Midnight of ``day`` as a literal of the column's own type (DATE,
+    TIMESTAMP or TIMESTAMP_NTZ), so comparisons stay on the bare column and
+    reach the Parquet scan as pushed filters."""
+    return F.lit(_date(day)).cast(df.schema[ts].dataType)
 
 
 def seed_rows(

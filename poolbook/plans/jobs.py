@@ -174,7 +174,7 @@ def build_deltas_window(deltas: DataFrame, pool_defs: DataFrame, tokens: DataFra
         # pool's address; key everything by the address so the definitions
         # (and the stored table) join on equal values.
         deltas = deltas.withColumn("pool", byte_prefix("pool", pool_prefix_len))
-    upto = deltas.where(F.col(ts).cast("timestamp_ntz") < F.lit(fill._date(end)).cast("timestamp_ntz"))
+    upto = deltas.where(F.col(ts) < fill.ts_literal(deltas, ts, end))
     if opening is not None:
         upto = fill.in_window(upto, ts, start, end)
     from poolbook.operators import balance

@@ -27,3 +27,15 @@ def test_compaction_is_partial_hash_aggregate(spark):
     plan = plan_text(E.queries()["daily_forward_fill"](spark, SF), "simple")
     assert "partial_max_by" in plan
     assert "SortAggregate" not in plan
+
+
+def test_window_bounds_push_down_on_zoned_timestamps(spark, scratch):
+    import datetime as dt
+    import os
+
+    from poolbook.operators import fill
+
+    path = os.path.join(scratch, "ltz.parquet")
+    spark.createDataFrame([(1, dt.datetime(2021, 7, 1))], "k int, ts timestamp").write.parquet(path)
+    plan = plan_text(fill.in_window(spark.read.parquet(path), "ts", "2021-07-01", "2021-07-02"))
+    assert "GreaterThanOrEqual(ts," in plan and "LessThan(ts," in plan
