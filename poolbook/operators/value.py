@@ -38,6 +38,7 @@ def value_at_day_open(
     raw_col: str = "token_amount_raw",
     start=None,
     end=None,
+    materialize_prices: bool = False,
 ) -> DataFrame:
     """Add ``token_symbol``, ``token_amount`` and ``token_usd_amount``.
 
@@ -50,11 +51,11 @@ def value_at_day_open(
         F.col("symbol").alias("token_symbol"),
         F.col("decimals").alias("_t_decimals"),
     )
-    px = midnight_prices(prices, start, end)
+    px = _price_side(midnight_prices(prices, start, end), materialize_prices)
     out = (
         df.join(sized_broadcast(dim, bound_by=tokens), F.col(token_col) == F.col("_t_token"), "left")
         .join(
-            px,  # grows with tokens x days: no hint, AQE broadcasts it only when measured small
+            px,
             (F.col(token_col) == F.col("_p_token")) & (F.col(day_col) == F.col("_p_day")),
             "left",
         )
@@ -64,6 +65,21 @@ def value_at_day_open(
     return out.drop("_t_token", "_t_decimals", "_p_token", "_p_day", "_p_price")
 
 
+def _price_side(px: DataFrame, materialize: bool) -> DataFrame:
+    """The daily price side of a join with the expanded (pool, token, day)
+    rows.  It grows with tokens x days, so by default it gets no hint and the
+    planner decides (AQE can still broadcast it once measured).  With
+    ``materialize`` the slice is written once to the shared checkpoint
+    folder, its size proven by a cheap count, and broadcast when small -- the
+    expanded rows, the biggest frame of a window, then never shuffle for the
+    price lookup."""
+    if not materialize:
+        return px
+    from poolbook.session import checkpoint
+
+    return sized_broadcast(checkpoint(px))
+
+
 def daily_average_prices(prices: DataFrame, start, end, token: str = "contract_address",
                          minute: str = "minute", price: str = "price") -> DataFrame:
     """A4: average price per (day, token) over ``[start, end)``."""
@@ -117,18 +133,21 @@ def value_with_fallback(
     day_col: str = "day",
     amounts: dict[str, str] | None = None,
     lookback_days: int = 0,
+    materialize_prices: bool = False,
 ) -> DataFrame:
     """price = daily average of ``prices`` if the token has one that day,
     else the latest sparse median at or before the day (as-of).  ``amounts``
     maps raw amount columns to (scaled name, usd name).  Sparse prices are
     read from ``start - lookback_days`` (0 = the reference's behaviour)."""
-    daily = daily_average_prices(prices, start, end).select(
-        F.col("token").alias("_d_token"), F.col("day").alias("_d_day"), F.col("price").alias("_d_price"))
+    daily = _price_side(daily_average_prices(prices, start, end).select(
+        F.col("token").alias("_d_token"), F.col("day").alias("_d_day"), F.col("price").alias("_d_price")),
+        materialize_prices)
     # lookback_days > 0 lets days early in the window use a sparse price from
     # before it (the reference starts the as-of series at the window start).
     sparse_start = _date(start) - dt.timedelta(days=lookback_days)
-    sparse = as_of_daily(sparse_daily_medians(hourly, sparse_start, end, min_samples), end).select(
-        F.col("token").alias("_s_token"), F.col("day").alias("_s_day"), F.col("price").alias("_s_price"))
+    sparse = _price_side(as_of_daily(sparse_daily_medians(hourly, sparse_start, end, min_samples), end).select(
+        F.col("token").alias("_s_token"), F.col("day").alias("_s_day"), F.col("price").alias("_s_price")),
+        materialize_prices)
     dim = tokens.select(
         F.col("contract_address").alias("_t_token"),
         F.col("symbol").alias("token_symbol"),

@@ -110,7 +110,8 @@ def build_window(job: PoolJob, src: Sources, start, end, stored: DataFrame | Non
         "token_index",
         F.col("amount_raw").alias("token_amount_raw"),
     )
-    valued = value.value_at_day_open(rows, src.tokens(), src.prices(), start=start, end=end)
+    valued = value.value_at_day_open(rows, src.tokens(), src.prices(), start=start, end=end,
+                                     materialize_prices=True)
     if src.labels is not None:
         valued = L.attach_label(valued, src.labels(), "pool_address")
     else:
@@ -149,7 +150,8 @@ def build_vault_totals_window(src: Sources, vault, pool_defs: DataFrame, start,
                                     "timestamp", start, end, rank=rank, tie=src.tie)
     rows = daily.select("day", F.col("wallet_address").alias("pool_address"), "token_address", "token_index",
                         F.col("amount_raw").alias("token_amount_raw"))
-    valued = value.value_at_day_open(rows, src.tokens(), src.prices(), start=start, end=end)
+    valued = value.value_at_day_open(rows, src.tokens(), src.prices(), start=start, end=end,
+                                     materialize_prices=True)
     return (valued.withColumn("pool_name", F.lit(None).cast("string"))
             .withColumn("project", F.lit(project)).withColumn("version", F.lit(version))
             .withColumn("category", F.lit("DEX"))
@@ -190,7 +192,7 @@ def build_deltas_window(deltas: DataFrame, pool_defs: DataFrame, tokens: DataFra
     rows = (filled.join(defs, (F.col("pool") == F.col("_d_pool")) & (F.col("token") == F.col("_d_tok")), "left")
             .select("day", F.col("pool").alias("pool_address"), F.col("token").alias("token_address"),
                     "token_amount_raw", "normalized_weight", "pool_name_symbolic"))
-    valued = value.value_at_day_open(rows, tokens, prices, start=start, end=end)
+    valued = value.value_at_day_open(rows, tokens, prices, start=start, end=end, materialize_prices=True)
     computed = F.when(F.col("pool_name_symbolic").isNotNull(),
                       F.concat(F.lit(name_prefix), F.col("pool_name_symbolic")))
     if labels is not None:
@@ -259,7 +261,7 @@ def build_flows_window(flows_v1: DataFrame, deltas_v2: DataFrame, tokens: DataFr
         cal, tokens, prices, hourly, start, end, min_samples, token_col="token", day_col="day",
         amounts={"delta_amount": ("delta_token_amount", "delta_usd_amount"),
                  "cumulative_amount": ("token_amount", "usd_amount")},
-        lookback_days=price_lookback_days)
+        lookback_days=price_lookback_days, materialize_prices=True)
     wt = weights.select(F.col("pool_id").alias("_w_pool"), F.col("token_address").alias("_w_tok"),
                         F.col("normalized_weight").alias("token_weight"))
     kept = (valued.join(wt, (F.col("pool") == F.col("_w_pool")) & (F.col("token") == F.col("_w_tok")))
