@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from poolbook.functions.generators import _date
-from poolbook.operators.joins import sized_broadcast
 
 
 def _null_key(keys: list[str]):

@@ -7,7 +7,6 @@ temporary folder) when the session has none, which is the test situation.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -100,8 +99,3 @@ def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
     cuts the lineage of long plans (never a local checkpoint)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
-
-
-def scratch_table_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table inside the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), "tables", name)

@@ -24,14 +24,3 @@ def read_table(spark: SparkSession, base: str, name: str, schema: StructType | N
     if schema is not None:
         reader = reader.schema(schema)
     return reader.parquet(path)
-
-
-def read_stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read a stored fact table, or an empty frame of ``schema`` when nothing
-    was written yet (first run)."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception as exc:  # AnalysisException: path does not exist
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return spark.createDataFrame([], schema)
-        raise

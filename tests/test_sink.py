@@ -43,3 +43,9 @@ def test_window_probes(spark):
     assert sink.high_water_mark(t, "Q", "1") is None
     assert sink.window_filled(t, "2021-01-01", "2021-01-06", "P", "1")
     assert not sink.window_filled(t, "2021-01-06", "2021-01-10", "P", "1")
+
+
+def test_first_per_key_keeps_null_keys_apart(spark):
+    batch = spark.createDataFrame([(1, "a", 2), (1, "a", 1), (None, "a", 5), (None, "a", 6)], "k int, t string, o int")
+    got = sorted((tuple(r) for r in sink.first_per_key(batch, ["k", "t"], ["o"]).collect()), key=repr)
+    assert got == sorted([(1, "a", 1), (None, "a", 5), (None, "a", 6)], key=repr)
