@@ -145,6 +145,6 @@ def member_tokens_only(df: DataFrame, wallet_value, pools: DataFrame,
                        wallet: str = "wallet_address", token: str = "token_address",
                        pool_token: str = "token_address") -> DataFrame:
     """P5 + J14: one wallet's rows whose token belongs to some pool."""
-    member = pools.select(F.col(pool_token).alias("_tok")).distinct()
+    member = sized_broadcast(pools.select(F.col(pool_token).alias("_tok")).distinct(), bound_by=pools)
     wallet_value = address_value(wallet_value, df.schema[wallet].dataType)
     return df.where(F.col(wallet) == F.lit(wallet_value)).join(member, F.col(token) == F.col("_tok"), "left_semi")

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from poolbook.functions.scalar import byte_prefix
 from poolbook.operators import fill, labels as L, pools, value
+from poolbook.operators.joins import sized_broadcast
 from poolbook.plans.config import LABEL_PREFIX, SEED_LOOKBACK_DAYS, PoolJob
 from poolbook.session import checkpoint
 
@@ -189,7 +190,8 @@ def build_deltas_window(deltas: DataFrame, pool_defs: DataFrame, tokens: DataFra
     filled = fill.expand_days(fill.close_intervals(state, ["pool", "token"], end), start, end)
     defs = pool_defs.select(F.col("pool_address").alias("_d_pool"), F.col("token_address").alias("_d_tok"),
                             "normalized_weight", "pool_name_symbolic")
-    rows = (filled.join(defs, (F.col("pool") == F.col("_d_pool")) & (F.col("token") == F.col("_d_tok")), "left")
+    rows = (filled.join(sized_broadcast(defs, bound_by=pool_defs),
+                        (F.col("pool") == F.col("_d_pool")) & (F.col("token") == F.col("_d_tok")), "left")
             .select("day", F.col("pool").alias("pool_address"), F.col("token").alias("token_address"),
                     "token_amount_raw", "normalized_weight", "pool_name_symbolic"))
     valued = value.value_at_day_open(rows, tokens, prices, start=start, end=end, materialize_prices=True)
@@ -264,7 +266,8 @@ def build_flows_window(flows_v1: DataFrame, deltas_v2: DataFrame, tokens: DataFr
         lookback_days=price_lookback_days, materialize_prices=True)
     wt = weights.select(F.col("pool_id").alias("_w_pool"), F.col("token_address").alias("_w_tok"),
                         F.col("normalized_weight").alias("token_weight"))
-    kept = (valued.join(wt, (F.col("pool") == F.col("_w_pool")) & (F.col("token") == F.col("_w_tok")))
+    kept = (valued.join(sized_broadcast(wt, bound_by=weights),
+                        (F.col("pool") == F.col("_w_pool")) & (F.col("token") == F.col("_w_tok")))
             .where((F.col("usd_amount") > 0) & (F.col("token_weight") > 0)))
     return kept.select(
         F.col("day").alias("block_time"), F.col("pool").alias("pool_address"), F.col("token").alias("token_address"),
