@@ -39,12 +39,30 @@ def test_every_query_has_an_oracle():
     assert set(E.queries()) == set(E.oracle_sql())
 
 
+def _duck_type(t) -> str:
+    from pyspark.sql import types as T
+
+    simple = {T.LongType: "BIGINT", T.IntegerType: "INTEGER", T.DoubleType: "DOUBLE", T.FloatType: "FLOAT",
+              T.StringType: "VARCHAR", T.DateType: "DATE", T.TimestampNTZType: "TIMESTAMP",
+              T.BooleanType: "BOOLEAN", T.BinaryType: "BLOB"}
+    for k, v in simple.items():
+        if isinstance(t, k):
+            return v
+    if isinstance(t, T.DecimalType):
+        return f"DECIMAL({t.precision},{t.scale})"
+    if isinstance(t, T.ArrayType):
+        return _duck_type(t.elementType) + "[]"
+    return t.simpleString()
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     cols = sorted(df.columns)
     rel = duck.sql(E.oracle_sql()[name])
     assert sorted(rel.columns) == cols
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {f.name: _duck_type(f.dataType) for f in df.schema.fields} == duck_types
     mine = sorted((tuple(_norm(r[c]) for c in cols) for r in df.collect()), key=repr)
     theirs = sorted((tuple(_norm(dict(zip(rel.columns, r))[c]) for c in cols) for r in rel.fetchall()), key=repr)
     assert mine == theirs
