@@ -27,7 +27,9 @@ _checked: dict[tuple[str, int, int], bool] = {}
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    from poolbook.session import session_key
+
+    key = (session_key(df.sparkSession), df.semanticHash(), max_rows)
     hit = _checked.get(key)
     if hit is None:
         hit = df.limit(max_rows + 1).count() <= max_rows

@@ -71,10 +71,21 @@ def build_session(
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # Spark Connect sessions have no SparkContext
+        pass
     return spark
 
 
+def session_key(spark: SparkSession) -> str:
+    """A stable identifier of the running application (or Connect session)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return f"session-{id(spark)}"
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
@@ -83,14 +94,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     (tests) an unset setting gets a fresh temporary folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        if not path:
+            raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server")
+        return path
     if not path:
-        master = spark.sparkContext.master
+        master = sc.master
         if not master.startswith("local"):
             # A machine-local folder would not survive executor loss.
             raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (e.g. on HDFS/S3) for this cluster")
         path = tempfile.mkdtemp(prefix="poolbook-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
 
 

@@ -73,7 +73,9 @@ _TOKENS_BY_APP: dict[str, DataFrame] = {}
 def tokens(spark: SparkSession) -> DataFrame:
     """The fixed token dimension; one frame per application, so every job
     of a session shares its plan (and its broadcast size check)."""
-    app = spark.sparkContext.applicationId
+    from poolbook.session import session_key
+
+    app = session_key(spark)
     if app not in _TOKENS_BY_APP:
         _TOKENS_BY_APP[app] = _tokens(spark)
     return _TOKENS_BY_APP[app]
