@@ -138,7 +138,9 @@ def active_only(df: DataFrame, trades: DataFrame, as_of, within_days: int = 7,
     t = trades.schema[trade_time].dataType
     cutoff = F.lit(_date(as_of)).cast(t) - F.expr(f"INTERVAL {within_days} DAYS")
     recent = trades.where(F.col(trade_time) > cutoff).select(F.col(trade_pool).alias("_active")).distinct()
-    return df.join(recent, F.col(wallet) == F.col("_active"), "left_semi")
+    # At most one row per pool: broadcast when proven small, so the big side
+    # is filtered in place instead of being shuffled for the semi join.
+    return df.join(sized_broadcast(recent), F.col(wallet) == F.col("_active"), "left_semi")
 
 
 def member_tokens_only(df: DataFrame, wallet_value, pools: DataFrame,
