@@ -217,3 +217,16 @@ def test_balancer_flows_on_chain_tables(spark, scratch):
         (pid, 3): (1100, 1100 / 100 * 5.5, "2"),
         (pid, 4): (1100, 1100 / 100 * 4.0, "2"),
     }
+
+
+def test_command_line_flow_fact(spark, scratch):
+    from poolbook.plans.run import main
+
+    _balancer_fixture(spark, scratch)
+    target = os.path.join(scratch, "out", "view_liquidity")
+    args = ["--lake", scratch, "--target", target, "--job", "balancer_flows"]
+    r = main(["backfill", *args, "--window", "2021-07-01", "2021-07-05"], spark=spark)
+    assert r["inserted"] == [4]
+    assert main(["backfill", *args, "--window", "2021-07-01", "2021-07-05"], spark=spark)["inserted"] == [0]
+    stored = spark.read.parquet(target)
+    assert sorted(r["month"] for r in stored.select("month").distinct().collect()) == ["2021-07"]
