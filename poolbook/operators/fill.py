@@ -76,9 +76,24 @@ def forward_fill_daily(
 
     Changes at or after ``end`` cannot affect any output day and are dropped
     before the aggregation (the filter reaches the scan)."""
+    return expand_days(daily_intervals(changes, keys, value, ts, end, rank=rank, tie=tie), start, end)
+
+
+def daily_intervals(
+    changes: DataFrame,
+    keys: list[str],
+    value: str,
+    ts: str,
+    end,
+    rank: str | None = None,
+    tie: str | None = None,
+) -> DataFrame:
+    """C1 before the day expansion: one row per key and day with a change,
+    valid on [day, next_day).  Joins that do not depend on the day (token
+    dimension, pool name) are cheaper here than on the expanded rows."""
     relevant = changes.where(F.col(ts) < ts_literal(changes, ts, end))
     daily = compact_daily(relevant, keys, value, ts, rank=rank, tie=tie)
-    return expand_days(close_intervals(daily, keys, end), start, end)
+    return close_intervals(daily, keys, end)
 
 
 def in_window(changes: DataFrame, ts: str, start, end) -> DataFrame:

@@ -45,16 +45,32 @@ def value_at_day_open(
     Left joins keep every row: an unknown token gives NULL symbol and
     amounts, a missing midnight price gives NULL USD.  The token dimension is
     broadcast behind a row-count check; the daily price table grows with
-    tokens x days and is joined by shuffle unless it is small."""
+    tokens x days and is left to the planner (shuffle join, turned into a
+    broadcast by AQE only when its measured size is small) unless
+    ``materialize_prices``."""
+    return price_at_day_open(token_dimension(df, tokens, token_col), prices, token_col, day_col, raw_col,
+                             start, end, materialize_prices)
+
+
+def token_dimension(df: DataFrame, tokens: DataFrame, token_col: str = "token_address") -> DataFrame:
+    """Add ``token_symbol`` and the helper ``_t_decimals`` (left join with
+    the token dimension, broadcast behind a row-count check)."""
     dim = tokens.select(
         F.col("contract_address").alias("_t_token"),
         F.col("symbol").alias("token_symbol"),
         F.col("decimals").alias("_t_decimals"),
     )
+    return df.join(sized_broadcast(dim, bound_by=tokens), F.col(token_col) == F.col("_t_token"), "left").drop("_t_token")
+
+
+def price_at_day_open(df: DataFrame, prices: DataFrame, token_col: str = "token_address", day_col: str = "day",
+                      raw_col: str = "token_amount_raw", start=None, end=None,
+                      materialize_prices: bool = False) -> DataFrame:
+    """J7 + F4 + F5 on rows that already carry ``_t_decimals``: the price at
+    the day's midnight, the scaled amount and its USD value."""
     px = _price_side(midnight_prices(prices, start, end), materialize_prices)
     out = (
-        df.join(sized_broadcast(dim, bound_by=tokens), F.col(token_col) == F.col("_t_token"), "left")
-        .join(
+        df.join(
             px,
             (F.col(token_col) == F.col("_p_token")) & (F.col(day_col) == F.col("_p_day")),
             "left",
@@ -62,7 +78,7 @@ def value_at_day_open(
         .withColumn("token_amount", scale_amount(raw_col, "_t_decimals"))
         .withColumn("token_usd_amount", usd_value(raw_col, "_t_decimals", "_p_price"))
     )
-    return out.drop("_t_token", "_t_decimals", "_p_token", "_p_day", "_p_price")
+    return out.drop("_t_decimals", "_p_token", "_p_day", "_p_price")
 
 
 def _price_side(px: DataFrame, materialize: bool) -> DataFrame:

@@ -101,22 +101,24 @@ def build_window(job: PoolJob, src: Sources, start, end, stored: DataFrame | Non
             F.col("token_amount_raw").alias("amount_raw"), "day", "token_index")
         log = fill.seeded_changes(log, seeds, "timestamp", "amount_raw")
         rank = "_src_rank"
-    daily = fill.forward_fill_daily(
+    intervals = fill.daily_intervals(
         log, ["wallet_address", "token_address", "token_index"], "amount_raw", "timestamp",
-        start, end, rank=rank, tie=src.tie)
-    rows = daily.select(
-        "day",
+        end, rank=rank, tie=src.tie)
+    states = intervals.select(
+        "day", "next_day",
         F.col("wallet_address").alias("pool_address"),
         "token_address",
         "token_index",
         F.col("amount_raw").alias("token_amount_raw"),
     )
-    valued = value.value_at_day_open(rows, src.tokens(), src.prices(), start=start, end=end,
-                                     materialize_prices=True)
+    # Day-independent lookups run on the interval rows, before the expansion.
+    states = value.token_dimension(states, src.tokens())
     if src.labels is not None:
-        valued = L.attach_label(valued, src.labels(), "pool_address")
+        states = L.attach_label(states, src.labels(), "pool_address")
     else:
-        valued = valued.withColumn("pool_name", F.lit(None).cast("string"))
+        states = states.withColumn("pool_name", F.lit(None).cast("string"))
+    rows = fill.expand_days(states, start, end)
+    valued = value.price_at_day_open(rows, src.prices(), start=start, end=end, materialize_prices=True)
     share = F.lit(job.share).cast("double") if job.share is not None else F.lit(None).cast("double")
     out = (valued.withColumn("project", F.lit(job.project))
            .withColumn("version", F.lit(job.version))
