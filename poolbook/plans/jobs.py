@@ -189,22 +189,27 @@ def build_deltas_window(deltas: DataFrame, pool_defs: DataFrame, tokens: DataFra
                                  opening_keys=["pool_address", "token_address"] if opening is not None else None,
                                  carry_inactive=opening is not None)
     state = rb.select("pool", "token", "day", F.col("cumulative_amount").alias("token_amount_raw"))
-    filled = fill.expand_days(fill.close_intervals(state, ["pool", "token"], end), start, end)
+    intervals = fill.close_intervals(state, ["pool", "token"], end)
+    # Day-independent lookups (pool definition, token, name) on the interval
+    # rows; only the price needs the expanded days.
     defs = pool_defs.select(F.col("pool_address").alias("_d_pool"), F.col("token_address").alias("_d_tok"),
                             "normalized_weight", "pool_name_symbolic")
-    rows = (filled.join(sized_broadcast(defs, bound_by=pool_defs),
-                        (F.col("pool") == F.col("_d_pool")) & (F.col("token") == F.col("_d_tok")), "left")
-            .select("day", F.col("pool").alias("pool_address"), F.col("token").alias("token_address"),
-                    "token_amount_raw", "normalized_weight", "pool_name_symbolic"))
-    valued = value.value_at_day_open(rows, tokens, prices, start=start, end=end, materialize_prices=True)
+    states = (intervals.join(sized_broadcast(defs, bound_by=pool_defs),
+                             (F.col("pool") == F.col("_d_pool")) & (F.col("token") == F.col("_d_tok")), "left")
+              .select("day", "next_day", F.col("pool").alias("pool_address"), F.col("token").alias("token_address"),
+                      "token_amount_raw", "normalized_weight", "pool_name_symbolic"))
+    states = value.token_dimension(states, tokens)
     computed = F.when(F.col("pool_name_symbolic").isNotNull(),
                       F.concat(F.lit(name_prefix), F.col("pool_name_symbolic")))
     if labels is not None:
-        valued = L.attach_label(valued, labels, "pool_address", out="_label")
+        states = L.attach_label(states, labels, "pool_address", out="_label")
         name = F.coalesce(F.col("_label"), computed)
     else:
         name = computed
-    return (valued.withColumn("pool_name", name)
+    states = states.withColumn("pool_name", name)
+    rows = fill.expand_days(states, start, end)
+    valued = value.price_at_day_open(rows, prices, start=start, end=end, materialize_prices=True)
+    return (valued
             .withColumn("project", F.lit(project)).withColumn("version", F.lit(version))
             .withColumn("category", F.lit("DEX")).withColumn("token_index", F.lit("token_x"))
             .withColumn("token_pool_percentage", F.col("normalized_weight").cast("double"))
