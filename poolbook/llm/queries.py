@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poolbook.llm import chat, url_filter
+from poolbook.llm import chat, decontaminate, url_filter
 from poolbook.llm.common import table
 
 
@@ -18,5 +18,10 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(rows))
 
 
-QUERIES = {"op2_url_filter": op2_url_filter, "op8_chat": op8_chat}
-ORACLE = {"op2_url_filter": url_filter.oracle(), "op8_chat": chat.oracle()}
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.digests(found)
+
+
+QUERIES = {"op4_decontamination": op4_decontamination, "op2_url_filter": op2_url_filter, "op8_chat": op8_chat}
+ORACLE = {"op4_decontamination": decontaminate.oracle(), "op2_url_filter": url_filter.oracle(), "op8_chat": chat.oracle()}
