@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poolbook.llm import chat, decontaminate, packing, url_filter
+from poolbook.llm import chat, decontaminate, line_rules, packing, url_filter
 from poolbook.llm.common import table
 
 
@@ -27,5 +27,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op10_packing": op10_packing, "op4_decontamination": op4_decontamination, "op2_url_filter": op2_url_filter, "op8_chat": op8_chat}
+def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return line_rules.judge(docs, line_rules.train(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES = {"op6_line_rules": op6_line_rules, "op10_packing": op10_packing, "op4_decontamination": op4_decontamination, "op2_url_filter": op2_url_filter, "op8_chat": op8_chat}
 ORACLE = {"op4_decontamination": decontaminate.oracle(), "op2_url_filter": url_filter.oracle(), "op8_chat": chat.oracle()}
