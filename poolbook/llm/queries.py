@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poolbook.llm import chat, decontaminate, line_rules, neardup, packing, url_filter
+from poolbook.llm import chat, decontaminate, line_rules, neardup, packing, pii, url_filter
 from poolbook.llm.common import table
 
 
@@ -36,5 +36,9 @@ def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op9_neardup": op9_neardup, "op6_line_rules": op6_line_rules, "op10_packing": op10_packing, "op4_decontamination": op4_decontamination, "op2_url_filter": op2_url_filter, "op8_chat": op8_chat}
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.detect(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {"op7_pii": op7_pii, "op9_neardup": op9_neardup, "op6_line_rules": op6_line_rules, "op10_packing": op10_packing, "op4_decontamination": op4_decontamination, "op2_url_filter": op2_url_filter, "op8_chat": op8_chat}
 ORACLE = {"op4_decontamination": decontaminate.oracle(), "op2_url_filter": url_filter.oracle(), "op8_chat": chat.oracle()}
