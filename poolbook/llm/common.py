@@ -81,16 +81,25 @@ class Words:
     """The words of a string column: ``text`` (Arrow strings), ``row`` (row of
     each word), ``start``/``end`` (byte span in the chunk) and ``count`` per row."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, keep: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, keep: np.ndarray, kind: np.ndarray | None = None, single: int = -1):
+        """keep: the bytes of words.  kind: byte classes; words are also cut
+        between two bytes of different classes, or both of class ``single``
+        (class 0 never cuts)."""
         n = len(offsets) - 1
         on = keep[data]
         first = on.copy()
         first[1:] &= ~on[:-1]
+        if kind is not None and len(data):
+            k = kind[data]
+            cut = on[1:] & on[:-1] & (k[1:] > 0) & (k[:-1] > 0) & ((k[1:] != k[:-1]) | (k[1:] == single))
+            first[1:] |= cut
         rows = offsets[:-1][offsets[:-1] < offsets[1:]]
         first[rows] = on[rows]
         self.start = np.flatnonzero(first)
         last = on.copy()
         last[:-1] &= ~on[1:]
+        if kind is not None and len(data):
+            last[:-1] |= cut
         ends = rows[1:] - 1
         last[ends] = on[ends]
         self.end = np.flatnonzero(last) + 1
