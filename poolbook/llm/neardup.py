@@ -45,6 +45,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from poolbook.llm.common import LOWER, WORD, Words, bytes_of, chunks, mix, stored, word_hash
 
@@ -358,7 +359,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id names their class (every text without words
-    is a class); one of several rows that repeat such an id and its text."""
+    is a class), rows without an id, and one of several rows with equal id and
+    text.  An id that names a class keeps all its different texts."""
     named = classes(docs, id_col, text_col).filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    once = docs.filter(F.col(id_col).isNotNull()).join(named, F.col(id_col) == F.col("_kept"), "left_semi").dropDuplicates([id_col, text_col])
-    return once.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))
+    mine = docs.filter(F.col(id_col).isNotNull()).join(named, F.col(id_col) == F.col("_kept"), "left_semi")
+    again = W.partitionBy(id_col, F.xxhash64(text_col)).orderBy(id_col)
+    once = mine.withColumn("_again", F.row_number().over(again)).filter("_again = 1").select(*docs.columns)
+    return once.unionByName(docs.filter(F.col(id_col).isNull()))

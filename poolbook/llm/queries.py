@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poolbook.llm import chat, decontaminate, html_text, line_rules, neardup, packing, pii, quality, url_filter
+from poolbook.llm import chat, decontaminate, html_text, licenses, line_rules, neardup, packing, pii, quality, url_filter
 from poolbook.llm.common import table
 
 
@@ -48,5 +48,9 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {"op5_html_text": op5_html_text, "op1_quality": op1_quality, "op7_pii": op7_pii, "op9_neardup": op9_neardup, "op6_line_rules": op6_line_rules, "op10_packing": op10_packing, "op4_decontamination": op4_decontamination, "op2_url_filter": op2_url_filter, "op8_chat": op8_chat}
-ORACLE = {"op4_decontamination": decontaminate.oracle(), "op2_url_filter": url_filter.oracle(), "op8_chat": chat.oracle()}
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(licenses.documents_as_files(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {"op3_licenses": op3_licenses, "op5_html_text": op5_html_text, "op1_quality": op1_quality, "op7_pii": op7_pii, "op9_neardup": op9_neardup, "op6_line_rules": op6_line_rules, "op10_packing": op10_packing, "op4_decontamination": op4_decontamination, "op2_url_filter": op2_url_filter, "op8_chat": op8_chat}
+ORACLE = {"op3_licenses": licenses.oracle(), "op4_decontamination": decontaminate.oracle(), "op2_url_filter": url_filter.oracle(), "op8_chat": chat.oracle()}
