@@ -31,6 +31,7 @@ rows.  Further columns of the input are not read.
 from __future__ import annotations
 
 import bisect
+import unicodedata
 import zlib
 from collections.abc import Iterator, Mapping
 
@@ -40,12 +41,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from poolbook.llm.common import DARK, Words, bytes_of, chunks, stored
+from poolbook.llm.common import DARK, LOWER, Words, bytes_of, chunks, stored
 
 CAPACITY = 4096
 END = 1
-#: Words that a worker keeps the ids of, between chunks.
-MEMO = 300_000
+#: Units that a worker keeps the ids of, between chunks.
+MEMO = 400_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, task string, k bigint"
 _workers: dict = {}
@@ -57,12 +58,22 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Classes of bytes between which the tokenizer always splits: letter, digit
+#: (each alone), punctuation.  The apostrophe (contractions), control bytes and
+#: bytes of longer code points are in none.
+KIND = np.zeros(256, np.uint8)
+for _b in range(0x21, 0x7F):
+    KIND[_b] = 1 if chr(_b).isalpha() else 2 if chr(_b).isdigit() else 3 if chr(_b) != "'" else 0
+
+
 class Encoder:
-    """Ids of whole texts by way of their distinct words.
+    """Ids of whole texts by way of their distinct units.
 
-    The tokenizer normalises and splits at white space before its merges, and no
-    pattern of its splitter looks across, so the ids of a text are those of its
-    words (cut at ASCII white space), one after the other.
+    The tokenizer normalises, lower-cases and splits before its merges, always at
+    white space and between ASCII letters, digits and punctuation.  So the ids of
+    a text are those of its units, one after the other, and every distinct unit
+    is encoded once.  Chunks in which a special token may stand are cut at white
+    space only, and keep their case.
     """
 
     def __init__(self, path: str):
@@ -72,19 +83,35 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values()) + 3, bool)  # ids that end a unit of letters
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.memo: dict[str, np.ndarray] = {}
 
+    def learn(self, units: list[str]) -> None:
+        """Ids of units; those of letters only are encoded many to a text, which
+        the ids that end a unit take apart again."""
+        plain = [u for u in units if u.isalpha() and unicodedata.is_normalized("NFC", u) and u.lower().isalpha()]
+        for at in range(0, len(plain), 512):
+            part = plain[at : at + 512]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(part) and cuts[-1] == len(ids):
+                self.memo.update(zip(part, np.split(ids, cuts[:-1])))
+        rest = [u for u in units if u not in self.memo]
+        for u, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
+            self.memo[u] = np.array(e.ids, np.uint32)
+
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows as uint32, count per row), without the final id."""
         data, offsets = bytes_of(texts)
-        words = Words(data, offsets, DARK)
+        special = b"<|" in data.tobytes()
+        words = Words(data, offsets, DARK) if special else Words(LOWER[data], offsets, DARK, KIND, 2)
         coded = words.text.dictionary_encode()
         names = coded.dictionary.to_pylist()
         if len(self.memo) > MEMO:
             self.memo.clear()
-        new = [w for w in names if w not in self.memo]
-        for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.memo[w] = np.array(e.ids, np.uint32)
+        self.learn([w for w in names if w not in self.memo])
         own = [self.memo[w] for w in names]
         size = np.array([len(x) for x in own], np.int64)
         flat = np.concatenate(own) if own else np.zeros(0, np.uint32)
@@ -111,7 +138,7 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vo
 
         encode = encoder(vocabulary or default_vocabulary())
         task, seen = uuid.uuid4().hex, np.zeros(capacity + 1, np.int64)
-        for batch in chunks(batches, "text", 2 << 20):
+        for batch in chunks(batches, "text", 4 << 20):
             ids, count = encode.ids(batch.column("text"))
             at, out = 0, []
             for doc, n in zip(batch.column("id").to_pylist(), count.tolist()):
