@@ -123,10 +123,10 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", cosin
     slim = files.select(F.coalesce(path_col, F.lit("/")).alias("path"), F.col(text_col).alias("text"))
     n, idf = statistics(slim)
     need = required_words(idf, cosine)
-    low = _lower(F.coalesce("text", F.lit("")))
-    some = lambda c: F.greatest(F.lit(False), F.lit(False), *[c.contains(w) for w in need])
-    split = slim.filter(some(low)).select("path", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    lines = stored(split.filter(F.arrays_overlap(words(F.col("line")), F.array(*map(F.lit, need)))), "lines")
+    listed = F.array(*map(F.lit, need))
+    # Few texts have a required word; only those are taken apart into lines.
+    split = slim.filter(F.arrays_overlap(words(F.col("text")), listed)).select("path", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    lines = stored(split.filter(F.arrays_overlap(words(F.col("line")), listed)), "lines")
     best = lines.join(score_lines(lines, n, idf, cosine), "line").groupBy("path").agg(
         F.min(F.struct((-F.col("score")).alias("minus"), F.col("license"), F.col("at"))).alias("b")).select(
         F.col("path").alias("_path"), F.col("b.license").alias("own_license"), (-F.col("b.minus")).alias("own_score"))
