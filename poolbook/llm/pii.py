@@ -247,10 +247,9 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 def redact(docs: DataFrame, text_col: str = "text", weights: Sequence[float] | None = None) -> DataFrame:
     """``docs`` with every span of the text replaced by its kind, e.g. ``[EMAIL]``;
     overlapping spans become one replacement, named by the first."""
-    own = docs.columns
-    found = candidates(docs, text_col)
+    found = candidates(docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text")))
     df = decide(found, fit(vote_counts(found)) if weights is None else weights)
-    text = F.col(text_col)
+    text = F.col("text")
 
     def step(acc: Column, s: Column) -> Column:
         gap = F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
@@ -259,7 +258,8 @@ def redact(docs: DataFrame, text_col: str = "text", weights: Sequence[float] | N
 
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
     clean = F.aggregate("spans", start, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(text, a["at"] + 1, F.length(text))))
-    return df.withColumn(text_col, F.when(F.size("spans") > 0, clean).otherwise(text)).select(*own)
+    changed = F.when(F.size("spans") > 0, clean).otherwise(text)
+    return df.select(*[(changed if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def digests(detected: DataFrame) -> DataFrame:
