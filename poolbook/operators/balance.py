@@ -24,22 +24,28 @@ def running_balance_events(deltas: DataFrame, keys: list[str], ts: str, delta: s
     ``ts``.  ``frame="range"``: rows with equal ``ts`` share one total (SQL's
     default frame); ``frame="rows"``: stepwise, ties broken by ``tie``.
 
-    Built skew-proof: days before the row come from a per-(key, day) partial
-    sum and a window over days (one row per key and day); only the part inside
-    the row's own day needs a window over raw rows, partitioned by (key, day),
-    so a busy key is split across its days."""
-    day = F.to_date(ts)
-    with_day = deltas.withColumn("_day", day)
+    Days before the row come from a per-(key, day) partial sum and a window
+    over days (one row per key and day); only the part inside the row's own day
+    needs a window over raw rows, partitioned by (key, day).  A busy key is
+    split across its days; one busy day of one key stays one window."""
+    own = deltas.columns
+    with_day = deltas.withColumn("_day", F.to_date(ts))
     per_day = with_day.groupBy(*keys, "_day").agg(F.sum(delta).alias("_day_sum"))
     before = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    prior = per_day.withColumn("_prior", F.coalesce(F.sum("_day_sum").over(before), F.lit(0).cast(per_day.schema["_day_sum"].dataType)))
+    prior = per_day.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_day").alias("_d"),
+                           F.sum("_day_sum").over(before).alias("_prior"))
     order = [F.col(ts)] + ([F.col(tie)] if (tie and frame == "rows") else [])
     w = Window.partitionBy(*keys, "_day").orderBy(*order)
     w = w.rangeBetween(Window.unboundedPreceding, Window.currentRow) if frame == "range" else \
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     within = with_day.withColumn("_within", F.sum(delta).over(w))
-    joined = within.join(prior.select(*keys, "_day", "_prior"), [*keys, "_day"], "inner") if keys else within
-    return joined.withColumn(out, F.col("_prior") + F.col("_within")).drop("_day", "_prior", "_within")
+    same = F.col("_day").eqNullSafe(F.col("_d"))
+    for i, k in enumerate(keys):  # a NULL key is a key like any other
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    joined = within.join(prior, same, "inner")
+    # NULL only while nothing but NULLs came before, as in SQL
+    total = F.coalesce(F.col("_prior") + F.col("_within"), F.col("_prior"), F.col("_within"))
+    return joined.select(*own, total.alias(out))
 
 
 def opening_balance(stored: DataFrame, start, time_col: str = "block_time",
@@ -61,20 +67,17 @@ def running_balance(daily: DataFrame, keys: list[str], opening: DataFrame | None
     """C4 + W5 + J12: cumulative daily balance = opening + running sum of
     the daily deltas (one row per key and day with movement).
 
-    ``carry_inactive``: keys that have an opening balance but no movement in
-    the window get a zero-delta row on ``start`` so that later expansion
-    carries them (the reference drops them; default off = reference)."""
+    ``carry_inactive``: every key with an opening balance has a row on
+    ``start`` (zero plus what moves that day), so that later expansion carries
+    it from the first day on, whenever it moves next (default off)."""
     d = daily
     if opening is not None:
         ok = opening_keys or keys
         op = opening.select(*[F.col(a).alias(f"_o{i}") for i, a in enumerate(ok)], "last_amount")
         if carry_inactive:
-            idle = op.join(d.select(*[F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)]).distinct(),
-                           [f"_o{i}" for i in range(len(keys))], "left_anti")
             zero = F.lit(0).cast(d.schema[delta].dataType)
-            extra = idle.select(F.lit(_date(start)).alias("day"),
-                                *[F.col(f"_o{i}").alias(k) for i, k in enumerate(keys)], zero.alias(delta))
-            d = d.unionByName(extra, allowMissingColumns=True)
+            extra = op.select(F.lit(_date(start)).alias("day"), *[F.col(f"_o{i}").alias(k) for i, k in enumerate(keys)], zero.alias(delta))
+            d = d.select("day", *keys, delta).unionByName(extra).groupBy("day", *keys).agg(F.sum(delta).alias(delta))
         cond = [F.col(k) == F.col(f"_o{i}") for i, k in enumerate(keys)]
         c = cond[0]
         for x in cond[1:]:

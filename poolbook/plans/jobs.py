@@ -72,9 +72,13 @@ def build_window(job: PoolJob, src: Sources, start, end, stored: DataFrame | Non
                  seed_mode: str = "lookback", lookback_days: int = SEED_LOOKBACK_DAYS,
                  as_of=None) -> DataFrame:
     """Rows of the fact table for days in ``[start, end)`` (not yet written)."""
-    changes = fill.in_window(src.balances(), "timestamp", start, end)
-    if job.exclude:
-        changes = pools.exclude_pools(changes, list(job.exclude))
+    changes = src.balances()
+    if job.active_within_days is not None and stored is None:
+        # The active drafts read all history, so that a pool's state from
+        # before the window is carried into it.
+        changes = changes.where(F.col("timestamp") < fill.ts_literal(changes, "timestamp", end))
+    else:
+        changes = fill.in_window(changes, "timestamp", start, end)
     if job.active_within_days is not None:
         changes = pools.active_only(changes, src.trades(), as_of or end, job.active_within_days)
     registry = src.registry()
@@ -101,6 +105,8 @@ def build_window(job: PoolJob, src: Sources, start, end, stored: DataFrame | Non
             F.col("token_amount_raw").alias("amount_raw"), "day", "token_index")
         log = fill.seeded_changes(log, seeds, "timestamp", "amount_raw")
         rank = "_src_rank"
+    if job.exclude:  # after the union: stored rows of an excluded pool are dropped too
+        log = pools.exclude_pools(log, list(job.exclude))
     intervals = fill.daily_intervals(
         log, ["wallet_address", "token_address", "token_index"], "amount_raw", "timestamp",
         end, rank=rank, tie=src.tie)

@@ -24,7 +24,7 @@ from poolbook.streaming import polling
 
 SPECIAL = {
     "balancer_v2": ("Balancer", "2"),
-    "balancer_v2_vault": ("Balancer", "2"),
+    "balancer_v2_vault": ("Balancer", chain.VAULT_VERSION),
     "balancer_flows": None,
 }
 

@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from poolbook.functions.generators import _date
 from poolbook.operators import balance
 from poolbook.operators import labels as L
 from poolbook.operators import pools
@@ -207,19 +208,29 @@ def sources_for(t: ChainTables, job: str, with_labels: bool = True) -> Sources:
 
 
 # ---- Balancer v2 and the flow design (Q10-Q12) ------------------------------
+#: Version tag of the vault totals: a scope of their own beside the pools' rows.
+VAULT_VERSION = "2-vault"
+
+
+def _has_day_before(stored: DataFrame, start) -> bool:
+    day = F.date_sub(F.lit(_date(start)), 1)
+    return bool(stored.where(F.col("day") == day).limit(1).count())
+
+
 def balancer_v2_window(t: ChainTables, start, end, stored: DataFrame | None = None,
                        with_labels: bool = True) -> DataFrame:
     """Q10: per-pool balances from vault deltas (joins/exits, swaps, managed
     cash), keyed by the 20-byte pool address; weights as share.  With a
     stored table the balance restarts from its rows of the day before
-    ``start`` (opening balance) instead of the full history."""
+    ``start`` (opening balance) if it has any; else it sums the full history."""
     arms = vault_arms(t, ("swaps", "balance_changes", "managed"))
     opening = None
     lo = None
     if stored is not None:
         mine = stored.where((F.col("project") == "Balancer") & (F.col("version") == "2"))
-        opening = balance.opening_balance(mine, start, time_col="day")
-        lo = start
+        if _has_day_before(mine, start):
+            opening = balance.opening_balance(mine, start, time_col="day")
+            lo = start
     events = balance.vault_delta_events(lo, end, swaps=arms["swaps"], balance_changes=arms["balance_changes"],
                                         managed=arms["managed"])
     return J.build_deltas_window(
@@ -231,7 +242,7 @@ def balancer_v2_vault_window(t: ChainTables, start, end, stored: DataFrame | Non
     """Q11: the vault wallet's balance of every token of a registered pool."""
     src = Sources(balances=lambda: t("token_balances"), registry=lambda: None, tokens=lambda: t("tokens"),
                   prices=lambda: t("prices_usd"))
-    return J.build_vault_totals_window(src, BALANCER_V2_VAULT, balancer_v2_pools(t), start, end, stored=stored)
+    return J.build_vault_totals_window(src, BALANCER_V2_VAULT, balancer_v2_pools(t), start, end, version=VAULT_VERSION, stored=stored)
 
 
 def balancer_flows_window(t: ChainTables, start, end, stored: DataFrame | None = None,

@@ -200,11 +200,11 @@ def swaps_activity(spark: SparkSession, base: str) -> DataFrame:
 
 
 def curve_trades(spark: SparkSession, base: str) -> DataFrame:
-    """Trades naming two tokens of a pool: events above 250 are trades of
-    their type against 'click' (or 'view' for clicks)."""
+    """Trades naming two tokens of a pool: every event is a trade of its type
+    against 'click' (or 'view' for clicks)."""
     ev = read_table(spark, base, "events")
     other = F.when(F.col("event_type") == "click", "view").otherwise("click")
-    return ev.where(F.col("value") > 250).select(
+    return ev.select(
         F.col("user_id").alias("exchange_contract_address"),
         F.col("event_type").alias("token_a_address"),
         other.alias("token_b_address"),
@@ -265,17 +265,17 @@ def pool_registrations(spark: SparkSession, base: str) -> DataFrame:
 
 
 def pool_creations(spark: SparkSession, base: str, kind: str) -> DataFrame:
-    """Factory calls from embeddings: label 0-3 weighted (3 tokens, 2
-    weights), 4-6 two-token (2 and 2), 7-9 stable (3 tokens, no weights).
+    """Factory calls from embeddings: label 0-3 weighted (33 tokens, 31
+    weights), 4-6 two-token (32 and 31), 7-9 stable (64 tokens, no weights).
     Weights are fixed-point with 1e18 = 100 %."""
     e = read_table(spark, base, "embeddings")
-    n_tokens = {"WP": 3, "WP2T": 2, "SP": 3}[kind]
+    n_tokens = {"WP": 33, "WP2T": 32, "SP": 64}[kind]
     cond = {"WP": F.col("label") < 4, "WP2T": (F.col("label") >= 4) & (F.col("label") < 7), "SP": F.col("label") >= 7}[kind]
     tokens = F.transform(F.slice("embedding", 1, n_tokens), lambda x: F.round(x.cast("double") * 1000).cast("bigint"))
     cols = [F.col("vec_id").alias("tx"), tokens.alias("tokens"),
             F.concat(F.lit("BPT-"), F.col("label").cast("string")).alias("symbol")]
     if kind != "SP":
-        weights = F.transform(F.slice("embedding", 4, 2),
+        weights = F.transform(F.slice("embedding", 34, 31),
                               lambda x: (F.round(F.abs(x.cast("double")) * 100) * F.lit(1e16)).cast("decimal(20,0)"))
         cols.insert(2, weights.alias("weights"))
     return e.where(cond).select(*cols)
