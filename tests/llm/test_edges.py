@@ -118,7 +118,7 @@ def test_pii(spark, docs):
     assert rows[1]["spans"] == "" and rows[1]["base_sha256"] == hashlib.sha256(b"").hexdigest()
     assert pii.redact(docs).columns == docs.columns
     assert pii.detect(docs.limit(0)).count() == 0
-    text = "\U0001f600 a@b.co, 10.0.0.256 10.0.0.255 4111 1111 1111 1111 +1 (234) 567-8901 " + "9" * 30000 + "a." * 20000
+    text = "\U0001f600 a@b.co, 10.0.0.256 10.0.0.255; 4111 1111 1111 1111; +1 (234) 567-8901; " + "9" * 30000 + "a." * 20000
     got = pii.digests(pii.detect(spark.createDataFrame([(1, text)], "doc_id bigint, text string"))).first()
     assert (got["n_email"], got["n_ip"], got["n_card"], got["n_phone"]) == (1, 1, 1, 1)
     assert got["spans"].startswith("email:2:8")
