@@ -3,12 +3,14 @@ balance, net flows of member wallets, and the vault delta union."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from poolbook.functions.generators import _date, zip_explode
-from poolbook.operators.fill import in_window, ts_literal
-from poolbook.operators.joins import sized_broadcast
+from poolbook.operators.fill import in_months, in_window, ts_literal
 
 
 def daily_deltas(events: DataFrame, keys: list[str], ts: str, delta: str, out: str = "delta_amount") -> DataFrame:
@@ -51,13 +53,15 @@ def running_balance_events(deltas: DataFrame, keys: list[str], ts: str, delta: s
 def opening_balance(stored: DataFrame, start, time_col: str = "block_time",
                     keys: tuple[str, ...] = ("pool_address", "token_address"),
                     amount: str = "token_amount_raw", extra: tuple[str, ...] = ()) -> DataFrame:
-    """Stored rows at the latest time within the day before ``start``
-    (a scalar max, broadcast back as a one-row frame)."""
-    prev = F.date_sub(F.lit(_date(start)), 1)
-    day_rows = stored.where(F.to_date(time_col) == prev)
-    latest = day_rows.agg(F.max(time_col).alias("_latest"))
-    return (day_rows.join(F.broadcast(latest), F.col(time_col) == F.col("_latest"))
-            .select(*keys, F.col(amount).alias("last_amount"), *extra))
+    """Stored rows at the latest time within the day before ``start``.
+    Only that day's month is read.  In a table of whole days these are the
+    rows of that day; else a scalar max is joined back as a one-row frame."""
+    prev = _date(start) - dt.timedelta(days=1)
+    rows = in_window(in_months(stored, prev, prev), time_col, prev, start)
+    if not isinstance(stored.schema[time_col].dataType, T.DateType):
+        latest = rows.agg(F.max(time_col).alias("_latest"))
+        rows = rows.join(F.broadcast(latest), F.col(time_col) == F.col("_latest"))
+    return (rows.select(*keys, F.col(amount).alias("last_amount"), *extra))
 
 
 def running_balance(daily: DataFrame, keys: list[str], opening: DataFrame | None = None,
@@ -116,7 +120,7 @@ def net_flows(transfers: DataFrame, members: DataFrame, start, end,
         )).alias("leg"),
     ).select("day", "token", "leg.pool", "leg.amount")
     m = members.select(F.col("pool").alias("_m")).distinct()
-    kept = legs.join(sized_broadcast(m), F.col("pool") == F.col("_m"), "left_semi")
+    kept = legs.join(m, F.col("pool") == F.col("_m"), "left_semi")
     return kept.groupBy("day", "pool", "token").agg(F.sum("amount").alias("amount"))
 
 

@@ -15,6 +15,8 @@ raw change log and range-joins the intervals with a calendar.  Here:
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,6 +111,18 @@ def ts_literal(df: DataFrame, ts: str, day) -> Column:
     return F.lit(_date(day)).cast(df.schema[ts].dataType)
 
 
+def in_months(stored: DataFrame, first=None, last=None) -> DataFrame:
+    """Partition pruning of a stored table: only the months (``yyyy-MM`` in
+    its ``month`` column, if it has one) of the days ``first`` to ``last``."""
+    if "month" not in stored.columns:
+        return stored
+    if first is not None:
+        stored = stored.where(F.col("month") >= _date(first).strftime("%Y-%m"))
+    if last is not None:
+        stored = stored.where(F.col("month") <= _date(last).strftime("%Y-%m"))
+    return stored
+
+
 def seed_rows(
     stored: DataFrame,
     start,
@@ -117,6 +131,7 @@ def seed_rows(
     mode: str = "lookback",
 ) -> DataFrame:
     """Stored output rows that restart a window from saved state.
+    A table with a ``month`` column is read from the first month needed on.
 
     ``mode="lookback"``: rows with ``day >= start - lookback_days`` (the
     reference re-reads a few days in case the previous run was incomplete).
@@ -124,8 +139,8 @@ def seed_rows(
     found with a scalar max -- one tiny aggregate, broadcast back.
     """
     if mode == "lookback":
-        lo = F.date_sub(F.lit(_date(start)), lookback_days)
-        return stored.where(F.col(day) >= lo)
+        lo = _date(start) - dt.timedelta(days=lookback_days)
+        return in_months(stored, lo).where(F.col(day) >= F.lit(lo))
     if mode == "latest":
         latest = stored.agg(F.max(day).alias("_latest_day"))
         return stored.join(F.broadcast(latest), F.col(day) == F.col("_latest_day")).drop("_latest_day")

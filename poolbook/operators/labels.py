@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from poolbook.functions.scalar import address_value, concat_skip_null, replace_value
-from poolbook.operators.joins import sized_broadcast
 
 LABEL_TYPE = "lp_pool_name"
 DEFAULT_AUTHOR = "poolbook"
@@ -27,11 +26,11 @@ def _label_frame(df: DataFrame, address: str, label, author: str) -> DataFrame:
 def pair_labels(registry: DataFrame, tokens: DataFrame, pool: str, token0: str, token1: str,
                 prefix: str, author: str = DEFAULT_AUTHOR) -> DataFrame:
     """Q13-Q15: ``<prefix><symbol0> - <symbol1>`` for pools whose two tokens
-    both have a symbol.  Two lookups from the registry into the broadcast
-    token dimension replace the reference's self-join of two half-results."""
+    both have a symbol.  Two lookups from the registry into the token
+    dimension replace the reference's self-join of two half-results."""
     s0, s1 = _symbols(tokens, "s0"), _symbols(tokens, "s1")
-    named = (registry.join(sized_broadcast(s0, bound_by=tokens), F.col(token0) == F.col("_s0_tok"))
-             .join(sized_broadcast(s1, bound_by=tokens), F.col(token1) == F.col("_s1_tok")))
+    named = (registry.join(s0, F.col(token0) == F.col("_s0_tok"))
+             .join(s1, F.col(token1) == F.col("_s1_tok")))
     return _label_frame(named, pool, concat_skip_null(F.lit(prefix), F.col("s0"), F.lit(" - "), F.col("s1")), author)
 
 
@@ -39,7 +38,7 @@ def single_labels(registry: DataFrame, tokens: DataFrame, pool: str, token: str,
                   counter_symbol: str, author: str = DEFAULT_AUTHOR) -> DataFrame:
     """Q13 (single-token pools): ``<prefix><symbol> - <counter_symbol>``."""
     s0 = _symbols(tokens, "s0")
-    named = registry.join(sized_broadcast(s0, bound_by=tokens), F.col(token) == F.col("_s0_tok"))
+    named = registry.join(s0, F.col(token) == F.col("_s0_tok"))
     return _label_frame(named, pool, concat_skip_null(F.lit(prefix), F.col("s0"), F.lit(" - "), F.lit(counter_symbol)), author)
 
 
@@ -54,7 +53,7 @@ def hub_labels(events: DataFrame, tokens: DataFrame, pool: str, token: str, nati
              .select(F.col(pool).alias("_pool"), replace_value(F.col(token), F.lit(native), F.lit(wrapped)).alias("_tok"))
              .distinct())
     s0 = _symbols(tokens, "s0")
-    named = pairs.join(sized_broadcast(s0, bound_by=tokens), F.col("_tok") == F.col("_s0_tok"))
+    named = pairs.join(s0, F.col("_tok") == F.col("_s0_tok"))
     return _label_frame(named, "_pool", concat_skip_null(F.lit(prefix), F.col("s0"), F.lit(" - "), F.lit(hub_symbol)), author)
 
 
@@ -74,5 +73,4 @@ def attach_label(df: DataFrame, labels: DataFrame, address_col: str, out: str =
     per_address = (labels.where(F.col("type") == label_type)
                    .groupBy(F.col("address").alias("_l_addr"))
                    .agg(F.array_join(F.array_sort(F.collect_set("label")), ", ").alias(out)))
-    side = sized_broadcast(per_address, bound_by=labels)  # one row per address <= one per label
-    return df.join(side, F.col(address_col) == F.col("_l_addr"), "left").drop("_l_addr")
+    return df.join(per_address, F.col(address_col) == F.col("_l_addr"), "left").drop("_l_addr")

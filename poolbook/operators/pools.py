@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from poolbook.functions.generators import _date, zip_explode
 from poolbook.functions.scalar import address_value, byte_prefix, replace_value, scale_weight
-from poolbook.operators.joins import sized_broadcast
 
 
 def unpivot_registry(registry: DataFrame, pool: str, token_cols: list[tuple[str, str]]) -> DataFrame:
@@ -34,20 +33,15 @@ def classify_index(
     pool_tokens: DataFrame,
     wallet: str = "wallet_address",
     token: str = "token_address",
-    registry: DataFrame | None = None,
-    positions: int = 1,
 ) -> DataFrame:
     """Keep balance changes of registered (pool, token) pairs and
     attach the token's position.  The reference's ``pool = wallet AND (token =
     token0 OR token = token1)`` join becomes an equi-join on the unpivoted
-    registry (no nested loop); the registry is broadcast when proven small,
-    by counting the raw ``registry`` (``positions`` rows per registry row)
-    when it is given."""
+    registry (no nested loop)."""
     reg = pool_tokens.select(
         F.col("pool").alias("_r_pool"), F.col("token").alias("_r_token"), "token_index")
     cond = (F.col(wallet) == F.col("_r_pool")) & (F.col(token) == F.col("_r_token"))
-    side = sized_broadcast(reg, bound_by=registry, fan_out=positions)
-    return balances.join(side, cond, "inner").drop("_r_pool", "_r_token")
+    return balances.join(reg, cond, "inner").drop("_r_pool", "_r_token")
 
 
 def constant_index(balances: DataFrame, members: DataFrame, label: str,
@@ -56,7 +50,7 @@ def constant_index(balances: DataFrame, members: DataFrame, label: str,
     constant token index; the membership is de-duplicated first."""
     reg = members.select(F.col("pool").alias("_r_pool"), F.col("token").alias("_r_token")).distinct()
     cond = (F.col(wallet) == F.col("_r_pool")) & (F.col(token) == F.col("_r_token"))
-    return (balances.join(sized_broadcast(reg), cond, "inner")
+    return (balances.join(reg, cond, "inner")
             .drop("_r_pool", "_r_token").withColumn("token_index", F.lit(label)))
 
 
@@ -81,7 +75,7 @@ def tokens_seen(transfers: DataFrame, pools: DataFrame, to: str = "to", token: s
     """Distinct (pool, token) of transfers received by a registered pool."""
     p = pools.select(F.col("pool").alias("_pool")).distinct()
     return (
-        transfers.join(sized_broadcast(p), F.col(to) == F.col("_pool"), "inner")
+        transfers.join(p, F.col(to) == F.col("_pool"), "inner")
         .select(F.col("_pool").alias("pool"), F.col(token).alias("token"))
         .distinct()
     )
@@ -138,15 +132,13 @@ def active_only(df: DataFrame, trades: DataFrame, as_of, within_days: int = 7,
     t = trades.schema[trade_time].dataType
     cutoff = F.lit(_date(as_of)).cast(t) - F.expr(f"INTERVAL {within_days} DAYS")
     recent = trades.where(F.col(trade_time) > cutoff).select(F.col(trade_pool).alias("_active")).distinct()
-    # At most one row per pool: broadcast when proven small, so the big side
-    # is filtered in place instead of being shuffled for the semi join.
-    return df.join(sized_broadcast(recent), F.col(wallet) == F.col("_active"), "left_semi")
+    return df.join(recent, F.col(wallet) == F.col("_active"), "left_semi")
 
 
 def member_tokens_only(df: DataFrame, wallet_value, pools: DataFrame,
                        wallet: str = "wallet_address", token: str = "token_address",
                        pool_token: str = "token_address") -> DataFrame:
     """P5 + J14: one wallet's rows whose token belongs to some pool."""
-    member = sized_broadcast(pools.select(F.col(pool_token).alias("_tok")).distinct(), bound_by=pools)
+    member = pools.select(F.col(pool_token).alias("_tok")).distinct()
     wallet_value = address_value(wallet_value, df.schema[wallet].dataType)
     return df.where(F.col(wallet) == F.lit(wallet_value)).join(member, F.col(token) == F.col("_tok"), "left_semi")

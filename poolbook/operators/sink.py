@@ -3,6 +3,7 @@ high-water mark / filled-window probes that drive refreshes."""
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -17,39 +18,40 @@ def _null_key(keys: list[str]):
     return cond
 
 
-def _first_keyed(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """First row per key among rows whose key has no NULL.
-
-    ``min_by`` aggregates map-side first, so a key repeated a million times
-    reaches the shuffle as one row per map partition.  The output stays
-    hash-partitioned (and sorted) by the keys for a following join on them."""
-    others = [c for c in batch.columns if c not in keys]
-    return (batch.where(~_null_key(keys)).groupBy(*keys)
-            .agg(F.min_by(F.struct(*others), F.struct(*order)).alias("_row"))
-            .select(*keys, "_row.*").select(*batch.columns))
-
-
 def first_per_key(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key: the row with the smallest ``order`` tuple.  Rows with
-    a NULL key column are never duplicates of each other (SQL unique-key
-    semantics) and pass unchanged."""
-    return _first_keyed(batch, keys, order).unionByName(batch.where(_null_key(keys)))
+    """One row per key: the row with the smallest ``order`` tuple, rows that
+    tie there being ordered by their other columns.  Rows with a NULL key
+    column are never duplicates of each other (SQL unique-key semantics): all
+    of them are kept.
+
+    One aggregate over one scan, partial map-side, so a key repeated a million
+    times reaches the shuffle as one row per map partition.  Rows with a NULL
+    key group by their whole content and come back as often as they were
+    counted; where the schema forbids NULL keys that grouping is left out."""
+    others = [c for c in batch.columns if c not in keys]
+    ordered = [*dict.fromkeys(c for c in order if c in others), *[c for c in others if c not in order]]
+    first = F.min(F.struct(*ordered) if ordered else F.lit(True)).alias("_row")
+    columns = [F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in batch.columns]
+    nullable = [k for k in keys if batch.schema[k].nullable]
+    if not nullable:
+        return batch.groupBy(*keys).agg(first).select(*columns)
+    content = F.when(_null_key(nullable), F.struct(*others) if others else F.lit(True))
+    copies = F.when(_null_key(nullable), F.col("_n")).otherwise(1)
+    return (batch.groupBy(*keys, content.alias("_content")).agg(first, F.count(F.lit(1)).alias("_n"))
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), copies.cast("bigint"))))
+            .select(*columns))
 
 
 def new_rows(batch: DataFrame, target: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """K1 without the write: the rows insert-ignore would add -- first row per
     key by ``order``, minus keys already in ``target`` (plain ``=``: a NULL
-    key matches nothing, so it is always new).
-
-    The anti join runs on the de-duplicated keyed rows, whose hash
-    partitioning it reuses; NULL-key rows bypass it and are appended after."""
+    key matches nothing, so it is always new).  The batch is read once."""
     existing = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
     cond = None
     for k in keys:
         c = F.col(k) == F.col(f"_t_{k}")
         cond = c if cond is None else (cond & c)
-    fresh = _first_keyed(batch, keys, order).join(existing, cond, "left_anti")
-    return fresh.unionByName(batch.where(_null_key(keys)))
+    return first_per_key(batch, keys, order).join(existing, cond, "left_anti")
 
 
 def insert_ignore(batch: DataFrame, path: str, target: DataFrame, keys: list[str], order: list[str],
@@ -73,23 +75,25 @@ def insert_ignore(batch: DataFrame, path: str, target: DataFrame, keys: list[str
     # Observe last: the range partitioner samples its input in a separate
     # job, and an observer below it would count the sampled rows too.
     obs = Observation("insert_ignore")
-    rows = rows.observe(obs, F.count(F.lit(1)).alias("n"))
-    writer = rows.write.mode("append")
+    writer = rows.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return _observed_count(obs)
+    written = _observed_count(obs)
+    return rows.count() if written is None else written
 
 
-def _observed_count(obs: Observation) -> int:
-    """Rows counted by the observation.  When the result is empty, adaptive
-    execution replaces the whole subtree (observer included) by an empty
-    relation and no metrics row is ever produced; that case means 0."""
+def _observed_count(obs: Observation) -> int | None:
+    """Rows counted by the observation; None if it has no metrics row.  That
+    happens when adaptive execution finds the result empty and replaces the
+    whole subtree, observer included, by an empty relation."""
     try:
-        return int(obs.get.get("n", 0))
-    except Exception as exc:  # Py4JJavaError wrapping the missing-metrics assertion
-        if "AssertionError" in str(exc) or "assertion failed" in str(exc):
-            return 0
+        return int(obs.get["n"])
+    except KeyError:
+        return None
+    except Py4JJavaError as exc:
+        if exc.java_exception.getClass().getName() == "java.lang.AssertionError":
+            return None
         raise
 
 
@@ -104,6 +108,11 @@ def high_water_mark(target: DataFrame, project: str | None = None, version: str
     return t.agg(F.max(day)).first()[0]
 
 
+def high_water_marks(target: DataFrame, keys: list[str], day: str = "day") -> DataFrame:
+    """A2 for every slice of a table: its latest stored day."""
+    return target.groupBy(*keys).agg(F.max(day).alias("high_water_mark"))
+
+
 def window_filled(target: DataFrame, start, end, project: str | None = None, version: str | None = None,
                   day: str = "day") -> bool:
     """Does the target hold any row of the project/version in

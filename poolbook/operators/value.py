@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from poolbook.functions.generators import _date
 from poolbook.functions.scalar import scale_amount, usd_value
-from poolbook.operators.joins import sized_broadcast
 
 
 def midnight_prices(prices: DataFrame, start=None, end=None, token: str = "contract_address",
@@ -38,37 +37,36 @@ def value_at_day_open(
     raw_col: str = "token_amount_raw",
     start=None,
     end=None,
-    materialize_prices: bool = False,
 ) -> DataFrame:
     """Add ``token_symbol``, ``token_amount`` and ``token_usd_amount``.
 
     Left joins keep every row: an unknown token gives NULL symbol and
-    amounts, a missing midnight price gives NULL USD.  The token dimension is
-    broadcast behind a row-count check; the daily price table grows with
-    tokens x days and is left to the planner (shuffle join, turned into a
-    broadcast by AQE only when its measured size is small) unless
-    ``materialize_prices``."""
-    return price_at_day_open(token_dimension(df, tokens, token_col), prices, token_col, day_col, raw_col,
-                             start, end, materialize_prices)
+    amounts, a missing midnight price gives NULL USD.  No side is hinted: the
+    planner and adaptive execution choose the join from measured bytes."""
+    return price_at_day_open(token_dimension(df, tokens, token_col), prices, token_col, day_col, raw_col, start, end)
+
+
+def unique_tokens(tokens: DataFrame) -> DataFrame:
+    """One (``_t_token``, ``token_symbol``, ``_t_decimals``) row per token, so
+    that repeated dimension rows cannot fan out a join; of several rows the
+    largest (symbol, decimals) is taken, a known value before a NULL."""
+    return (tokens.groupBy(F.col("contract_address").alias("_t_token"))
+            .agg(F.max(F.struct(F.col("symbol").alias("token_symbol"), F.col("decimals").alias("_t_decimals"))).alias("_t"))
+            .select("_t_token", "_t.*"))
 
 
 def token_dimension(df: DataFrame, tokens: DataFrame, token_col: str = "token_address") -> DataFrame:
     """Add ``token_symbol`` and the helper ``_t_decimals`` (left join with
-    the token dimension, broadcast behind a row-count check)."""
-    dim = tokens.select(
-        F.col("contract_address").alias("_t_token"),
-        F.col("symbol").alias("token_symbol"),
-        F.col("decimals").alias("_t_decimals"),
-    )
-    return df.join(sized_broadcast(dim, bound_by=tokens), F.col(token_col) == F.col("_t_token"), "left").drop("_t_token")
+    the token dimension, one row per token)."""
+    return df.join(unique_tokens(tokens), F.col(token_col) == F.col("_t_token"), "left").drop("_t_token")
 
 
 def price_at_day_open(df: DataFrame, prices: DataFrame, token_col: str = "token_address", day_col: str = "day",
-                      raw_col: str = "token_amount_raw", start=None, end=None,
-                      materialize_prices: bool = False) -> DataFrame:
+                      raw_col: str = "token_amount_raw", start=None, end=None) -> DataFrame:
     """J7 + F4 + F5 on rows that already carry ``_t_decimals``: the price at
-    the day's midnight, the scaled amount and its USD value."""
-    px = _price_side(midnight_prices(prices, start, end), materialize_prices)
+    the day's midnight (the lowest, should a source repeat the minute), the
+    scaled amount and its USD value."""
+    px = midnight_prices(prices, start, end).groupBy("_p_token", "_p_day").agg(F.min("_p_price").alias("_p_price"))
     out = (
         df.join(
             px,
@@ -81,21 +79,6 @@ def price_at_day_open(df: DataFrame, prices: DataFrame, token_col: str = "token_
     return out.drop("_t_decimals", "_p_token", "_p_day", "_p_price")
 
 
-def _price_side(px: DataFrame, materialize: bool) -> DataFrame:
-    """The daily price side of a join with the expanded (pool, token, day)
-    rows.  It grows with tokens x days, so by default it gets no hint and the
-    planner decides (AQE can still broadcast it once measured).  With
-    ``materialize`` the slice is written once to the shared checkpoint
-    folder, its size proven by a cheap count, and broadcast when small -- the
-    expanded rows, the biggest frame of a window, then never shuffle for the
-    price lookup."""
-    if not materialize:
-        return px
-    from poolbook.session import checkpoint
-
-    return sized_broadcast(checkpoint(px))
-
-
 def daily_average_prices(prices: DataFrame, start, end, token: str = "contract_address",
                          minute: str = "minute", price: str = "price") -> DataFrame:
     """A4: average price per (day, token) over ``[start, end)``."""
@@ -149,28 +132,20 @@ def value_with_fallback(
     day_col: str = "day",
     amounts: dict[str, str] | None = None,
     lookback_days: int = 0,
-    materialize_prices: bool = False,
 ) -> DataFrame:
     """price = daily average of ``prices`` if the token has one that day,
     else the latest sparse median at or before the day (as-of).  ``amounts``
     maps raw amount columns to (scaled name, usd name).  Sparse prices are
     read from ``start - lookback_days`` (0 = the reference's behaviour)."""
-    daily = _price_side(daily_average_prices(prices, start, end).select(
-        F.col("token").alias("_d_token"), F.col("day").alias("_d_day"), F.col("price").alias("_d_price")),
-        materialize_prices)
+    daily = daily_average_prices(prices, start, end).select(
+        F.col("token").alias("_d_token"), F.col("day").alias("_d_day"), F.col("price").alias("_d_price"))
     # lookback_days > 0 lets days early in the window use a sparse price from
     # before it (the reference starts the as-of series at the window start).
     sparse_start = _date(start) - dt.timedelta(days=lookback_days)
-    sparse = _price_side(as_of_daily(sparse_daily_medians(hourly, sparse_start, end, min_samples), end).select(
-        F.col("token").alias("_s_token"), F.col("day").alias("_s_day"), F.col("price").alias("_s_price")),
-        materialize_prices)
-    dim = tokens.select(
-        F.col("contract_address").alias("_t_token"),
-        F.col("symbol").alias("token_symbol"),
-        F.col("decimals").alias("_t_decimals"),
-    )
+    sparse = as_of_daily(sparse_daily_medians(hourly, sparse_start, end, min_samples), end).select(
+        F.col("token").alias("_s_token"), F.col("day").alias("_s_day"), F.col("price").alias("_s_price"))
     out = (
-        df.join(sized_broadcast(dim, bound_by=tokens), F.col(token_col) == F.col("_t_token"), "left")
+        df.join(unique_tokens(tokens), F.col(token_col) == F.col("_t_token"), "left")
         .join(daily, (F.col(token_col) == F.col("_d_token")) & (F.col(day_col) == F.col("_d_day")), "left")
         .join(sparse, (F.col(token_col) == F.col("_s_token")) & (F.col(day_col) == F.col("_s_day")), "left")
         .withColumn("price", F.coalesce("_d_price", "_s_price"))

@@ -2,15 +2,15 @@
 
 ``build_window`` is the E1 plan of every registry-based exchange:
 
-  change log  --broadcast join-->  registered (pool, token, index)
+  change log  --join-->            registered (pool, token, index)
               --union-->           seed rows from the stored table
               --forward fill-->    one row per (pool, token, index, day)
               --left joins-->      token symbol/decimals, midnight price, pool name
               --project-->         the 13 columns of the fact table
 
 Shuffles: the daily compaction (partial aggregation first), the interval
-window (on compacted rows), and the price join unless the daily price
-table is small enough to broadcast.
+window (on compacted rows), and the joins whose smaller side is not
+measured small enough to broadcast.  Building a window runs no Spark job.
 """
 
 from __future__ import annotations
@@ -23,9 +23,7 @@ from pyspark.sql import functions as F
 
 from poolbook.functions.scalar import byte_prefix
 from poolbook.operators import fill, labels as L, pools, value
-from poolbook.operators.joins import sized_broadcast
 from poolbook.plans.config import LABEL_PREFIX, SEED_LOOKBACK_DAYS, PoolJob
-from poolbook.session import checkpoint
 
 LIQUIDITY_COLUMNS = [
     "day", "token_symbol", "token_amount", "pool_name", "project", "version", "category",
@@ -81,18 +79,7 @@ def build_window(job: PoolJob, src: Sources, start, end, stored: DataFrame | Non
         changes = fill.in_window(changes, "timestamp", start, end)
     if job.active_within_days is not None:
         changes = pools.active_only(changes, src.trades(), as_of or end, job.active_within_days)
-    registry = src.registry()
-    members = pool_tokens(job, registry)
-    if job.registry_kind in ("pair", "single"):
-        # Registry rows bound the unpivoted rows: count the raw scan.
-        bound, positions = registry, (len(job.index) if job.registry_kind == "pair" else 1)
-    else:
-        # Membership derived from trades/transfers scans a big table: write it
-        # once to the shared checkpoint folder; the size check and the join
-        # then read the small materialized result instead of re-deriving it.
-        members = checkpoint(members)
-        bound, positions = None, 1
-    classified = pools.classify_index(changes, members, registry=bound, positions=positions)
+    classified = pools.classify_index(changes, pool_tokens(job, src.registry()))
     cols = ["wallet_address", "token_address", "amount_raw", "timestamp", "token_index"]
     if src.tie:
         cols.append(src.tie)
@@ -124,7 +111,7 @@ def build_window(job: PoolJob, src: Sources, start, end, stored: DataFrame | Non
     else:
         states = states.withColumn("pool_name", F.lit(None).cast("string"))
     rows = fill.expand_days(states, start, end)
-    valued = value.price_at_day_open(rows, src.prices(), start=start, end=end, materialize_prices=True)
+    valued = value.price_at_day_open(rows, src.prices(), start=start, end=end)
     share = F.lit(job.share).cast("double") if job.share is not None else F.lit(None).cast("double")
     out = (valued.withColumn("project", F.lit(job.project))
            .withColumn("version", F.lit(job.version))
@@ -159,8 +146,7 @@ def build_vault_totals_window(src: Sources, vault, pool_defs: DataFrame, start,
                                     "timestamp", start, end, rank=rank, tie=src.tie)
     rows = daily.select("day", F.col("wallet_address").alias("pool_address"), "token_address", "token_index",
                         F.col("amount_raw").alias("token_amount_raw"))
-    valued = value.value_at_day_open(rows, src.tokens(), src.prices(), start=start, end=end,
-                                     materialize_prices=True)
+    valued = value.value_at_day_open(rows, src.tokens(), src.prices(), start=start, end=end)
     return (valued.withColumn("pool_name", F.lit(None).cast("string"))
             .withColumn("project", F.lit(project)).withColumn("version", F.lit(version))
             .withColumn("category", F.lit("DEX"))
@@ -200,7 +186,7 @@ def build_deltas_window(deltas: DataFrame, pool_defs: DataFrame, tokens: DataFra
     # rows; only the price needs the expanded days.
     defs = pool_defs.select(F.col("pool_address").alias("_d_pool"), F.col("token_address").alias("_d_tok"),
                             "normalized_weight", "pool_name_symbolic")
-    states = (intervals.join(sized_broadcast(defs, bound_by=pool_defs),
+    states = (intervals.join(defs,
                              (F.col("pool") == F.col("_d_pool")) & (F.col("token") == F.col("_d_tok")), "left")
               .select("day", "next_day", F.col("pool").alias("pool_address"), F.col("token").alias("token_address"),
                       "token_amount_raw", "normalized_weight", "pool_name_symbolic"))
@@ -214,7 +200,7 @@ def build_deltas_window(deltas: DataFrame, pool_defs: DataFrame, tokens: DataFra
         name = computed
     states = states.withColumn("pool_name", name)
     rows = fill.expand_days(states, start, end)
-    valued = value.price_at_day_open(rows, prices, start=start, end=end, materialize_prices=True)
+    valued = value.price_at_day_open(rows, prices, start=start, end=end)
     return (valued
             .withColumn("project", F.lit(project)).withColumn("version", F.lit(version))
             .withColumn("category", F.lit("DEX")).withColumn("token_index", F.lit("token_x"))
@@ -276,10 +262,10 @@ def build_flows_window(flows_v1: DataFrame, deltas_v2: DataFrame, tokens: DataFr
         cal, tokens, prices, hourly, start, end, min_samples, token_col="token", day_col="day",
         amounts={"delta_amount": ("delta_token_amount", "delta_usd_amount"),
                  "cumulative_amount": ("token_amount", "usd_amount")},
-        lookback_days=price_lookback_days, materialize_prices=True)
+        lookback_days=price_lookback_days)
     wt = weights.select(F.col("pool_id").alias("_w_pool"), F.col("token_address").alias("_w_tok"),
                         F.col("normalized_weight").alias("token_weight"))
-    kept = (valued.join(sized_broadcast(wt, bound_by=weights),
+    kept = (valued.join(wt,
                         (F.col("pool") == F.col("_w_pool")) & (F.col("token") == F.col("_w_tok")))
             .where((F.col("usd_amount") > 0) & (F.col("token_weight") > 0)))
     return kept.select(

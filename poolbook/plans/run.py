@@ -16,6 +16,7 @@ import argparse
 import datetime as dt
 import json
 
+from poolbook import schemas
 from poolbook.plans.config import JOBS
 from poolbook.plans.jobs import build_window
 from poolbook.session import build_session
@@ -44,11 +45,10 @@ def window_job(tables: chain.ChainTables, name: str):
     raise SystemExit(f"unknown job {name!r}; choose from {sorted([*JOBS, *SPECIAL])}")
 
 
-def fact_table(job, scope, target: str, probe_day: dt.date) -> polling.FactTable:
-    schema = job(probe_day, probe_day + dt.timedelta(days=1), None).schema
+def fact_table(scope, target: str) -> polling.FactTable:
     if scope is None:
-        return polling.view_liquidity_table(target, schema)
-    return polling.liquidity_table(target, schema, *scope)
+        return polling.view_liquidity_table(target, schemas.VIEW_LIQUIDITY)
+    return polling.liquidity_table(target, schemas.LIQUIDITY, *scope)
 
 
 def main(argv: list[str] | None = None, spark=None) -> dict:
@@ -68,12 +68,12 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         if not args.window:
             raise SystemExit("backfill needs at least one --window START END")
         windows = [(dt.date.fromisoformat(a), dt.date.fromisoformat(b)) for a, b in args.window]
-        table = fact_table(job, scope, args.target, min(w[0] for w in windows))
+        table = fact_table(scope, args.target)
         counts = polling.backfill(spark, job, table, windows)
         result = {"job": args.job, "windows": [[str(a), str(b)] for a, b in sorted(windows)], "inserted": counts}
     else:
         as_of = dt.datetime.fromisoformat(args.as_of) if args.as_of else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        table = fact_table(job, scope, args.target, as_of.date())
+        table = fact_table(scope, args.target)
         result = {"job": args.job, "as_of": as_of.isoformat(), "inserted": polling.refresh(spark, job, table, as_of)}
     print(json.dumps(result))
     return result

@@ -78,14 +78,6 @@ def build_session(
     return spark
 
 
-def session_key(spark: SparkSession) -> str:
-    """A stable identifier of the running application (or Connect session)."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:
-        return f"session-{id(spark)}"
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 

@@ -149,23 +149,35 @@ def vault_arms(t: ChainTables, names=("swaps", "balance_changes", "managed", "in
 
 
 # ---- label sets (Q13-Q16) --------------------------------------------------
+def label_sets(t: ChainTables) -> dict[tuple[str, str], Callable[[], DataFrame]]:
+    """The pool-name label set of each (project, version) that has one."""
+    def pair(table: str, pool: str, token0: str, token1: str, key: tuple[str, str]):
+        return lambda: L.pair_labels(t(table), t("tokens"), pool, token0, token1, LABEL_PREFIX[key])
+
+    def bancor() -> DataFrame:
+        events = t("bancor_liquidity_added").select("contract_address", F.col("_reserveToken").alias("reserve"))
+        return L.hub_labels(events, t("tokens"), "contract_address", "reserve", NATIVE_PLACEHOLDER, WRAPPED_NATIVE,
+                            BANCOR_HUB_TOKEN, LABEL_PREFIX[("Bancor", "2")], BANCOR_HUB_SYMBOL)
+
+    sets = {
+        ("Uniswap", "1"): lambda: L.single_labels(t("uniswap_v1_exchanges"), t("tokens"), "exchange", "token",
+                                                  LABEL_PREFIX[("Uniswap", "1")], NATIVE_SYMBOL),
+        ("Bancor", "2"): bancor,
+    }
+    for key, table, pool, tokens in [
+        (("Uniswap", "2"), "uniswap_v2_pairs", "pair", ("token0", "token1")),
+        (("Uniswap", "3"), "uniswap_v3_pools", "pool", ("token0", "token1")),
+        (("Sushiswap", "1"), "sushi_pairs", "pair", ("token0", "token1")),
+        (("1inch", "1"), "oneinch_pools", "mooniswap", ("token1", "token2")),  # first factory only, as the reference
+        (("Mooniswap", "1"), "mooniswap_pools", "mooniswap", ("token1", "token2")),
+    ]:
+        sets[key] = pair(table, pool, *tokens, key)
+    return sets
+
+
 def pool_labels(t: ChainTables) -> DataFrame:
     """All pool-name label sets of the reference, unioned (K3)."""
-    tok = t("tokens")
-    uni_v1 = t("uniswap_v1_exchanges")
-    moon = t("mooniswap_pools")
-    oneinch = t("oneinch_pools")  # first factory only, as the reference
-    bancor = t("bancor_liquidity_added").select("contract_address", F.col("_reserveToken").alias("reserve"))
-    return L.union_labels(
-        L.single_labels(uni_v1, tok, "exchange", "token", LABEL_PREFIX[("Uniswap", "1")], NATIVE_SYMBOL),
-        L.pair_labels(t("uniswap_v2_pairs"), tok, "pair", "token0", "token1", LABEL_PREFIX[("Uniswap", "2")]),
-        L.pair_labels(t("uniswap_v3_pools"), tok, "pool", "token0", "token1", LABEL_PREFIX[("Uniswap", "3")]),
-        L.pair_labels(t("sushi_pairs"), tok, "pair", "token0", "token1", LABEL_PREFIX[("Sushiswap", "1")]),
-        L.pair_labels(oneinch, tok, "mooniswap", "token1", "token2", LABEL_PREFIX[("1inch", "1")]),
-        L.pair_labels(moon, tok, "mooniswap", "token1", "token2", LABEL_PREFIX[("Mooniswap", "1")]),
-        L.hub_labels(bancor, tok, "contract_address", "reserve", NATIVE_PLACEHOLDER, WRAPPED_NATIVE,
-                     BANCOR_HUB_TOKEN, LABEL_PREFIX[("Bancor", "2")], BANCOR_HUB_SYMBOL),
-    )
+    return L.union_labels(*[build() for build in label_sets(t).values()])
 
 
 # ---- one Sources record per exchange (Q1-Q9, Q17) --------------------------
@@ -197,16 +209,27 @@ def sources_for(t: ChainTables, job: str, with_labels: bool = True) -> Sources:
     """Inputs of ``build_window(JOBS[job], ...)`` over the chain tables."""
     if job not in JOBS:
         raise KeyError(job)
+    # A pool is registered with one exchange, so its name is in that one's set.
+    labels = label_sets(t).get((JOBS[job].project, JOBS[job].version)) if with_labels else None
     return Sources(
-        balances=lambda: t("token_balances").select("wallet_address", "token_address", "amount_raw", "timestamp"),
+        balances=lambda: _balances(t),
         registry=_registry(t, job),
         tokens=lambda: t("tokens").select("contract_address", "symbol", "decimals"),
         prices=lambda: t("prices_usd").select("contract_address", "minute", "price"),
-        labels=(lambda: pool_labels(t)) if with_labels else None,
+        labels=labels,
         trades=_trades(t, job),
+        tie="tie",
     )
 
 
+def _balances(t: ChainTables) -> DataFrame:
+    """The change log with a ``tie`` column: the table names no order within a
+    block time, so a hash of the amount fixes one and a retried window stores
+    the same value."""
+    return t("token_balances").select("wallet_address", "token_address", "amount_raw", "timestamp",
+                                      F.xxhash64("amount_raw").alias("tie"))
+
+
 # ---- Balancer v2 and the flow design (Q10-Q12) ------------------------------
 #: Version tag of the vault totals: a scope of their own beside the pools' rows.
 VAULT_VERSION = "2-vault"
@@ -217,8 +240,7 @@ def _has_day_before(stored: DataFrame, start) -> bool:
     return bool(stored.where(F.col("day") == day).limit(1).count())
 
 
-def balancer_v2_window(t: ChainTables, start, end, stored: DataFrame | None = None,
-                       with_labels: bool = True) -> DataFrame:
+def balancer_v2_window(t: ChainTables, start, end, stored: DataFrame | None = None) -> DataFrame:
     """Q10: per-pool balances from vault deltas (joins/exits, swaps, managed
     cash), keyed by the 20-byte pool address; weights as share.  With a
     stored table the balance restarts from its rows of the day before
@@ -235,13 +257,13 @@ def balancer_v2_window(t: ChainTables, start, end, stored: DataFrame | None = No
                                         managed=arms["managed"])
     return J.build_deltas_window(
         events, balancer_v2_pools(t), t("tokens"), t("prices_usd"), start, end,
-        labels=pool_labels(t) if with_labels else None, opening=opening, pool_prefix_len=20)
+        opening=opening, pool_prefix_len=20)
 
 
 def balancer_v2_vault_window(t: ChainTables, start, end, stored: DataFrame | None = None) -> DataFrame:
     """Q11: the vault wallet's balance of every token of a registered pool."""
-    src = Sources(balances=lambda: t("token_balances"), registry=lambda: None, tokens=lambda: t("tokens"),
-                  prices=lambda: t("prices_usd"))
+    src = Sources(balances=lambda: _balances(t), registry=lambda: None, tokens=lambda: t("tokens"),
+                  prices=lambda: t("prices_usd"), tie="tie")
     return J.build_vault_totals_window(src, BALANCER_V2_VAULT, balancer_v2_pools(t), start, end, version=VAULT_VERSION, stored=stored)
 
 

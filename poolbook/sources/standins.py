@@ -67,21 +67,8 @@ def single_registry(spark: SparkSession, base: str) -> DataFrame:
     return pair_registry(spark, base).select(F.col("pair").alias("exchange"), F.col("token0").alias("token"))
 
 
-_TOKENS_BY_APP: dict[str, DataFrame] = {}
-
-
 def tokens(spark: SparkSession) -> DataFrame:
-    """The fixed token dimension; one frame per application, so every job
-    of a session shares its plan (and its broadcast size check)."""
-    from poolbook.session import session_key
-
-    app = session_key(spark)
-    if app not in _TOKENS_BY_APP:
-        _TOKENS_BY_APP[app] = _tokens(spark)
-    return _TOKENS_BY_APP[app]
-
-
-def _tokens(spark: SparkSession) -> DataFrame:
+    """The fixed token dimension."""
     schema = T.StructType(
         [
             T.StructField("contract_address", T.StringType()),

@@ -20,10 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from poolbook.operators import sink
 from poolbook.plans.config import REFRESH_END_LAG_MINUTES, REFRESH_OVERLAP_DAYS
 from poolbook.session import checkpoint_dir
-from poolbook.streaming.polling import FactTable, WindowJob, _mine, stored_table, write_window
+from poolbook.streaming.polling import FactTable, WindowJob, required_mark, stored_table, write_window
 
 
 def refresh_on_arrival(
@@ -40,22 +39,23 @@ def refresh_on_arrival(
     lag_minutes: int = REFRESH_END_LAG_MINUTES,
     now=None,
 ):
-    """Start the stream; returns the ``StreamingQuery``.
+    """Start the stream; returns the ``StreamingQuery``.  The table must hold a
+    backfilled window: an empty one is refused, as by ``polling.refresh``.
 
     ``available_now=True`` processes what has arrived and stops (one
     scheduled run); otherwise it keeps running every ``interval``.  ``now``
     (a callable returning a datetime) fixes the clock for tests."""
     clock = now or (lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+    required_mark(stored_table(spark, table), table, clock())
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         earliest = batch.agg(F.min(F.col(ts_col))).first()[0]
         if earliest is None:
             return
         stored = stored_table(spark, table)
-        hwm = sink.high_water_mark(_mine(stored, table), day=table.time_col)
+        hwm = required_mark(stored, table, clock())
         start = earliest.date() if hasattr(earliest, "date") else earliest
-        if hwm is not None:
-            start = min(start, hwm - dt.timedelta(days=overlap_days))
+        start = min(start, hwm - dt.timedelta(days=overlap_days))
         end = (clock() - dt.timedelta(minutes=lag_minutes)).date()  # finished days only
         if end > start:
             write_window(job(start, end, stored), table, stored, start, end)

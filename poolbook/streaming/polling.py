@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from poolbook.functions.generators import _date
 from poolbook.operators import sink
+from poolbook.operators.fill import in_months
 from poolbook.plans.config import REFRESH_END_LAG_MINUTES, REFRESH_OVERLAP_DAYS
 from poolbook.schemas import LIQUIDITY_KEY, VIEW_LIQUIDITY_KEY
 
@@ -92,21 +93,32 @@ def _prune(stored: DataFrame, table: FactTable, start, end) -> DataFrame:
     the day filter then works on Parquet min/max statistics."""
     lo, hi = _date(start), _date(end)
     t = F.col(table.time_col)
-    return _mine(stored, table).where(
-        (F.col("month") >= lo.strftime("%Y-%m")) & (F.col("month") <= hi.strftime("%Y-%m"))
-        & (t >= F.lit(lo)) & (t < F.lit(hi)))
+    return in_months(_mine(stored, table), lo, hi - dt.timedelta(days=1)).where((t >= F.lit(lo)) & (t < F.lit(hi)))
+
+
+def latest_day(stored: DataFrame, table: FactTable, before):
+    """A2: the slice's latest stored day before the day ``before`` (None if
+    there is none).  The month before it on is read first; only a table that
+    ends earlier needs its older months."""
+    lo = _date(before)
+    mine = _mine(stored, table).where(F.col(table.time_col) < F.lit(lo))
+    near = lo - dt.timedelta(days=31)
+    recent = sink.high_water_mark(in_months(mine, near, lo), day=table.time_col)
+    return recent if recent is not None else sink.high_water_mark(in_months(mine, None, near), day=table.time_col)
 
 
 def write_window(rows: DataFrame, table: FactTable, stored: DataFrame, start, end) -> int:
-    """Insert-ignore one window's rows; returns the number of rows written."""
-    batch = rows.withColumn("month", month_of(table.time_col))
+    """Insert-ignore one window's rows, in the table's column types; returns
+    the number of rows written."""
+    typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in table.row_schema.fields])
+    batch = typed.withColumn("month", month_of(table.time_col))
     return sink.insert_ignore(
         batch, table.path, _prune(stored, table, start, end), list(table.keys), list(table.order),
         partition_by=table.partition_by, cluster_by=list(table.cluster_by))
 
 
 def window_filled(stored: DataFrame, table: FactTable, start, end) -> bool:
-    return sink.window_filled(_mine(stored, table), start, end, day=table.time_col)
+    return sink.window_filled(_prune(stored, table, start, end), start, end, day=table.time_col)
 
 
 def backfill(spark: SparkSession, job: WindowJob, table: FactTable, windows: Iterable[tuple[object, object]],
@@ -121,22 +133,27 @@ def backfill(spark: SparkSession, job: WindowJob, table: FactTable, windows: Ite
         if skip_filled and window_filled(stored, table, start, end):
             counts.append(0)
             continue
-        older = _mine(stored, table).where(F.col(table.time_col) < F.lit(_date(start)))
-        latest_before = older.agg(F.max(table.time_col)).first()[0]
+        latest_before = latest_day(stored, table, start)
         if latest_before is not None and latest_before < _date(start) - dt.timedelta(days=1):
             raise ValueError(f"window {start}..{end} would start after a gap: stored rows end {latest_before}")
         counts.append(write_window(job(start, end, stored), table, stored, start, end))
     return counts
 
 
+def required_mark(stored: DataFrame, table: FactTable, as_of: dt.datetime) -> dt.date:
+    """The high-water mark of the job's slice; a slice without rows is refused."""
+    hwm = latest_day(stored, table, as_of.date() + dt.timedelta(days=1))
+    if hwm is None:
+        raise ValueError(f"no stored rows in {table.path} for {table.scope}: run a backfill first")
+    return hwm
+
+
 def refresh(spark: SparkSession, job: WindowJob, table: FactTable, as_of: dt.datetime,
             overlap_days: int = REFRESH_OVERLAP_DAYS, lag_minutes: int = REFRESH_END_LAG_MINUTES) -> int:
     """Recompute from ``high-water mark - overlap_days`` to the last finished
     day before ``as_of - lag``; only missing keys are written."""
     stored = stored_table(spark, table)
-    hwm = sink.high_water_mark(_mine(stored, table), day=table.time_col)
-    if hwm is None:
-        raise ValueError(f"no stored rows in {table.path} for {table.scope}: run a backfill first")
+    hwm = required_mark(stored, table, as_of)
     start = hwm - dt.timedelta(days=overlap_days)
     end = (as_of - dt.timedelta(minutes=lag_minutes)).date()  # finished days only
     if end <= start:

@@ -39,3 +39,26 @@ def test_window_bounds_push_down_on_zoned_timestamps(spark, scratch):
     spark.createDataFrame([(1, dt.datetime(2021, 7, 1))], "k int, ts timestamp").write.parquet(path)
     plan = plan_text(fill.in_window(spark.read.parquet(path), "ts", "2021-07-01", "2021-07-02"))
     assert "GreaterThanOrEqual(ts," in plan and "LessThan(ts," in plan
+
+
+@pytest.mark.parametrize("job", ["PAIR_JOB", "CURVE_JOB"])
+def test_building_a_window_runs_no_job(spark, job):
+    """The sources are opened first (reading a Parquet footer is a job)."""
+    from dataclasses import replace
+
+    from poolbook.plans import catalog as C
+    from poolbook.plans import jobs as J
+
+    src = C._pair_sources(spark, SF)
+    opened = {n: getattr(src, n)() for n in ("balances", "registry", "tokens", "prices", "labels", "trades")
+              if getattr(src, n) is not None}
+    if job == "CURVE_JOB":
+        opened["registry"] = C.pools.pair_union_distinct(opened["registry"], "pair", "token0", "token1")
+    src = replace(src, **{n: (lambda df=df: df) for n, df in opened.items()})
+    spark.sparkContext.setJobGroup("plan-only", "window build")
+    try:
+        out = J.build_window(getattr(C, job), src, "2024-01-01", "2024-01-05")
+        assert out.columns == J.LIQUIDITY_COLUMNS
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("plan-only")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

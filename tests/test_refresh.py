@@ -3,13 +3,14 @@
 import datetime as dt
 import os
 
-from pyspark.sql import functions as F
+import pytest
 
 from poolbook.operators import balance
 from poolbook.plans import catalog as C
 from poolbook.plans import jobs as J
 from poolbook.sources import standins as S
 from poolbook.streaming import polling as R
+from tests.plan_util import plan_text
 
 SF = "/root/testdata/sf0.001"
 
@@ -112,6 +113,9 @@ def test_refresh_on_arrival_matches_batch_build(spark, scratch):
     clock = {"now": dt.datetime(2024, 1, 4, 1)}
     run = lambda: refresh_on_arrival(spark, job, table, changes_dir, schema, name=f"t{id(table)}",
                                      now=lambda: clock["now"]).awaitTermination()
+    with pytest.raises(ValueError, match="run a backfill first"):
+        run()
+    assert R.backfill(spark, job, table, [("2024-01-01", "2024-01-02")]) == [1]
     run()
     first = R.stored_table(spark, table).count()
     assert first == 3 + 2  # wallet 1: Jan 1-3, wallet 2: Jan 2-3
@@ -120,3 +124,32 @@ def test_refresh_on_arrival_matches_batch_build(spark, scratch):
     run()
     full = J.build_window(job_cfg, src, "2024-01-01", "2024-01-07")
     assert _rows(R.stored_table(spark, table), J.LIQUIDITY_COLUMNS) == _rows(full, J.LIQUIDITY_COLUMNS)
+
+
+def test_stored_table_is_read_by_month(spark, scratch, monkeypatch):
+    """Seeds, opening balance, mark and guard carry a partition filter."""
+    from poolbook import schemas
+    from poolbook.operators import fill, sink
+
+    table = R.liquidity_table(os.path.join(scratch, "fact"), schemas.LIQUIDITY, "P", "1")
+    row = [dt.date(2021, 3, 15), "S", 1.0, "N", "P", "1", "DEX", 5, 2.0, b"t", b"p", "token_0", 0.5]
+    rows = [[d, *row[1:]] for d in (dt.date(2021, 3, 15), dt.date(2021, 5, 30), dt.date(2021, 5, 31))]
+    from decimal import Decimal
+
+    R.write_window(spark.createDataFrame([[*r[:7], Decimal(r[7]), *r[8:]] for r in rows], schemas.LIQUIDITY), table,
+                   R.stored_table(spark, table), "2021-03-01", "2021-06-01")
+    stored = R.stored_table(spark, table)
+    for frame in (fill.seed_rows(stored, "2021-06-01"), balance.opening_balance(stored, "2021-06-01", time_col="day")):
+        filters = [line for line in plan_text(frame).splitlines() if line.startswith("PartitionFilters")]
+        assert filters and all("month" in line for line in filters)
+    assert balance.opening_balance(stored, "2021-06-01", time_col="day").count() == 1
+    probed = []
+    for name in ("high_water_mark", "window_filled"):
+        monkeypatch.setattr(sink, name, lambda t, *a, _f=getattr(sink, name), **k: (probed.append(plan_text(t)), _f(t, *a, **k))[1])
+    assert R.latest_day(stored, table, "2021-06-02") == dt.date(2021, 5, 31)
+    assert R.latest_day(stored, table, "2021-05-30") == dt.date(2021, 3, 15)   # nothing near: older months
+    assert R.latest_day(stored, table, "2021-03-15") is None
+    assert R.window_filled(stored, table, "2021-05-01", "2021-06-01")
+    assert not R.window_filled(stored, table, "2021-04-01", "2021-05-01")
+    assert probed and all("month" in line for plan in probed for line in plan.splitlines()
+                          if line.startswith("PartitionFilters"))

@@ -49,3 +49,22 @@ def test_first_per_key_keeps_null_keys_apart(spark):
     batch = spark.createDataFrame([(1, "a", 2), (1, "a", 1), (None, "a", 5), (None, "a", 6)], "k int, t string, o int")
     got = sorted((tuple(r) for r in sink.first_per_key(batch, ["k", "t"], ["o"]).collect()), key=repr)
     assert got == sorted([(1, "a", 1), (None, "a", 5), (None, "a", 6)], key=repr)
+
+
+def test_equal_rows_with_a_null_key_all_stay(spark):
+    batch = spark.createDataFrame([(None, "a", 5), (None, "a", 5), (1, None, 5), (2, "b", 1), (2, "b", 1)],
+                                  "k int, t string, o int")
+    got = sorted((tuple(r) for r in sink.first_per_key(batch, ["k", "t"], ["o"]).collect()), key=repr)
+    assert got == sorted([(None, "a", 5), (None, "a", 5), (1, None, 5), (2, "b", 1)], key=repr)
+    assert sink.first_per_key(batch.select("k", "t"), ["k", "t"], []).count() == 4
+
+
+def test_batch_is_scanned_once_and_order_ties_are_settled(spark, scratch):
+    from tests.plan_util import plan_text
+
+    path = os.path.join(scratch, "batch")
+    spark.createDataFrame([(1, 7, "b"), (1, 7, "a"), (None, 7, "c")], "k int, o int, v string").write.parquet(path)
+    target = spark.createDataFrame([(9,)], "k int")
+    rows = sink.new_rows(spark.read.parquet(path), target, ["k"], ["o"])
+    assert plan_text(rows, "simple").count("FileScan") == 1
+    assert {tuple(r) for r in rows.collect()} == {(1, 7, "a"), (None, 7, "c")}
