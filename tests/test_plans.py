@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.mark.parametrize("name", ["job_pair", "daily_forward_fill", "classify_index", "value_with_fallback",
-                                  "job_deltas", "job_flows", "calendar_left_fill", "seeded_refresh"])
+                                  "job_deltas", "job_flows", "calendar_left_fill", "seeded_refresh", "chain_pool_labels"])
 def test_no_nested_loop_or_cartesian(spark, name):
     plan = plan_text(E.queries()[name](spark, SF))
     assert "BroadcastNestedLoopJoin" not in plan
