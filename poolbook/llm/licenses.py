@@ -1,8 +1,8 @@
 r"""Licence scan (operator 3), in DataFrame operations alone.
 
-1. Words are ``[0-9a-z]`` and non-ASCII runs after lower-casing A-Z.  idf of the
-   template words, 1 + ln((N + 1) / (df + 1)), counts all rows; any other word
-   weighs as one that no row has.
+1. Words are ``[0-9a-z]`` and non-ASCII runs after lower-casing A-Z.  idf of every
+   word, 1 + ln((N + 1) / (df + 1)), counts all rows; frequencies are counted once,
+   stored, and joined to the words of the lines.
 2. Every line of a file is a header candidate, every line of a licence file too.
    Lines and templates are sparse TF-IDF vectors; a line's licence is the
    template with the largest cosine, if that is at least ``COSINE``.  Lines
@@ -65,12 +65,16 @@ def template_words() -> dict[str, Counter]:
     return {name: Counter(w for w in re.split(_NOT_WORD, text.lower()) if w) for name, text in TEMPLATES.items()}
 
 
-def statistics(files: DataFrame) -> tuple[int, dict[str, float]]:
-    """(rows, idf per template word): one count per word of the templates."""
+def document_frequencies(files: DataFrame) -> DataFrame:
+    """w, n: the rows that hold word ``w``, for every word; the empty word counts all rows."""
+    held = F.array_distinct(F.concat(words(F.coalesce("text", F.lit(""))), F.array(F.lit(""))))
+    return files.select(F.explode(held).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+
+
+def statistics(seen: DataFrame) -> tuple[int, dict[str, float]]:
+    """(rows, idf per template word) from ``document_frequencies``."""
     vocabulary = sorted({w for c in template_words().values() for w in c})
-    found = F.array_intersect(words(F.coalesce("text", F.lit(""))), F.array(*map(F.lit, vocabulary)))
-    counts = files.select(F.explode(F.concat(found, F.array(F.lit("")))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
-    df = {r["w"]: r["n"] for r in counts.collect()}
+    df = {r["w"]: r["n"] for r in seen.filter(F.col("w").isin("", *vocabulary)).collect()}
     n = df.get("", 0)  # the empty word is in every row
     return n, {w: 1 + math.log((n + 1) / (df.get(w, 0) + 1)) for w in vocabulary}
 
@@ -88,7 +92,7 @@ def required_words(idf: dict[str, float], cosine: float) -> list[str]:
     return sorted(out)
 
 
-def score_lines(lines: DataFrame, n: int, idf: dict[str, float], cosine: float) -> DataFrame:
+def score_lines(lines: DataFrame, seen: DataFrame, n: int, idf: dict[str, float], cosine: float) -> DataFrame:
     """line, license, score for the distinct ``line`` texts that reach ``cosine``."""
     spark = lines.sparkSession
     rows = []
@@ -96,9 +100,10 @@ def score_lines(lines: DataFrame, n: int, idf: dict[str, float], cosine: float)
         norm = math.sqrt(sum((k * idf[w]) ** 2 for w, k in counts.items()))
         rows += [(w, name, k * idf[w] / norm) for w, k in counts.items()]
     templates = F.broadcast(spark.createDataFrame(rows, "w string, license string, share double"))
-    known = F.broadcast(spark.createDataFrame(sorted(idf.items()), "w string, idf double"))
     tf = lines.select("line").distinct().select("line", F.explode(words(F.col("line"))).alias("w")).groupBy("line", "w").agg(F.count("*").alias("tf"))
-    weighted = tf.join(known, "w", "left").select("line", "w", (F.col("tf") * F.coalesce("idf", F.lit(1 + math.log(n + 1)))).alias("x"))
+    # The document frequencies of the lines' words alone; few beside those of all words.
+    known = stored(seen.join(tf.select("w").distinct(), "w", "left_semi"), "known")
+    weighted = tf.join(known, "w", "left").select("line", "w", (F.col("tf") * (1 + F.log((n + 1) / (F.col("n") + 1)))).alias("x"))
     both = weighted.join(templates, "w", "left").groupBy("line", "license").agg(F.sum(F.col("x") * F.col("share")).alias("dot"))
     norm = weighted.groupBy("line").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
     scored = both.filter("license IS NOT NULL").join(norm, "line").select("line", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
@@ -121,13 +126,14 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", cosin
     """path, own_license, own_score, license, license_from (the directory it is
     inherited from; null if own or none) of every row of ``files``."""
     slim = files.select(F.coalesce(path_col, F.lit("/")).alias("path"), F.col(text_col).alias("text"))
-    n, idf = statistics(slim)
+    seen = stored(document_frequencies(slim), "words")
+    n, idf = statistics(seen)
     need = required_words(idf, cosine)
     listed = F.array(*map(F.lit, need))
     # Few texts have a required word; only those are taken apart into lines.
     split = slim.filter(F.arrays_overlap(words(F.col("text")), listed)).select("path", F.posexplode(F.split("text", "\n")).alias("at", "line"))
     lines = stored(split.filter(F.arrays_overlap(words(F.col("line")), listed)), "lines")
-    best = lines.join(score_lines(lines, n, idf, cosine), "line").groupBy("path").agg(
+    best = lines.join(score_lines(lines, seen, n, idf, cosine), "line").groupBy("path").agg(
         F.min(F.struct((-F.col("score")).alias("minus"), F.col("license"), F.col("at"))).alias("b")).select(
         F.col("path").alias("_path"), F.col("b.license").alias("own_license"), (-F.col("b.minus")).alias("own_score"))
     best = stored(best, "own")

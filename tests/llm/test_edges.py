@@ -1,6 +1,7 @@
 """Every operator on nulls, empty, long and repeated rows, clashing columns, empty tables."""
 
 import hashlib
+import math
 import re
 
 import pytest
@@ -161,6 +162,16 @@ def test_licenses(spark):
     assert len(got) == len(rows) and licenses.scan(df.limit(0)).count() == 0
 
 
+def test_license_lines_keep_their_score_among_common_words(spark):
+    """Words outside the templates weigh by their own frequency, not as unseen ones."""
+    common = "that for you and with"
+    rows = [("/a/x.txt", f"Released under the MIT License {common}.")] + [(f"/pad/{i}", f"the under {common}") for i in range(400)]
+    found = licenses.scan(spark.createDataFrame(rows, "path string, text string")).filter("own_license IS NOT NULL").collect()
+    idf = lambda df: 1 + math.log((len(rows) + 1) / (df + 1))
+    template = 3 * idf(1) ** 2 + 2 * idf(401) ** 2
+    assert [(r["path"], r["own_license"], r["own_score"]) for r in found] == [("/a/x.txt", "MIT", round(math.sqrt(template / (template + 5 * idf(401) ** 2)), 6))]
+
+
 PAGE = "<html><head><title>t</title></head><body>{}</body></html>"
 
 
