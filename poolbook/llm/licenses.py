@@ -3,7 +3,9 @@ r"""Licence scan (operator 3), in DataFrame operations alone.
 1. Words are ``[0-9a-z]`` and non-ASCII runs after lower-casing A-Z.  idf of every
    word, 1 + ln((N + 1) / (df + 1)), counts all rows; frequencies are counted once,
    stored, and joined to the words of the lines.
-2. Every line of a file is a header candidate, every line of a licence file too.
+2. Every line of a file is a header candidate, and so is every window of up to
+   ``WRAP`` consecutive lines (wrapped headers) and the whole text of a licence
+   file; all are called lines below.
    Lines and templates are sparse TF-IDF vectors; a line's licence is the
    template with the largest cosine, if that is at least ``COSINE``.  Lines
    without a *required* word cannot reach it and are left out before scoring: a
@@ -33,6 +35,8 @@ from pyspark.sql import functions as F
 from poolbook.llm.common import stored
 
 COSINE = 0.6
+#: Consecutive lines that a header may be wrapped over.
+WRAP = 4
 #: Licence -> header text.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -93,22 +97,23 @@ def required_words(idf: dict[str, float], cosine: float) -> list[str]:
 
 
 def score_lines(lines: DataFrame, seen: DataFrame, n: int, idf: dict[str, float], cosine: float) -> DataFrame:
-    """line, license, score for the distinct ``line`` texts that reach ``cosine``."""
+    """key, license, score for the distinct lines that reach ``cosine``.  Only
+    keys, not texts, are shuffled with the words."""
     spark = lines.sparkSession
     rows = []
     for name, counts in template_words().items():
         norm = math.sqrt(sum((k * idf[w]) ** 2 for w, k in counts.items()))
         rows += [(w, name, k * idf[w] / norm) for w, k in counts.items()]
     templates = F.broadcast(spark.createDataFrame(rows, "w string, license string, share double"))
-    tf = lines.select("line").distinct().select("line", F.explode(words(F.col("line"))).alias("w")).groupBy("line", "w").agg(F.count("*").alias("tf"))
+    tf = lines.select("key", "line").dropDuplicates(["key"]).select("key", F.explode(words(F.col("line"))).alias("w")).groupBy("key", "w").agg(F.count("*").alias("tf"))
     # The document frequencies of the lines' words alone; few beside those of all words.
     known = stored(seen.join(tf.select("w").distinct(), "w", "left_semi"), "known")
-    weighted = tf.join(known, "w", "left").select("line", "w", (F.col("tf") * (1 + F.log((n + 1) / (F.col("n") + 1)))).alias("x"))
-    both = weighted.join(templates, "w", "left").groupBy("line", "license").agg(F.sum(F.col("x") * F.col("share")).alias("dot"))
-    norm = weighted.groupBy("line").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    scored = both.filter("license IS NOT NULL").join(norm, "line").select("line", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
-    return scored.filter(F.col("score") >= cosine).groupBy("line").agg(F.min(F.struct((-F.col("score")).alias("minus"), F.col("license"))).alias("b")).select(
-        "line", F.col("b.license").alias("license"), (-F.col("b.minus")).alias("score"))
+    weighted = tf.join(known, "w", "left").select("key", "w", (F.col("tf") * (1 + F.log((n + 1) / (F.col("n") + 1)))).alias("x"))
+    both = weighted.join(templates, "w", "left").groupBy("key", "license").agg(F.sum(F.col("x") * F.col("share")).alias("dot"))
+    norm = weighted.groupBy("key").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+    scored = both.filter("license IS NOT NULL").join(norm, "key").select("key", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
+    return scored.filter(F.col("score") >= cosine).groupBy("key").agg(F.min(F.struct((-F.col("score")).alias("minus"), F.col("license"))).alias("b")).select(
+        "key", F.col("b.license").alias("license"), (-F.col("b.minus")).alias("score"))
 
 
 def _parent(path: Column) -> Column:
@@ -122,6 +127,20 @@ def ancestors(directory: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "/"))
 
 
+def _is_license(path: Column) -> Column:
+    return F.element_at(F.split(path, "/"), -1).rlike(FILE_NAME)
+
+
+def candidates(path: Column, text: Column) -> Column:
+    """Lines of ``text``, windows of up to ``WRAP`` of them, and a licence file's
+    whole text; windows beyond the end are null."""
+    lines = F.split(text, "\n")
+    windows = [lines]
+    for k in range(2, WRAP + 1):
+        windows.append(F.zip_with(windows[-1], F.slice(lines, k, F.size(lines)), lambda a, b: F.concat(a, F.lit("\n"), b)))
+    return F.flatten(F.array(*windows, F.when(_is_license(path), F.array(text)).otherwise(F.array().cast("array<string>"))))
+
+
 def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", cosine: float = COSINE) -> DataFrame:
     """path, own_license, own_score, license, license_from (the directory it is
     inherited from; null if own or none) of every row of ``files``."""
@@ -131,14 +150,14 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", cosin
     need = required_words(idf, cosine)
     listed = F.array(*map(F.lit, need))
     # Few texts have a required word; only those are taken apart into lines.
-    split = slim.filter(F.arrays_overlap(words(F.col("text")), listed)).select("path", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    lines = stored(split.filter(F.arrays_overlap(words(F.col("line")), listed)), "lines")
-    best = lines.join(score_lines(lines, seen, n, idf, cosine), "line").groupBy("path").agg(
+    split = slim.filter(F.arrays_overlap(words(F.col("text")), listed)).select("path", F.posexplode(candidates(F.col("path"), F.col("text"))).alias("at", "line"))
+    lines = stored(split.filter(F.arrays_overlap(words(F.col("line")), listed)).withColumn("key", F.unhex(F.sha2("line", 256))), "lines")
+    best = lines.select("path", "at", "key").join(score_lines(lines, seen, n, idf, cosine), "key").groupBy("path").agg(
         F.min(F.struct((-F.col("score")).alias("minus"), F.col("license"), F.col("at"))).alias("b")).select(
         F.col("path").alias("_path"), F.col("b.license").alias("own_license"), (-F.col("b.minus")).alias("own_score"))
     best = stored(best, "own")
     directory = _parent(F.col("_path"))
-    given = best.filter(F.element_at(F.split("_path", "/"), -1).rlike(FILE_NAME)).groupBy(directory.alias("above")).agg(
+    given = best.filter(_is_license(F.col("_path"))).groupBy(directory.alias("above")).agg(
         F.min(F.struct((-F.col("own_score")).alias("minus"), F.col("own_license").alias("license"))).alias("b")).select("above", F.col("b.license").alias("license"))
     all_ = slim.select("path", _parent(F.col("path")).alias("directory"))
     unfolded = all_.select("directory").distinct().select("directory", F.explode(ancestors(F.col("directory"))).alias("above"))

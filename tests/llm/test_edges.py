@@ -172,6 +172,14 @@ def test_license_lines_keep_their_score_among_common_words(spark):
     assert [(r["path"], r["own_license"], r["own_score"]) for r in found] == [("/a/x.txt", "MIT", round(math.sqrt(template / (template + 5 * idf(401) ** 2)), 6))]
 
 
+def test_license_headers_over_several_lines(spark):
+    """A wrapped header is one candidate; a licence file is one as a whole."""
+    rows = [("/a/x.c", "/*\n * This Source Code\n * Form is subject to the\n * terms of the Mozilla\n * Public License, v. 2.0.\n */"),
+            ("/b/LICENSE", "This work\nis licensed\nunder the\nGNU\nGeneral\nPublic License,\nversion 3."), ("/b/y.c", "none"), ("/c/z.c", "Public\n\nForm")]
+    got = {r["path"]: (r["own_license"], r["own_score"], r["license"]) for r in licenses.scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert got == {"/a/x.c": ("MPL-2.0", 1.0, "MPL-2.0"), "/b/LICENSE": ("GPL-3.0", 1.0, "GPL-3.0"), "/b/y.c": (None, None, "GPL-3.0"), "/c/z.c": (None, None, None)}
+
+
 PAGE = "<html><head><title>t</title></head><body>{}</body></html>"
 
 
