@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poolbook.llm import chat, decontaminate, html_text, licenses, line_rules, neardup, packing, pii, quality, url_filter
+from poolbook.llm import bpe, chat, conversations, decontaminate, html_text, licenses, line_rules, neardup, packing, periodic, pii, quality, url_filter
 from poolbook.llm.common import table
 
 
@@ -52,5 +52,21 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(licenses.documents_as_files(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {"op3_licenses": op3_licenses, "op5_html_text": op5_html_text, "op1_quality": op1_quality, "op7_pii": op7_pii, "op9_neardup": op9_neardup, "op6_line_rules": op6_line_rules, "op10_packing": op10_packing, "op4_decontamination": op4_decontamination, "op2_url_filter": op2_url_filter, "op8_chat": op8_chat}
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.planted(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return periodic.digests(periodic.find_runs(docs))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.digests(bpe.decode(bpe.encode(docs).drop("text")))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    summary = conversations.digests(conversations.repair(conversations.damaged(rows)))
+    return conversations.with_empty(rows, summary)
+
+
+QUERIES = {"op11_periodic_runs": op11_periodic_runs, "op12_bpe": op12_bpe, "op13_conversation_repair": op13_conversation_repair, "op3_licenses": op3_licenses, "op5_html_text": op5_html_text, "op1_quality": op1_quality, "op7_pii": op7_pii, "op9_neardup": op9_neardup, "op6_line_rules": op6_line_rules, "op10_packing": op10_packing, "op4_decontamination": op4_decontamination, "op2_url_filter": op2_url_filter, "op8_chat": op8_chat}
 ORACLE = {"op3_licenses": licenses.oracle(), "op4_decontamination": decontaminate.oracle(), "op2_url_filter": url_filter.oracle(), "op8_chat": chat.oracle()}
