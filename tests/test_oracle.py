@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from poolbook.plans.catalog import ORACLE, QUERIES
 from poolbook.sources.tables import TEST_TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -36,7 +37,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 def _duck_type(t) -> str:
@@ -55,11 +57,14 @@ def _duck_type(t) -> str:
     return t.simpleString()
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF)
+    assert_same(QUERIES[name](spark, SF), duck, ORACLE[name])
+
+
+def assert_same(df, duck, sql):
     cols = sorted(df.columns)
-    rel = duck.sql(E.oracle_sql()[name])
+    rel = duck.sql(sql)
     assert sorted(rel.columns) == cols
     duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
     assert {f.name: _duck_type(f.dataType) for f in df.schema.fields} == duck_types
