@@ -109,8 +109,9 @@ def net_flows(transfers: DataFrame, members: DataFrame, start, end,
     """Per (day, pool, token) the value received by member pools minus
     the value they sent.  One scan of the transfers: each transfer becomes
     (to, +v) and (from, -v), a semi join keeps member wallets, and the sum
-    aggregates map-side before the shuffle."""
-    t = in_window(transfers, ts, start, end)
+    aggregates map-side before the shuffle.  ``start`` may be None for the full
+    history."""
+    t = _window(transfers, start, end, ts)
     legs = t.select(
         F.to_date(ts).alias("day"),
         F.col(token).alias("token"),

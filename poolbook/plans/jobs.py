@@ -15,14 +15,15 @@ measured small enough to broadcast.  Building a window runs no Spark job.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 from typing import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from poolbook.functions.scalar import byte_prefix
-from poolbook.operators import fill, labels as L, pools, value
+from poolbook.operators import balance, fill, labels as L, pools, value
 from poolbook.plans.config import LABEL_PREFIX, SEED_LOOKBACK_DAYS, PoolJob
 
 LIQUIDITY_COLUMNS = [
@@ -174,8 +175,6 @@ def build_deltas_window(deltas: DataFrame, pool_defs: DataFrame, tokens: DataFra
     upto = deltas.where(F.col(ts) < fill.ts_literal(deltas, ts, end))
     if opening is not None:
         upto = fill.in_window(upto, ts, start, end)
-    from poolbook.operators import balance
-
     daily = balance.daily_deltas(upto, ["pool", "token"], ts, "delta")
     rb = balance.running_balance(daily, ["pool", "token"], opening, start=start,
                                  opening_keys=["pool_address", "token_address"] if opening is not None else None,
@@ -214,50 +213,75 @@ VIEW_LIQUIDITY_COLUMNS = [
 ]
 
 
-def build_flows_window(flows_v1: DataFrame, deltas_v2: DataFrame, tokens: DataFrame, prices: DataFrame,
-                       hourly: DataFrame, weights: DataFrame, start, end, min_samples: int = 2,
-                       stored: DataFrame | None = None, carry_inactive: bool = False,
-                       price_lookback_days: int = 0) -> DataFrame:
-    """Q12: the flow-based design.
-
-    flows_v1 / deltas_v2: (day, pool, token, amount) daily movements of the
-    two versions (C7 and C12).  They are summed per (day, version, pool,
-    token); the running balance per (pool, token) starts from the stored
-    snapshot of the day before ``start`` (C13); each balance holds until the
-    key's next movement (calendar left join, J5); valuation uses the daily
-    average price, else the as-of sparse median (C6); only rows with a
-    positive value and a positive pool weight are kept (J11, P11)."""
-    from poolbook.operators import balance
-
-    both = (flows_v1.select("day", F.lit("1").alias("version"), "pool", "token", F.col("amount").alias("amount"))
-            .unionByName(deltas_v2.select("day", F.lit("2").alias("version"), "pool", "token",
-                                          F.col("amount").alias("amount"))))
+FLOW_STATE = ["version", "pool", "token", "last_delta", "last_amount"]
+
+
+def flow_states(flows_v1: DataFrame, deltas_v2: DataFrame, end, opening: DataFrame | None = None, opening_day=None,
+                carry_inactive: bool = True) -> DataFrame:
+    """Q12 balances: (day, next_day, version, pool, token, delta_amount,
+    cumulative_amount), each row holding until ``next_day``.
+
+    flows_v1 / deltas_v2: (day, pool, token, amount) daily movements of the two
+    versions (C7, C12) after ``opening_day``.  ``opening`` (FLOW_STATE) is one more
+    row per key on ``opening_day`` whose step is the balance itself, so every opening
+    key holds its balance, version and last delta until it moves next (D10).  With
+    ``carry_inactive=False`` opening rows only feed the sum, as in the reference: a key
+    has no row before its first movement."""
+    arms = [flows_v1.select("day", F.lit("1").alias("version"), "pool", "token", "amount"),
+            deltas_v2.select("day", F.lit("2").alias("version"), "pool", "token", "amount")]
+    both = arms[0].unionByName(arms[1])
     daily = both.groupBy("day", "version", "pool", "token").agg(
         F.sum(F.coalesce(F.col("amount"), F.lit(0).cast(both.schema["amount"].dataType))).alias("delta_amount"))
-    opening = balance.opening_balance(stored, start, extra=("version",)) if stored is not None else None
-    keys = ["pool", "token"]
-    d = daily
-    if opening is not None and carry_inactive:
-        # Pools with an opening balance but no movement in the window keep
-        # their balance (a zero-delta row on ``start``); the reference drops them.
-        idle = opening.select(F.col("pool_address").alias("pool"), F.col("token_address").alias("token"),
-                              "version").join(daily.select(*keys).distinct(), keys, "left_anti")
-        d = d.unionByName(idle.select(F.lit(fill._date(start)).alias("day"), "version", *keys,
-                                      F.lit(0).cast(daily.schema["delta_amount"].dataType).alias("delta_amount")))
+    steps = daily.select("day", "version", "pool", "token", "delta_amount", F.col("delta_amount").alias("_step"), F.lit(False).alias("_seed"))
     if opening is not None:
-        d = d.join(opening.select(F.col("pool_address").alias("pool"), F.col("token_address").alias("token"),
-                                  "last_amount"), keys, "left")
-        base = F.coalesce(F.col("last_amount"), F.lit(0).cast(d.schema["delta_amount"].dataType))
-    else:
-        base = F.lit(0).cast(d.schema["delta_amount"].dataType)
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(*keys).orderBy("day", "version")
-    d = (d.withColumn("cumulative_amount", base + F.sum("delta_amount").over(
-            w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-         .withColumn("next_day", F.lead("day", 1, fill._date(end)).over(w)))
-    cal = fill.calendar_left_fill(d.select("day", "next_day", "version", "pool", "token", "delta_amount",
-                                           "cumulative_amount"), start, end)
+        kind = daily.schema["delta_amount"].dataType
+        steps = steps.unionByName(opening.select(
+            F.lit(fill._date(opening_day)).alias("day"), "version", "pool", "token", F.col("last_delta").cast(kind).alias("delta_amount"),
+            F.col("last_amount").cast(kind).alias("_step"), F.lit(True).alias("_seed")))
+    held = Window.partitionBy("pool", "token").orderBy("day", "version")
+    upto = held.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    states = (steps.withColumn("cumulative_amount", F.sum("_step").over(upto))
+              .withColumn("next_day", F.lead("day", 1, fill._date(end)).over(held)))
+    if not carry_inactive:
+        states = states.where(~F.col("_seed"))
+    return states.drop("_step", "_seed")
+
+
+def closing_flow_states(states: DataFrame, end) -> DataFrame:
+    """The balances at the end of the window (FLOW_STATE): the opening of the next one."""
+    return states.where(F.col("next_day") == F.lit(fill._date(end))).select(
+        "version", "pool", "token", F.col("delta_amount").alias("last_delta"), F.col("cumulative_amount").alias("last_amount"))
+
+
+def stored_opening(stored: DataFrame, start) -> DataFrame:
+    """C13 as FLOW_STATE: the fact rows of the day before ``start``.  Keys without a
+    positive value that day are not in the fact table; ``flow_states`` closed by
+    ``closing_flow_states`` has them."""
+    delta = "delta_token_amount_raw" if "delta_token_amount_raw" in stored.columns else None
+    rows = balance.opening_balance(stored, start, extra=("version", delta) if delta else ("version",))
+    return rows.select("version", F.col("pool_address").alias("pool"), F.col("token_address").alias("token"),
+                       (F.col(delta) if delta else F.lit(None)).alias("last_delta"), "last_amount")
+
+
+def build_flows_window(flows_v1: DataFrame, deltas_v2: DataFrame, tokens: DataFrame, prices: DataFrame,
+                       hourly: DataFrame, weights: DataFrame, start, end, min_samples: int = 2,
+                       stored: DataFrame | None = None, carry_inactive: bool = True,
+                       price_lookback_days: int = 0) -> DataFrame:
+    """Q12: the flow-based design, restarted from the fact rows of the day before
+    ``start`` if ``stored`` is given (see ``flow_states`` and ``value_flows``)."""
+    opening = stored_opening(stored, start) if stored is not None else None
+    before = fill._date(start) - dt.timedelta(days=1)
+    states = flow_states(flows_v1, deltas_v2, end, opening, before, carry_inactive)
+    return value_flows(states, tokens, prices, hourly, weights, start, end, min_samples, price_lookback_days)
+
+
+def value_flows(states: DataFrame, tokens: DataFrame, prices: DataFrame, hourly: DataFrame, weights: DataFrame, start, end,
+                min_samples: int = 2, price_lookback_days: int = 0) -> DataFrame:
+    """Fact rows of ``flow_states``: each balance on each of its days (calendar left
+    join, J5), valued by the daily average price, else the as-of sparse median (C6);
+    only rows with a positive value and a positive pool weight are kept (J11, P11)."""
+    cal = fill.calendar_left_fill(states.select("day", "next_day", "version", "pool", "token", "delta_amount",
+                                                "cumulative_amount"), start, end)
     valued = value.value_with_fallback(
         cal, tokens, prices, hourly, start, end, min_samples, token_col="token", day_col="day",
         amounts={"delta_amount": ("delta_token_amount", "delta_usd_amount"),

@@ -30,18 +30,26 @@ SPECIAL = {
 }
 
 
-def window_job(tables: chain.ChainTables, name: str):
-    """(start, end, stored) -> rows, and the table scope."""
+def window_job(tables: chain.ChainTables, name: str, state: str | None = None):
+    """(start, end, stored) -> rows, and the table scope.  With a ``state`` folder,
+    membership, pool names and flow balances are kept there between runs."""
     if name in JOBS:
-        src = chain.sources_for(tables, name)
-        return (lambda s, e, stored: build_window(JOBS[name], src, s, e, stored=stored)), (
-            JOBS[name].project, JOBS[name].version)
+        def run(start, end, stored):
+            members = names = None
+            if state and name in ("curve_v1", "balancer_v1"):
+                members = chain.extend_members(tables, name, state, end)
+            if state and (JOBS[name].project, JOBS[name].version) in chain.LABEL_REGISTRIES:
+                names = chain.refresh_label_slice(tables, name, state, end)
+            return build_window(JOBS[name], chain.sources_for(tables, name, members=members, names=names), start, end, stored=stored)
+
+        return run, (JOBS[name].project, JOBS[name].version)
     if name == "balancer_v2":
         return (lambda s, e, stored: chain.balancer_v2_window(tables, s, e, stored)), SPECIAL[name]
     if name == "balancer_v2_vault":
         return (lambda s, e, stored: chain.balancer_v2_vault_window(tables, s, e, stored)), SPECIAL[name]
     if name == "balancer_flows":
-        return (lambda s, e, stored: chain.balancer_flows_window(tables, s, e, stored)), None
+        flows = chain.flow_state_table(f"{state.rstrip('/')}/flows") if state else None
+        return (lambda s, e, stored: chain.balancer_flows_window(tables, s, e, stored, state=flows)), None
     raise SystemExit(f"unknown job {name!r}; choose from {sorted([*JOBS, *SPECIAL])}")
 
 
@@ -57,13 +65,14 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     p.add_argument("--job", required=True)
     p.add_argument("--target", required=True, help="folder of the stored fact table")
     p.add_argument("--lake", help="base folder of chain tables as <schema>/<table>.parquet")
+    p.add_argument("--state", help="folder of derived state: members, pool names, flow balances")
     p.add_argument("--window", nargs=2, action="append", metavar=("START", "END"), default=[])
     p.add_argument("--as-of", help="ISO time for refresh (default: now, UTC)")
     args = p.parse_args(argv)
 
     spark = spark or build_session(profile="cluster")
     tables = chain.ChainTables(spark, base=args.lake)
-    job, scope = window_job(tables, args.job)
+    job, scope = window_job(tables, args.job, args.state)
     if args.command == "backfill":
         if not args.window:
             raise SystemExit("backfill needs at least one --window START END")

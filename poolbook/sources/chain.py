@@ -10,11 +10,13 @@ read until a job runs; Catalyst prunes the columns each job uses.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from poolbook.functions.generators import _date
 from poolbook.operators import balance
@@ -32,6 +34,16 @@ from poolbook.plans.config import (
     WRAPPED_NATIVE,
 )
 from poolbook.plans.jobs import Sources
+from poolbook.schemas import LABELS
+from poolbook.session import checkpoint
+from poolbook.streaming.state import (
+    MarkedTable,
+    SnapshotTable,
+    extend_trade_members,
+    extend_transfer_members,
+    refresh_labels,
+    stored_labels,
+)
 
 # Logical name -> qualified upstream table.
 TABLES = {
@@ -65,6 +77,18 @@ TABLES = {
 }
 
 
+# (project, version) -> registry that names its pools, its pool and token columns.
+LABEL_REGISTRIES = {
+    ("Uniswap", "1"): ("uniswap_v1_exchanges", "exchange", ("token",)),
+    ("Uniswap", "2"): ("uniswap_v2_pairs", "pair", ("token0", "token1")),
+    ("Uniswap", "3"): ("uniswap_v3_pools", "pool", ("token0", "token1")),
+    ("Sushiswap", "1"): ("sushi_pairs", "pair", ("token0", "token1")),
+    ("1inch", "1"): ("oneinch_pools", "mooniswap", ("token1", "token2")),  # first factory only, as the reference
+    ("Mooniswap", "1"): ("mooniswap_pools", "mooniswap", ("token1", "token2")),
+    ("Bancor", "2"): ("bancor_liquidity_added", "contract_address", ("_reserveToken",)),
+}
+
+
 class ChainTables:
     """Resolve logical names to DataFrames (``spark.table`` or Parquet)."""
 
@@ -164,14 +188,9 @@ def label_sets(t: ChainTables) -> dict[tuple[str, str], Callable[[], DataFrame]]
                                                   LABEL_PREFIX[("Uniswap", "1")], NATIVE_SYMBOL),
         ("Bancor", "2"): bancor,
     }
-    for key, table, pool, tokens in [
-        (("Uniswap", "2"), "uniswap_v2_pairs", "pair", ("token0", "token1")),
-        (("Uniswap", "3"), "uniswap_v3_pools", "pool", ("token0", "token1")),
-        (("Sushiswap", "1"), "sushi_pairs", "pair", ("token0", "token1")),
-        (("1inch", "1"), "oneinch_pools", "mooniswap", ("token1", "token2")),  # first factory only, as the reference
-        (("Mooniswap", "1"), "mooniswap_pools", "mooniswap", ("token1", "token2")),
-    ]:
-        sets[key] = pair(table, pool, *tokens, key)
+    for key, (table, pool, tokens) in LABEL_REGISTRIES.items():
+        if key not in sets:
+            sets[key] = pair(table, pool, *tokens, key)
     return sets
 
 
@@ -205,15 +224,19 @@ def _trades(t: ChainTables, job: str) -> Callable[[], DataFrame] | None:
     return None
 
 
-def sources_for(t: ChainTables, job: str, with_labels: bool = True) -> Sources:
-    """Inputs of ``build_window(JOBS[job], ...)`` over the chain tables."""
+def sources_for(t: ChainTables, job: str, with_labels: bool = True, members: MarkedTable | None = None,
+                names: SnapshotTable | None = None) -> Sources:
+    """Inputs of ``build_window(JOBS[job], ...)`` over the chain tables; membership
+    and names are read from ``members`` and ``names`` where they are kept as state."""
     if job not in JOBS:
         raise KeyError(job)
     # A pool is registered with one exchange, so its name is in that one's set.
     labels = label_sets(t).get((JOBS[job].project, JOBS[job].version)) if with_labels else None
+    if names is not None:
+        labels = lambda: stored_labels(t.spark, names)
     return Sources(
         balances=lambda: _balances(t),
-        registry=_registry(t, job),
+        registry=_registry(t, job) if members is None else lambda: members.rows(t.spark),
         tokens=lambda: t("tokens").select("contract_address", "symbol", "decimals"),
         prices=lambda: t("prices_usd").select("contract_address", "minute", "price"),
         labels=labels,
@@ -267,12 +290,76 @@ def balancer_v2_vault_window(t: ChainTables, start, end, stored: DataFrame | Non
     return J.build_vault_totals_window(src, BALANCER_V2_VAULT, balancer_v2_pools(t), start, end, version=VAULT_VERSION, stored=stored)
 
 
+def flow_state_table(path: str) -> SnapshotTable:
+    """Closing balances of the flow design, one snapshot per window end."""
+    raw = T.DecimalType(38, 0)
+    return SnapshotTable(path, T.StructType([
+        T.StructField("version", T.StringType()), T.StructField("pool", T.BinaryType()), T.StructField("token", T.BinaryType()),
+        T.StructField("last_delta", raw), T.StructField("last_amount", raw)]))
+
+
 def balancer_flows_window(t: ChainTables, start, end, stored: DataFrame | None = None,
-                          min_samples: int = 2) -> DataFrame:
+                          min_samples: int = 2, state: SnapshotTable | None = None) -> DataFrame:
     """Q12: flow-based balances of v1 pools (transfers) and v2 pools (vault
     deltas incl. internal balances), valued by daily average price else the
-    as-of sparse median, kept where value and pool weight are positive."""
-    v1 = balance.net_flows(t("transfers"), t("balancer_v1_pools").select("pool"), start, end)
-    v2 = balance.vault_deltas(start, end, **vault_arms(t)).withColumnRenamed("delta_amount", "amount")
-    return J.build_flows_window(v1, v2, t("tokens"), t("prices_usd"), t("dex_token_prices"),
-                                t("balancer_pool_weights"), start, end, min_samples, stored=stored)
+    as-of sparse median, kept where value and pool weight are positive.
+
+    ``state``: balances restart from the latest snapshot that closed before ``start``,
+    whatever their value was that day, and movements are read from the day after it
+    (from the beginning, if there is none); the closing balances are stored in turn.
+    Without ``state`` the opening is the stored fact rows of the day before (C13)."""
+    opened = state.latest(t.spark, before=start) if state is not None else None
+    since = opened[0] + dt.timedelta(days=1) if opened else None if state is not None else start
+    v1 = balance.net_flows(t("transfers"), t("balancer_v1_pools").select("pool"), since, end)
+    v2 = balance.vault_deltas(since, end, **vault_arms(t)).withColumnRenamed("delta_amount", "amount")
+    rest = (t("tokens"), t("prices_usd"), t("dex_token_prices"), t("balancer_pool_weights"), start, end, min_samples)
+    if state is None:
+        return J.build_flows_window(v1, v2, *rest, stored=stored)
+    states = checkpoint(J.flow_states(v1, v2, end, opened and opened[1], opened and opened[0]))
+    state.write(J.closing_flow_states(states, end), _date(end) - dt.timedelta(days=1))
+    return J.value_flows(states, *rest)
+
+
+# ---- state kept between runs (C10, U3, K3) -----------------------------------
+MEMBER = T.StructType([T.StructField("pool", T.BinaryType()), T.StructField("token", T.BinaryType())])
+#: Time columns of the sources that state is extended from.
+TRADE_TIME, EVENT_TIME = "block_time", "evt_block_time"
+
+
+def extend_members(t: ChainTables, job: str, folder: str, end) -> MarkedTable:
+    """Bring the stored membership of a job up to ``end`` and return it."""
+    members = MarkedTable(f"{folder.rstrip('/')}/members-{job}", MEMBER)
+    if job == "curve_v1":
+        extend_trade_members(t.spark, members, t("curve_trades"), end, "exchange_contract_address", "token_a_address",
+                             "token_b_address", TRADE_TIME)
+    elif job == "balancer_v1":
+        known = MarkedTable(f"{folder.rstrip('/')}/pools-{job}", T.StructType(MEMBER.fields[:1]))
+        registry = t("balancer_v1_pools")
+        registered = EVENT_TIME if EVENT_TIME in registry.columns else None
+        extend_transfer_members(t.spark, members, known, t("transfers"), registry, end, registered=registered)
+    else:
+        raise KeyError(job)
+    return members
+
+
+def refresh_label_slice(t: ChainTables, job: str, folder: str, end) -> SnapshotTable:
+    """Bring the label slice of a job's (project, version) up to ``end``: registry rows
+    after its mark are read, all its pools are named from the token dimension of today."""
+    key = (JOBS[job].project, JOBS[job].version)
+    table, pool, tokens = LABEL_REGISTRIES[key]
+    columns = ["pool", "token_a", "token_b"][: 1 + len(tokens)]
+    registry = t(table).select(*[F.col(c).alias(name) for c, name in zip((pool, *tokens), columns)], EVENT_TIME)
+
+    def name_pools(rows: DataFrame) -> DataFrame:
+        if key == ("Bancor", "2"):
+            return L.hub_labels(rows, t("tokens"), "pool", "token_a", NATIVE_PLACEHOLDER, WRAPPED_NATIVE, BANCOR_HUB_TOKEN,
+                                LABEL_PREFIX[key], BANCOR_HUB_SYMBOL)
+        if not tokens[1:]:
+            return L.single_labels(rows, t("tokens"), "pool", "token_a", LABEL_PREFIX[key], NATIVE_SYMBOL)
+        return L.pair_labels(rows, t("tokens"), "pool", "token_a", "token_b", LABEL_PREFIX[key])
+
+    at = f"{folder.rstrip('/')}/labels/project={key[0]}/version={key[1]}"
+    known = MarkedTable(f"{at}/registry", T.StructType([T.StructField(c, T.BinaryType()) for c in columns]))
+    names = SnapshotTable(f"{at}/names", LABELS)
+    refresh_labels(t.spark, known, names, registry, name_pools, end, EVENT_TIME)
+    return names

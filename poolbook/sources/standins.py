@@ -195,6 +195,7 @@ def curve_trades(spark: SparkSession, base: str) -> DataFrame:
         F.col("user_id").alias("exchange_contract_address"),
         F.col("event_type").alias("token_a_address"),
         other.alias("token_b_address"),
+        F.col("ts").alias("block_time"),
     )
 
 

@@ -123,8 +123,8 @@ def test_flow_job_carries_pools_without_movement_when_asked(spark):
     stored = spark.createDataFrame([(dt.date(2021, 7, 1), "p", "A", Decimal(100), "1")],
                                    "block_time date, pool_address string, token_address string, token_amount_raw decimal(38,0), version string")
     args = (flows, deltas, tokens, prices, hourly, weights, "2021-07-02", "2021-07-04", 2)
-    dropped = {(r["pool_address"], r["block_time"].day) for r in build_flows_window(*args, stored=stored).collect()}
+    dropped = {(r["pool_address"], r["block_time"].day) for r in build_flows_window(*args, stored=stored, carry_inactive=False).collect()}
     carried = {(r["pool_address"], r["block_time"].day, int(r["token_amount_raw"]))
-               for r in build_flows_window(*args, stored=stored, carry_inactive=True).collect()}
+               for r in build_flows_window(*args, stored=stored).collect()}
     assert dropped == {("q", 2), ("q", 3)}
     assert carried == {("q", 2, 5), ("q", 3, 5), ("p", 2, 100), ("p", 3, 100)}
