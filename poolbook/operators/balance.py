@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from poolbook.functions.generators import _date, zip_explode
 from poolbook.operators.fill import in_months, in_window, ts_literal
+from poolbook.operators.scan import running_sum
 
 
 def daily_deltas(events: DataFrame, keys: list[str], ts: str, delta: str, out: str = "delta_amount") -> DataFrame:
@@ -20,34 +21,13 @@ def daily_deltas(events: DataFrame, keys: list[str], ts: str, delta: str, out: s
         F.sum(F.coalesce(F.col(delta), F.lit(0).cast(events.schema[delta].dataType))).alias(out))
 
 
-def running_balance_events(deltas: DataFrame, keys: list[str], ts: str, delta: str,
-                           frame: str = "range", tie: str | None = None, out: str = "amount_raw") -> DataFrame:
+def running_balance_events(deltas: DataFrame, keys: list[str], ts: str, delta: str, frame: str = "range",
+                           tie: str | None = None, out: str = "amount_raw", tasks: int | None = None) -> DataFrame:
     """W4 / W5 at event grain: running SUM of ``delta`` per key ordered by
     ``ts``.  ``frame="range"``: rows with equal ``ts`` share one total (SQL's
-    default frame); ``frame="rows"``: stepwise, ties broken by ``tie``.
-
-    Days before the row come from a per-(key, day) partial sum and a window
-    over days (one row per key and day); only the part inside the row's own day
-    needs a window over raw rows, partitioned by (key, day).  A busy key is
-    split across its days; one busy day of one key stays one window."""
-    own = deltas.columns
-    with_day = deltas.withColumn("_day", F.to_date(ts))
-    per_day = with_day.groupBy(*keys, "_day").agg(F.sum(delta).alias("_day_sum"))
-    before = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    prior = per_day.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_day").alias("_d"),
-                           F.sum("_day_sum").over(before).alias("_prior"))
-    order = [F.col(ts)] + ([F.col(tie)] if (tie and frame == "rows") else [])
-    w = Window.partitionBy(*keys, "_day").orderBy(*order)
-    w = w.rangeBetween(Window.unboundedPreceding, Window.currentRow) if frame == "range" else \
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    within = with_day.withColumn("_within", F.sum(delta).over(w))
-    same = F.col("_day").eqNullSafe(F.col("_d"))
-    for i, k in enumerate(keys):  # a NULL key is a key like any other
-        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    joined = within.join(prior, same, "inner")
-    # NULL only while nothing but NULLs came before, as in SQL
-    total = F.coalesce(F.col("_prior") + F.col("_within"), F.col("_prior"), F.col("_within"))
-    return joined.select(*own, total.alias(out))
+    default frame); ``frame="rows"``: stepwise, ties broken by ``tie``.  A busy key,
+    and a busy day of it, is spread over many tasks (``scan.running_sum``)."""
+    return running_sum(deltas, keys, ts, delta, frame, tie, out, tasks)
 
 
 def opening_balance(stored: DataFrame, start, time_col: str = "block_time",

@@ -5,11 +5,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from poolbook.functions.generators import _date
 from poolbook.functions.scalar import scale_amount, usd_value
+from poolbook.operators.quantile import exact_percentile
 
 
 def midnight_prices(prices: DataFrame, start=None, end=None, token: str = "contract_address",
@@ -93,13 +94,25 @@ def daily_average_prices(prices: DataFrame, start, end, token: str = "contract_a
 
 def sparse_daily_medians(hourly: DataFrame, start, end, min_samples: int = 2,
                          token: str = "contract_address", hour: str = "hour",
-                         median: str = "median_price", samples: str = "sample_size") -> DataFrame:
+                         median: str = "median_price", samples: str = "sample_size",
+                         hot_group: int | None = None) -> DataFrame:
     """A8 + A9: per (day, token) the exact lower median of the hourly medians,
-    kept when the day's total sample size exceeds ``min_samples``."""
+    kept when the day's total sample size exceeds ``min_samples``.
+
+    A source of hours has at most 24 rows a group, which the built-in aggregate takes
+    whole.  For a source of finer grain ``hot_group`` names the group size from which
+    on the median is selected by narrowing (``quantile.exact_percentile``)."""
     t = hourly.schema[hour].dataType
     h = F.col(hour)
+    inside = hourly.where((h >= F.lit(_date(start)).cast(t)) & (h < F.lit(_date(end)).cast(t)))
+    if hot_group is not None:
+        keyed = inside.select(F.to_date(h).alias("day"), F.col(token).alias("token"), F.col(median).alias("price"), samples)
+        enough = keyed.groupBy("day", "token").agg(F.sum(samples).alias("sample_size")).where(F.col("sample_size") > min_samples)
+        medians = exact_percentile(keyed, ["day", "token"], "price", limit=hot_group)
+        same = F.col("day").eqNullSafe(F.col("_day")) & F.col("token").eqNullSafe(F.col("_token"))
+        return enough.join(medians.toDF("_day", "_token", "price"), same, "left").drop("_day", "_token")
     return (
-        hourly.where((h >= F.lit(_date(start)).cast(t)) & (h < F.lit(_date(end)).cast(t)))
+        inside
         .groupBy(F.to_date(h).alias("day"), F.col(token).alias("token"))
         .agg(
             F.sum(samples).alias("sample_size"),
@@ -109,15 +122,17 @@ def sparse_daily_medians(hourly: DataFrame, start, end, min_samples: int = 2,
     )
 
 
-def as_of_daily(sparse: DataFrame, end, keys: tuple[str, ...] = ("token",)) -> DataFrame:
-    """W2 + J9 rewritten: each sparse price is valid from its day until the
-    token's next sparse day (or ``end``); expanded to one row per valid day so
-    the as-of lookup becomes an equi-join on (token, day)."""
-    w = Window.partitionBy(*keys).orderBy("day")
-    return (
-        sparse.withColumn("next_day", F.lead("day", 1, _date(end)).over(w))
-        .select(*keys, F.explode(F.sequence("day", F.date_sub("next_day", 1))).alias("day"), "price")
-    )
+def price_lists(sparse: DataFrame) -> DataFrame:
+    """W2 + J9 for day-grain prices: one row per token, its prices as a list by day (at
+    most one a day of the window), so an as-of look-up is an equi-join on the token and
+    no row is made per token and day.  For prices of any grain see ``scan.asof_join``."""
+    return sparse.groupBy(F.col("token").alias("_s_token")).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("day").alias("day"), F.col("price").alias("price")))).alias("_s_list"))
+
+
+def latest_in(prices: Column, day: Column) -> Column:
+    """The price of the latest entry of a list at or before ``day`` (NULL if none)."""
+    return F.try_element_at(F.filter(prices, lambda p: p["day"] <= day), F.lit(-1))["price"]
 
 
 def value_with_fallback(
@@ -142,15 +157,14 @@ def value_with_fallback(
     # lookback_days > 0 lets days early in the window use a sparse price from
     # before it (the reference starts the as-of series at the window start).
     sparse_start = _date(start) - dt.timedelta(days=lookback_days)
-    sparse = as_of_daily(sparse_daily_medians(hourly, sparse_start, end, min_samples), end).select(
-        F.col("token").alias("_s_token"), F.col("day").alias("_s_day"), F.col("price").alias("_s_price"))
+    sparse = sparse_daily_medians(hourly, sparse_start, end, min_samples)
     out = (
         df.join(unique_tokens(tokens), F.col(token_col) == F.col("_t_token"), "left")
         .join(daily, (F.col(token_col) == F.col("_d_token")) & (F.col(day_col) == F.col("_d_day")), "left")
-        .join(sparse, (F.col(token_col) == F.col("_s_token")) & (F.col(day_col) == F.col("_s_day")), "left")
-        .withColumn("price", F.coalesce("_d_price", "_s_price"))
+        .join(price_lists(sparse), F.col(token_col) == F.col("_s_token"), "left")
+        .withColumn("price", F.coalesce("_d_price", latest_in(F.col("_s_list"), F.col(day_col))))
     )
     for raw, (amount_name, usd_name) in (amounts or {}).items():
         out = out.withColumn(amount_name, scale_amount(raw, "_t_decimals")).withColumn(
             usd_name, usd_value(raw, "_t_decimals", "price"))
-    return out.drop("_t_token", "_t_decimals", "_d_token", "_d_day", "_d_price", "_s_token", "_s_day", "_s_price")
+    return out.drop("_t_token", "_t_decimals", "_d_token", "_d_day", "_d_price", "_s_token", "_s_list")

@@ -7,9 +7,16 @@ from pyspark.sql import functions as F
 
 from poolbook.functions.generators import zip_explode
 from poolbook.functions.scalar import scale_weight
+from poolbook.operators.scan import asof_join
 from poolbook.operators import balance, value
 
 
+def as_of_july(spark, sparse):
+    """The first four days of July with the latest sparse price of token A."""
+    days = spark.createDataFrame([("A", dt.date(2021, 7, d)) for d in range(1, 5)], "token string, day date")
+    return asof_join(days, sparse, {"token": "token"}, "day", "day", ["price"]).where("price is not null")
+
+
 def test_missing_token_price_and_decimals_keep_the_row(spark):
     rows = spark.createDataFrame(
         [(dt.date(2021, 7, 1), "A", Decimal(1000)), (dt.date(2021, 7, 1), "B", Decimal(1000)),
@@ -30,7 +37,7 @@ def test_sparse_price_needs_enough_samples_and_carries_forward(spark):
         [("A", dt.datetime(2021, 7, 1, 1), 5.0, 2), ("A", dt.datetime(2021, 7, 2, 1), 7.0, 3)],
         "contract_address string, hour timestamp_ntz, median_price double, sample_size bigint")
     med = value.sparse_daily_medians(hourly, "2021-07-01", "2021-07-05", min_samples=2)
-    daily = {r["day"].day: r["price"] for r in value.as_of_daily(med, "2021-07-05").collect()}
+    daily = {r["day"].day: r["price"] for r in as_of_july(spark, med).collect()}
     assert daily == {2: 7.0, 3: 7.0, 4: 7.0}
 
 
