@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from poolbook.functions import wide
 from poolbook.functions.generators import _date, zip_explode
 from poolbook.operators.fill import in_months, in_window, ts_literal
 from poolbook.operators.scan import running_sum
@@ -16,9 +17,11 @@ from poolbook.operators.scan import running_sum
 
 def daily_deltas(events: DataFrame, keys: list[str], ts: str, delta: str, out: str = "delta_amount") -> DataFrame:
     """A5 + A7: ``SUM(COALESCE(delta, 0))`` per (day, keys); partial
-    aggregation map-side, exact for decimals (an all-NULL group gives 0)."""
+    aggregation map-side, exact for decimals and for text amounts of up to 78
+    digits (an all-NULL group gives 0)."""
+    kind = events.schema[delta].dataType
     return events.groupBy(F.to_date(ts).alias("day"), *keys).agg(
-        F.sum(F.coalesce(F.col(delta), F.lit(0).cast(events.schema[delta].dataType))).alias(out))
+        wide.total(F.coalesce(F.col(delta), wide.zero(kind)), kind).alias(out))
 
 
 def running_balance_events(deltas: DataFrame, keys: list[str], ts: str, delta: str, frame: str = "range",
@@ -55,23 +58,26 @@ def running_balance(daily: DataFrame, keys: list[str], opening: DataFrame | None
     ``start`` (zero plus what moves that day), so that later expansion carries
     it from the first day on, whenever it moves next (default off)."""
     d = daily
+    kind = d.schema[delta].dataType
     if opening is not None:
         ok = opening_keys or keys
-        op = opening.select(*[F.col(a).alias(f"_o{i}") for i, a in enumerate(ok)], "last_amount")
+        op = opening.select(*[F.col(a).alias(f"_o{i}") for i, a in enumerate(ok)], F.col("last_amount").cast(kind).alias("last_amount"))
         if carry_inactive:
-            zero = F.lit(0).cast(d.schema[delta].dataType)
-            extra = op.select(F.lit(_date(start)).alias("day"), *[F.col(f"_o{i}").alias(k) for i, k in enumerate(keys)], zero.alias(delta))
-            d = d.select("day", *keys, delta).unionByName(extra).groupBy("day", *keys).agg(F.sum(delta).alias(delta))
+            extra = op.select(F.lit(_date(start)).alias("day"), *[F.col(f"_o{i}").alias(k) for i, k in enumerate(keys)], wide.zero(kind).alias(delta))
+            d = d.select("day", *keys, delta).unionByName(extra).groupBy("day", *keys).agg(wide.total(F.col(delta), kind).alias(delta))
         cond = [F.col(k) == F.col(f"_o{i}") for i, k in enumerate(keys)]
         c = cond[0]
         for x in cond[1:]:
             c = c & x
         d = d.join(op, c, "left").drop(*[f"_o{i}" for i in range(len(keys))])
-        base = F.coalesce(F.col("last_amount"), F.lit(0).cast(d.schema[delta].dataType))
+        base = F.coalesce(F.col("last_amount"), wide.zero(kind))
     else:
-        base = F.lit(0).cast(d.schema[delta].dataType)
+        base = wide.zero(kind)
     w = Window.partitionBy(*keys).orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out_df = d.withColumn(out, base + F.sum(delta).over(w))
+    if wide.is_text(kind):  # the opening balance is one more term of the sum
+        out_df = d.withColumn(out, wide.plus(wide.running(F.col(delta), kind, w), base))
+    else:
+        out_df = d.withColumn(out, base + F.sum(delta).over(w))
     return out_df.drop("last_amount") if opening is not None else out_df
 
 
@@ -92,17 +98,18 @@ def net_flows(transfers: DataFrame, members: DataFrame, start, end,
     aggregates map-side before the shuffle.  ``start`` may be None for the full
     history."""
     t = _window(transfers, start, end, ts)
+    kind = transfers.schema[value].dataType
     legs = t.select(
         F.to_date(ts).alias("day"),
         F.col(token).alias("token"),
         F.explode(F.array(
             F.struct(F.col(dst).alias("pool"), F.col(value).alias("amount")),
-            F.struct(F.col(src).alias("pool"), (-F.col(value)).alias("amount")),
+            F.struct(F.col(src).alias("pool"), wide.negated(F.col(value), kind).alias("amount")),
         )).alias("leg"),
     ).select("day", "token", "leg.pool", "leg.amount")
     m = members.select(F.col("pool").alias("_m")).distinct()
     kept = legs.join(m, F.col("pool") == F.col("_m"), "left_semi")
-    return kept.groupBy("day", "pool", "token").agg(F.sum("amount").alias("amount"))
+    return kept.groupBy("day", "pool", "token").agg(wide.total(F.col("amount"), kind).alias("amount"))
 
 
 def vault_deltas(start, end, swaps: DataFrame | None = None, balance_changes: DataFrame | None = None,
@@ -129,14 +136,16 @@ def vault_delta_events(start, end, swaps: DataFrame | None = None, balance_chang
         s = _window(swaps, start, end)
         arms.append(s.select("ts", "pool", F.explode(F.array(
             F.struct(F.col("token_in").alias("token"), F.col("amount_in").alias("delta")),
-            F.struct(F.col("token_out").alias("token"), (-F.col("amount_out")).alias("delta")),
+            F.struct(F.col("token_out").alias("token"), wide.negated(F.col("amount_out"), swaps.schema["amount_out"].dataType).alias("delta")),
         )).alias("leg")).select("ts", "pool", "leg.token", "leg.delta"))
     if balance_changes is not None:
         b = _window(balance_changes, start, end)
         arms.append(zip_explode(b, ["ts", "pool"], {"token": F.col("tokens"), "delta": F.col("deltas")}))
     if managed is not None:
         m = _window(managed, start, end)
-        arms.append(m.select("ts", "pool", "token", (F.col("cash_delta") + F.col("managed_delta")).alias("delta")))
+        kind = managed.schema["cash_delta"].dataType
+        both = wide.plus(F.col("cash_delta"), F.col("managed_delta")) if wide.is_text(kind) else F.col("cash_delta") + F.col("managed_delta")
+        arms.append(m.select("ts", "pool", "token", both.alias("delta")))
     if internal is not None:
         i = _window(internal, start, end)
         arms.append(i.select("ts", F.lit(None).cast(arms[0].schema["pool"].dataType if arms else "string").alias("pool"),

@@ -22,6 +22,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from poolbook.functions import wide
 from poolbook.functions.scalar import byte_prefix
 from poolbook.operators import balance, fill, labels as L, pools, value
 from poolbook.plans.config import LABEL_PREFIX, SEED_LOOKBACK_DAYS, PoolJob
@@ -118,7 +119,7 @@ def build_window(job: PoolJob, src: Sources, start, end, stored: DataFrame | Non
            .withColumn("version", F.lit(job.version))
            .withColumn("category", F.lit(job.category))
            .withColumn("token_pool_percentage", share))
-    return out.select(*LIQUIDITY_COLUMNS)
+    return quarantined(out.select(*LIQUIDITY_COLUMNS), ["token_amount_raw"])
 
 
 def vault_totals_changes(balances: DataFrame, vault, pool_defs: DataFrame) -> DataFrame:
@@ -148,11 +149,12 @@ def build_vault_totals_window(src: Sources, vault, pool_defs: DataFrame, start,
     rows = daily.select("day", F.col("wallet_address").alias("pool_address"), "token_address", "token_index",
                         F.col("amount_raw").alias("token_amount_raw"))
     valued = value.value_at_day_open(rows, src.tokens(), src.prices(), start=start, end=end)
-    return (valued.withColumn("pool_name", F.lit(None).cast("string"))
-            .withColumn("project", F.lit(project)).withColumn("version", F.lit(version))
-            .withColumn("category", F.lit("DEX"))
-            .withColumn("token_pool_percentage", F.lit(None).cast("double"))
-            .select(*LIQUIDITY_COLUMNS))
+    out = (valued.withColumn("pool_name", F.lit(None).cast("string"))
+           .withColumn("project", F.lit(project)).withColumn("version", F.lit(version))
+           .withColumn("category", F.lit("DEX"))
+           .withColumn("token_pool_percentage", F.lit(None).cast("double"))
+           .select(*LIQUIDITY_COLUMNS))
+    return quarantined(out, ["token_amount_raw"])
 
 
 def build_deltas_window(deltas: DataFrame, pool_defs: DataFrame, tokens: DataFrame, prices: DataFrame,
@@ -200,11 +202,12 @@ def build_deltas_window(deltas: DataFrame, pool_defs: DataFrame, tokens: DataFra
     states = states.withColumn("pool_name", name)
     rows = fill.expand_days(states, start, end)
     valued = value.price_at_day_open(rows, prices, start=start, end=end)
-    return (valued
-            .withColumn("project", F.lit(project)).withColumn("version", F.lit(version))
-            .withColumn("category", F.lit("DEX")).withColumn("token_index", F.lit("token_x"))
-            .withColumn("token_pool_percentage", F.col("normalized_weight").cast("double"))
-            .select(*LIQUIDITY_COLUMNS))
+    out = (valued
+           .withColumn("project", F.lit(project)).withColumn("version", F.lit(version))
+           .withColumn("category", F.lit("DEX")).withColumn("token_index", F.lit("token_x"))
+           .withColumn("token_pool_percentage", F.col("normalized_weight").cast("double"))
+           .select(*LIQUIDITY_COLUMNS))
+    return quarantined(out, ["token_amount_raw"])
 
 
 VIEW_LIQUIDITY_COLUMNS = [
@@ -230,17 +233,18 @@ def flow_states(flows_v1: DataFrame, deltas_v2: DataFrame, end, opening: DataFra
     arms = [flows_v1.select("day", F.lit("1").alias("version"), "pool", "token", "amount"),
             deltas_v2.select("day", F.lit("2").alias("version"), "pool", "token", "amount")]
     both = arms[0].unionByName(arms[1])
+    given = both.schema["amount"].dataType
     daily = both.groupBy("day", "version", "pool", "token").agg(
-        F.sum(F.coalesce(F.col("amount"), F.lit(0).cast(both.schema["amount"].dataType))).alias("delta_amount"))
+        wide.total(F.coalesce(F.col("amount"), wide.zero(given)), given).alias("delta_amount"))
+    kind = daily.schema["delta_amount"].dataType
     steps = daily.select("day", "version", "pool", "token", "delta_amount", F.col("delta_amount").alias("_step"), F.lit(False).alias("_seed"))
     if opening is not None:
-        kind = daily.schema["delta_amount"].dataType
         steps = steps.unionByName(opening.select(
             F.lit(fill._date(opening_day)).alias("day"), "version", "pool", "token", F.col("last_delta").cast(kind).alias("delta_amount"),
             F.col("last_amount").cast(kind).alias("_step"), F.lit(True).alias("_seed")))
     held = Window.partitionBy("pool", "token").orderBy("day", "version")
     upto = held.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    states = (steps.withColumn("cumulative_amount", F.sum("_step").over(upto))
+    states = (steps.withColumn("cumulative_amount", wide.running(F.col("_step"), kind, upto))
               .withColumn("next_day", F.lead("day", 1, fill._date(end)).over(held)))
     if not carry_inactive:
         states = states.where(~F.col("_seed"))
@@ -292,8 +296,24 @@ def value_flows(states: DataFrame, tokens: DataFrame, prices: DataFrame, hourly:
     kept = (valued.join(wt,
                         (F.col("pool") == F.col("_w_pool")) & (F.col("token") == F.col("_w_tok")))
             .where((F.col("usd_amount") > 0) & (F.col("token_weight") > 0)))
-    return kept.select(
+    out = kept.select(
         F.col("day").alias("block_time"), F.col("pool").alias("pool_address"), F.col("token").alias("token_address"),
         "token_symbol", "token_weight", "delta_token_amount",
         F.col("delta_amount").alias("delta_token_amount_raw"), "delta_usd_amount", "token_amount",
         F.col("cumulative_amount").alias("token_amount_raw"), "usd_amount", "version")
+    return quarantined(out, ["token_amount_raw", "delta_token_amount_raw"])
+
+
+#: Column of rows whose raw amount does not fit the fact table: its text.
+AMOUNT_TEXT = "amount_text"
+
+
+def quarantined(rows: DataFrame, amounts: list[str]) -> DataFrame:
+    """Rows with text amounts (up to 78 digits) in the fact's DECIMAL(38,0).  Those that
+    do not fit get a NULL amount and their text in ``amount_text``; the sink
+    (``polling.write_window``) stores them in the quarantine table, not in the fact."""
+    wide_ones = [c for c in amounts if wide.is_text(rows.schema[c].dataType)]
+    if not wide_ones:
+        return rows
+    text = F.coalesce(*[wide.too_wide(F.col(c)) for c in wide_ones])
+    return rows.withColumn(AMOUNT_TEXT, text).withColumns({c: wide.fitting(F.col(c)) for c in wide_ones})

@@ -14,7 +14,7 @@ import datetime as dt
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -153,21 +153,31 @@ def balancer_v2_pools(t: ChainTables) -> DataFrame:
     ])
 
 
+# ---- amounts that are summed (S4, S18-S21) -------------------------------------
+def _amount(column: str) -> Column:
+    """A signed 256-bit amount as text: sums of it are exact and never overflow."""
+    return F.col(column).cast("string")
+
+
+def transfers(t: ChainTables) -> DataFrame:
+    return t("transfers").select("contract_address", "from", "to", _amount("value").alias("value"), "evt_block_time")
+
+
 # ---- vault movements (S18-S21) ---------------------------------------------
 def vault_arms(t: ChainTables, names=("swaps", "balance_changes", "managed", "internal")) -> dict[str, DataFrame]:
     """The C12 arms in operator shape (see ``balance.vault_deltas``); only
     the requested ones are read."""
     build = {
         "swaps": lambda: t("balancer_v2_swaps").select(
-            F.col("poolId").alias("pool"), F.col("tokenIn").alias("token_in"), F.col("amountIn").alias("amount_in"),
-            F.col("tokenOut").alias("token_out"), F.col("amountOut").alias("amount_out"),
+            F.col("poolId").alias("pool"), F.col("tokenIn").alias("token_in"), _amount("amountIn").alias("amount_in"),
+            F.col("tokenOut").alias("token_out"), _amount("amountOut").alias("amount_out"),
             F.col("evt_block_time").alias("ts")),
         "balance_changes": lambda: t("balancer_v2_balance_changed").select(
-            F.col("poolId").alias("pool"), "tokens", "deltas", F.col("evt_block_time").alias("ts")),
+            F.col("poolId").alias("pool"), "tokens", F.col("deltas").cast("array<string>").alias("deltas"), F.col("evt_block_time").alias("ts")),
         "managed": lambda: t("balancer_v2_managed").select(
-            F.col("poolId").alias("pool"), "token", F.col("cashDelta").alias("cash_delta"),
-            F.col("managedDelta").alias("managed_delta"), F.col("evt_block_time").alias("ts")),
-        "internal": lambda: t("balancer_v2_internal").select("token", "delta", F.col("evt_block_time").alias("ts")),
+            F.col("poolId").alias("pool"), "token", _amount("cashDelta").alias("cash_delta"),
+            _amount("managedDelta").alias("managed_delta"), F.col("evt_block_time").alias("ts")),
+        "internal": lambda: t("balancer_v2_internal").select("token", _amount("delta").alias("delta"), F.col("evt_block_time").alias("ts")),
     }
     return {n: build[n]() for n in names}
 
@@ -292,7 +302,7 @@ def balancer_v2_vault_window(t: ChainTables, start, end, stored: DataFrame | Non
 
 def flow_state_table(path: str) -> SnapshotTable:
     """Closing balances of the flow design, one snapshot per window end."""
-    raw = T.DecimalType(38, 0)
+    raw = T.StringType()
     return SnapshotTable(path, T.StructType([
         T.StructField("version", T.StringType()), T.StructField("pool", T.BinaryType()), T.StructField("token", T.BinaryType()),
         T.StructField("last_delta", raw), T.StructField("last_amount", raw)]))
@@ -310,7 +320,7 @@ def balancer_flows_window(t: ChainTables, start, end, stored: DataFrame | None =
     Without ``state`` the opening is the stored fact rows of the day before (C13)."""
     opened = state.latest(t.spark, before=start) if state is not None else None
     since = opened[0] + dt.timedelta(days=1) if opened else None if state is not None else start
-    v1 = balance.net_flows(t("transfers"), t("balancer_v1_pools").select("pool"), since, end)
+    v1 = balance.net_flows(transfers(t), t("balancer_v1_pools").select("pool"), since, end)
     v2 = balance.vault_deltas(since, end, **vault_arms(t)).withColumnRenamed("delta_amount", "amount")
     rest = (t("tokens"), t("prices_usd"), t("dex_token_prices"), t("balancer_pool_weights"), start, end, min_samples)
     if state is None:

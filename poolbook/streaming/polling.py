@@ -23,6 +23,7 @@ from poolbook.operators import sink
 from poolbook.operators.fill import in_months
 from poolbook.plans.config import REFRESH_END_LAG_MINUTES, REFRESH_OVERLAP_DAYS
 from poolbook.schemas import LIQUIDITY_KEY, VIEW_LIQUIDITY_KEY
+from poolbook.session import checkpoint
 
 # (start, end, stored) -> rows of the window, not yet written
 WindowJob = Callable[[object, object, DataFrame], DataFrame]
@@ -107,10 +108,33 @@ def latest_day(stored: DataFrame, table: FactTable, before):
     return recent if recent is not None else sink.high_water_mark(in_months(mine, None, near), day=table.time_col)
 
 
+QUARANTINE = T.StructField("amount_text", T.StringType())
+
+
+def quarantine_table(spark: SparkSession, table: FactTable) -> DataFrame:
+    """Rows kept out of the fact because their raw amount has more than 38 digits: the
+    fact's columns (that amount NULL), its text and the month."""
+    fields = [*table.row_schema.fields, QUARANTINE, T.StructField("month", T.StringType())]
+    path = f"{table.path.rstrip('/')}-quarantine"
+    spark.createDataFrame([], T.StructType(fields)).write.mode("ignore").partitionBy("month").parquet(path)
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 def write_window(rows: DataFrame, table: FactTable, stored: DataFrame, start, end) -> int:
     """Insert-ignore one window's rows, in the table's column types; returns
-    the number of rows written."""
-    typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in table.row_schema.fields])
+    the number of rows written.  Rows with an ``amount_text`` go to the quarantine
+    table in the same way (rows that carry that column are computed once, for both)."""
+    fields = list(table.row_schema.fields)
+    if QUARANTINE.name in rows.columns:
+        rows = checkpoint(rows)
+        bad = rows.where(F.col(QUARANTINE.name).isNotNull())
+        if not bad.isEmpty():
+            kept = quarantine_table(rows.sparkSession, table)
+            typed = bad.select(*[F.col(f.name).cast(f.dataType) for f in [*fields, QUARANTINE]]).withColumn("month", month_of(table.time_col))
+            days = in_months(kept, _date(start), _date(end) - dt.timedelta(days=1))
+            sink.insert_ignore(typed, f"{table.path.rstrip('/')}-quarantine", days, list(table.keys), list(table.order), partition_by=["month"])
+        rows = rows.where(F.col(QUARANTINE.name).isNull())
+    typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in fields])
     batch = typed.withColumn("month", month_of(table.time_col))
     return sink.insert_ignore(
         batch, table.path, _prune(stored, table, start, end), list(table.keys), list(table.order),
@@ -168,8 +192,6 @@ def compact(spark: SparkSession, table: FactTable, months: list[str], files_per_
     checkpoint folder, so the overwrite never reads from its own target; only
     the listed partitions are replaced (dynamic partition overwrite).
     Returns the number of rows rewritten."""
-    from poolbook.session import checkpoint
-
     part = _mine(stored_table(spark, table), table).where(F.col("month").isin(list(months)))
     snap = checkpoint(part)
     n = snap.count()
