@@ -32,7 +32,8 @@ def day_span(first_day: Column, next_day: Column, start, end) -> Column:
     next`` (a nested-loop join) by a narrow generator."""
     lo = F.greatest(first_day, F.lit(_date(start)))
     hi = F.date_sub(F.least(next_day, F.lit(_date(end))), 1)
-    return F.when(lo <= hi, F.sequence(lo, hi))
+    known = first_day.isNotNull() & next_day.isNotNull()  # least and greatest skip NULLs
+    return F.when(known & (lo <= hi), F.sequence(lo, hi))
 
 
 def zip_explode(df: DataFrame, keep: list[str], arrays: dict[str, Column]) -> DataFrame:

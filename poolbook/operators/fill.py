@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from poolbook.functions.generators import _date, calendar, day_span
 from poolbook.functions.ordering import change_order
+from poolbook.session import checkpoint
 
 
 def compact_daily(
@@ -174,19 +175,38 @@ def seeded_changes(
     return changes.withColumn("_src_rank", F.lit(1)).unionByName(seed.withColumn("_src_rank", F.lit(0)))
 
 
+#: Days that one number of a coverage bitmap holds.
+BITMAP_DAYS = 62
+
+
+def covered_days(intervals: DataFrame, start, end, next_col: str = "next_day") -> set[dt.date]:
+    """Days of ``[start, end)`` inside some interval: one pass, in which every
+    interval sets its bits in a bitmap of the calendar (OR-ed map-side)."""
+    first = _date(start)
+    n = max((_date(end) - first).days, 0)
+    offset = lambda c: F.datediff(F.col(c), F.lit(first))
+    power = lambda k: F.call_function("shiftleft", F.lit(1).cast("bigint"), k.cast("int"))
+    words = []
+    for at in range(0, n, BITMAP_DAYS):
+        size = min(BITMAP_DAYS, n - at)
+        lo, hi = (F.least(F.greatest(offset(c) - at, F.lit(0)), F.lit(size)) for c in ("day", next_col))
+        words.append(F.bit_or(F.when(hi > lo, power(hi) - power(lo)).otherwise(F.lit(0).cast("bigint"))))
+    bits = intervals.agg(*words).first() if words else []
+    return {first + dt.timedelta(days=i * BITMAP_DAYS + k) for i, w in enumerate(bits) for k in range(BITMAP_DAYS) if (w or 0) >> k & 1}
+
+
 def calendar_left_fill(intervals: DataFrame, start, end, next_col: str = "next_day") -> DataFrame:
     """Calendar LEFT JOIN intervals on ``day <= c.day < next_day``.
 
     Days covered by some interval get one row per covering interval; days
-    covered by none get a single row of NULLs.  Built as the J4 expansion plus
-    the calendar days missing from it (``left_anti`` on the day)."""
+    covered by none get a single row of NULLs.  The intervals are written once
+    (checkpoint), so their sources are read once; a bitmap of the covered days comes
+    from there, and the plan is the expansion and a literal of the other days."""
+    intervals = checkpoint(intervals.dropna(subset=["day", next_col]))
     spark = intervals.sparkSession
     covered = expand_days(intervals, start, end, next_col)
+    present = covered_days(intervals, start, end, next_col)
     days = calendar(spark, start, end)
-    # Covered days come from the distinct interval bounds (at most days^2
-    # pairs), not from the full expansion, so the big side is built once.
-    spans = intervals.select("day", next_col).distinct()
-    present = spans.select(F.explode(day_span(F.col("day"), F.col(next_col), start, end)).alias("day")).distinct()
-    empty_days = days.join(present, "day", "left_anti")
+    empty_days = days.where(~F.col("day").isin(present)) if present else days
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in covered.schema.fields if f.name != "day"]
     return covered.unionByName(empty_days.select("day", *nulls))

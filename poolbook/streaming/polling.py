@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from poolbook.functions.generators import _date
-from poolbook.operators import sink
+from poolbook.operators import layout, sink
 from poolbook.operators.fill import in_months
 from poolbook.plans.config import REFRESH_END_LAG_MINUTES, REFRESH_OVERLAP_DAYS
 from poolbook.schemas import LIQUIDITY_KEY, VIEW_LIQUIDITY_KEY
@@ -185,20 +185,25 @@ def refresh(spark: SparkSession, job: WindowJob, table: FactTable, as_of: dt.dat
     return write_window(job(start, end, stored), table, stored, start, end)
 
 
-def compact(spark: SparkSession, table: FactTable, months: list[str], files_per_month: int = 1) -> int:
-    """Rewrite the given month partitions of the job's slice into
-    ``files_per_month`` range-clustered files each (frequent refreshes leave
-    many small files).  Rows are first checkpointed into the shared
-    checkpoint folder, so the overwrite never reads from its own target; only
-    the listed partitions are replaced (dynamic partition overwrite).
-    Returns the number of rows rewritten."""
-    part = _mine(stored_table(spark, table), table).where(F.col("month").isin(list(months)))
-    snap = checkpoint(part)
-    n = snap.count()
-    if n == 0:
-        return 0
-    cluster = [F.col(c) for c in (table.cluster_by or table.keys)]
-    out = snap.repartitionByRange(max(files_per_month, 1) * len(months), *cluster).sortWithinPartitions(*cluster)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*table.partition_by).parquet(table.path))
-    return n
+def compact(spark: SparkSession, table: FactTable, months: list[str], files_per_month: int | None = None,
+            file_bytes: int = layout.FILE_BYTES) -> int:
+    """Rewrite the given month partitions of the job's slice (frequent refreshes leave
+    many small files), each in files of about ``file_bytes`` (or ``files_per_month`` of
+    them) along a space-filling curve over the key, so that a filter on day, pool or
+    token skips most files.  Rows are first checkpointed into the shared checkpoint
+    folder, so the overwrite never reads from its own target; only the listed partitions
+    are replaced (dynamic partition overwrite).  Returns the number of rows rewritten."""
+    done = 0
+    for month in months:
+        part = _mine(stored_table(spark, table), table).where(F.col("month") == month)
+        snap = checkpoint(part)
+        n = snap.count()
+        if n == 0:
+            continue
+        folder = "/".join([table.path.rstrip("/"), *(f"{k}={v}" for k, v in table.scope.items()), f"month={month}"])
+        files = files_per_month or layout.files_for(spark, [folder], file_bytes)
+        out = layout.along_curve(snap, list(table.keys), files)
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*table.partition_by).parquet(table.path))
+        done += n
+    return done
