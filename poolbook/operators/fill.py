@@ -143,11 +143,21 @@ def seed_rows(
         lo = _date(start) - dt.timedelta(days=lookback_days)
         return in_months(stored, lo).where(F.col(day) >= F.lit(lo))
     if mode == "latest":
+        if "month" in stored.columns:  # the newest month first: only it is searched for its last day
+            newest = stored.agg(F.max("month")).first()[0]
+            stored = stored.where(F.col("month") == F.lit(newest))
         latest = stored.agg(F.max(day).alias("_latest_day"))
         return stored.join(F.broadcast(latest), F.col(day) == F.col("_latest_day")).drop("_latest_day")
     raise ValueError(f"unknown seed mode {mode!r}")
 
 
+def after_latest(changes: DataFrame, ts: str, stored: DataFrame, day: str = "day") -> DataFrame:
+    """Changes strictly after the midnight of the latest stored day, a scalar
+    subquery (no rows while nothing is stored, as NULL compares to nothing)."""
+    latest = stored.agg(F.max(day)).scalar()
+    return changes.where(F.col(ts) > latest.cast(changes.schema[ts].dataType))
+
+
 def seeded_changes(
     changes: DataFrame,
     seeds: DataFrame,
