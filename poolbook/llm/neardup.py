@@ -31,7 +31,7 @@ samples 1 in 500.  Nothing is capped or sampled.
 
 Defined results: a text without words (null, empty) is alone in its class;
 repeated rows get the same class; rows that share an id but not the text are
-classed one by one; null ids stand for themselves as id null.  Further columns
+classed one by one, each text as a node of its own; null ids stand for themselves as id null.  Further columns
 of the input are not read.
 """
 
@@ -62,7 +62,7 @@ BLOCK = 512
 DRAWS = 1 << 14
 _SLICES = 64
 
-SIGNATURES = "doc_id bigint, text_key binary, total float, signature binary, bands array<bigint>"
+SIGNATURES = "doc_id bigint, text_hash bigint, text_key binary, total float, signature binary, bands array<bigint>"
 
 
 class Weighted:
@@ -237,13 +237,25 @@ def sign(docs: DataFrame, idf: np.ndarray, id_col: str = "doc_id", text_col: str
             keys = band_keys(samples)
             yield pa.record_batch({
                 "doc_id": batch.column("id"),
+                "text_hash": batch.column("hash"),
                 "text_key": pa.array(x.text_keys(), pa.binary()),
                 "total": pa.array(x.total, pa.float32()),
                 "signature": pa.array([s.astype("<u4").tobytes() for s in (samples >> np.uint64(32))], pa.binary()),
                 "bands": pa.array([k.tolist() if n else [] for k, n in zip(keys, x.count)], pa.list_(pa.int64())),
             })
 
-    return _slim(docs, id_col, text_col).mapInArrow(run, SIGNATURES)
+    return _slim(docs, id_col, text_col).withColumn("hash", F.xxhash64("text")).mapInArrow(run, SIGNATURES)
+
+
+def keyed(rows: DataFrame) -> DataFrame:
+    """``rows`` (id, text) with the key of their word sequence."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "text", 4 << 20):
+            keys = Weighted(batch.column("text"), np.ones(SLOTS)).text_keys()
+            yield pa.record_batch({"id": batch.column("id"), "text": batch.column("text"), "text_key": pa.array(keys, pa.binary())})
+
+    return rows.mapInArrow(run, "id bigint, text string, text_key binary")
 
 
 class Forest:
@@ -284,31 +296,47 @@ def links_of(ids: np.ndarray, texts: pa.Array, sign_: np.ndarray, total: np.ndar
     return out
 
 
-def links(docs: DataFrame, reps: DataFrame, idf: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Verified links (a, b) between representatives.
-
-    reps: rep, text_key, total, signature, bands; stored, one row per text."""
-    member = reps.select("rep", F.explode("bands").alias("bucket"))
+def texts_of(docs: DataFrame, wanted: DataFrame, signed: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``wanted`` texts (node, rep, text_key, ...) with one of their rows' text.  An id
+    that stands on several texts does not tell which is meant: the rows of such ids
+    (most often there are none) are told apart by their word sequence."""
+    hashed = F.xxhash64("text_key")
+    shared = stored(signed.groupBy(F.col("doc_id").alias("shared")).agg(F.min(hashed).alias("a"), F.max(hashed).alias("b"))
+                    .filter("a <> b").select("shared"), "shared-ids")
+    rows, columns = _slim(docs, id_col, text_col), [c for c in wanted.columns if c not in ("rep", "text_key")]
+    if shared.isEmpty():
+        return rows.join(wanted, F.col("id") == F.col("rep")).dropDuplicates(["node"]).select(*columns, "text")
+    plain = wanted.join(shared, F.col("rep") == F.col("shared"), "left_anti")
+    one = rows.join(plain, F.col("id") == F.col("rep")).dropDuplicates(["node"]).select(*columns, "text")
+    several = keyed(rows.join(shared, F.col("id") == F.col("shared"), "left_semi")).withColumnRenamed("text_key", "own_key")
+    told = several.join(wanted, (F.col("id") == F.col("rep")) & (F.col("own_key") == F.col("text_key")))
+    return one.unionByName(told.dropDuplicates(["node"]).select(*columns, "text"))
+
+
+def links(docs: DataFrame, reps: DataFrame, signed: DataFrame, idf: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Verified links (a, b) between the nodes of texts.
+
+    reps: node, rep, text_key, total, signature, bands; stored, one row per text."""
+    member = reps.select("node", F.explode("bands").alias("bucket"))
     size = member.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     blocks = F.ceil(F.col("n") / F.lit(float(BLOCK))).cast("int")
     cell = F.when(blocks <= 1, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(F.transform(
         F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(F.least("own", o).alias("i"), F.greatest("own", o).alias("j"))))
-    placed = stored(member.join(size, "bucket").withColumn("own", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-                    .select("rep", "bucket", "own", F.explode(cell).alias("cell")), "cells")
-    # Texts of the representatives that share a bucket, each once.
-    wanted = placed.select("rep").distinct().join(reps.select("rep", "total", "signature"), "rep")
-    texts = _slim(docs, id_col, text_col).join(wanted, F.col("id") == F.col("rep")).dropDuplicates(["rep"]).select("rep", "total", "signature", "text")
-    rows = placed.join(stored(texts, "texts"), "rep")
+    placed = stored(member.join(size, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+                    .select("node", "bucket", "own", F.explode(cell).alias("cell")), "cells")
+    # Texts that share a bucket, each once.
+    wanted = placed.select("node").distinct().join(reps.select("node", "rep", "text_key", "total", "signature"), "node")
+    rows = placed.join(stored(texts_of(docs, wanted, signed, id_col, text_col), "texts"), "node")
 
     def group(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("rep")
+        frame = frame.sort_values("node")
         sign_ = np.stack([np.frombuffer(s, "<u4") for s in frame["signature"]])
         i, j = frame["i"].iloc[0], frame["j"].iloc[0]
         side = frame["own"].to_numpy() if i != j else np.zeros(len(frame), int)
-        got = links_of(frame["rep"].to_numpy(), pa.array(frame["text"], pa.large_string()), sign_, frame["total"].to_numpy(), side, idf)
+        got = links_of(frame["node"].to_numpy(), pa.array(frame["text"], pa.large_string()), sign_, frame["total"].to_numpy(), side, idf)
         return pd.DataFrame(got, columns=["a", "b"]).astype("int64")
 
-    return (rows.select("bucket", F.col("cell.i").alias("i"), F.col("cell.j").alias("j"), "own", "rep", "total", "signature", "text")
+    return (rows.select("bucket", F.col("cell.i").alias("i"), F.col("cell.j").alias("j"), "own", "node", "total", "signature", "text")
             .groupBy("bucket", "i", "j").applyInPandas(group, "a bigint, b bigint"))
 
 
@@ -342,27 +370,45 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, class_id (smallest id of the class),
-    text_id (smallest id with the same word sequence)."""
+def _classed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(rows with their signature, texts with their class).  A text is a node of its own
+    whatever ids it stands on; ``kept`` marks the one text of a class with the smallest
+    (id, word sequence)."""
     idf = word_idf(docs, text_col)
     signed = stored(sign(docs, idf, id_col, text_col), "signatures")
-    reps = stored(signed.filter(F.size("bands") > 0).groupBy("text_key").agg(
+    texts = signed.filter(F.size("bands") > 0).groupBy("text_key").agg(
         F.min("doc_id").alias("rep"), F.first("total").alias("total"), F.first("signature").alias("signature"), F.first("bands").alias("bands")
-    ).filter("rep IS NOT NULL"), "texts")
-    root = components(links(docs, reps, idf, id_col, text_col))
-    named = reps.join(root, reps["rep"] == root["node"], "left").select("text_key", "rep", F.coalesce("root", "rep").alias("root"))
+    ).filter("rep IS NOT NULL")
+    reps = stored(texts.withColumn("node", F.monotonically_increasing_id()), "texts")
+    root = components(links(docs, reps, signed, idf, id_col, text_col))
+    linked = stored(reps.select("node", "rep", "text_key").join(root.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left")
+                    .select("text_key", "rep", F.coalesce("root", "node").alias("root")), "rooted")
+    least = linked.groupBy("root").agg(F.min(F.struct("rep", "text_key")).alias("least"))
+    named = linked.join(least, "root").select("text_key", "rep", F.col("least.rep").alias("class"),
+                                              (F.col("least.text_key") == F.col("text_key")).alias("kept"))
+    return signed, named
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc_id, class_id (smallest id of the class),
+    text_id (smallest id with the same word sequence)."""
+    signed, named = _classed(docs, id_col, text_col)
     return signed.select("doc_id", "text_key", F.size("bands").alias("n")).join(named, "text_key", "left").select(
-        "doc_id", F.coalesce(F.when(F.col("n") > 0, F.col("root")), F.col("doc_id")).alias("class_id"),
+        "doc_id", F.coalesce(F.when(F.col("n") > 0, F.col("class")), F.col("doc_id")).alias("class_id"),
         F.coalesce(F.when(F.col("n") > 0, F.col("rep")), F.col("doc_id")).alias("text_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id names their class (every text without words
-    is a class), rows without an id, and one of several rows with equal id and
-    text.  An id that names a class keeps all its different texts."""
-    named = classes(docs, id_col, text_col).filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    mine = docs.filter(F.col(id_col).isNotNull()).join(named, F.col(id_col) == F.col("_kept"), "left_semi")
-    again = W.partitionBy(id_col, F.xxhash64(text_col)).orderBy(id_col)
+    """One row of every class: that of the smallest id, and of that id the row whose
+    text was compared.  Every text without words is a class; rows without an id stay;
+    of several rows with equal id and text one stays."""
+    signed, named = _classed(docs, id_col, text_col)
+    rows = signed.select("doc_id", "text_hash", "text_key", (F.size("bands") > 0).alias("worded")).filter("doc_id IS NOT NULL")
+    chosen = rows.filter("worded").join(named.filter("kept"), "text_key").filter("doc_id = rep").groupBy("doc_id", "text_key").agg(
+        F.min("text_hash").alias("text_hash")).select("doc_id", "text_hash")
+    chosen = chosen.unionByName(rows.filter("NOT worded").select("doc_id", "text_hash")).distinct().toDF("_kept", "_hash")
+    mine = docs.filter(F.col(id_col).isNotNull()).withColumn("_own", F.xxhash64(text_col))
+    mine = mine.join(chosen, (F.col(id_col) == F.col("_kept")) & (F.col("_own") == F.col("_hash")), "left_semi")
+    again = W.partitionBy(id_col, "_own").orderBy(id_col)
     once = mine.withColumn("_again", F.row_number().over(again)).filter("_again = 1").select(*docs.columns)
     return once.unionByName(docs.filter(F.col(id_col).isNull()))
