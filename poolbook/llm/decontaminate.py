@@ -314,10 +314,14 @@ def digests(matches: DataFrame) -> DataFrame:
         F.size("near_items").cast("bigint").alias("n_near_items"))
 
 
-def drop_contaminated(docs: DataFrame, queries: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without any hit; an id with a hit row goes as a whole."""
-    hit = digests(find_matches(docs, queries)).filter("contaminated").select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, docs["doc_id"] == hit["_hit"], "left_anti")
+def drop_contaminated(docs: DataFrame, queries: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text has no hit.  A verdict belongs to the text, so
+    rows are told apart by a 64-bit hash of it: null ids, repeated ids and repeated rows
+    need no care; a null text has no words and stays."""
+    own = F.xxhash64(text_col)
+    keyed = docs.select(own.alias("doc_id"), F.col(text_col).alias("text"))
+    hit = digests(find_matches(keyed, queries)).filter("contaminated").select(F.col("doc_id").alias("_hit")).distinct()
+    return docs.join(hit, own == F.col("_hit"), "left_anti")
 
 
 def oracle() -> str:
