@@ -18,7 +18,8 @@ r"""Licence scan (operator 3), in DataFrame operations alone.
    has one, found by joins on paths: distinct directories are unfolded into
    their ancestors, matched, and the deepest match kept.
 
-Defined results: null text is empty; a null path is a file in the root; equal
+Defined results: null text is empty; a null path is a file in the root; rows of one
+path are files of their own, told apart by a hash of their text; equal
 scores go to the licence first in the alphabet, then the first line; several
 licence files of a directory give the best scored licence; repeated rows are
 repeated in the result.  A clashing column of the input is not read.
@@ -144,26 +145,27 @@ def candidates(path: Column, text: Column) -> Column:
 def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", cosine: float = COSINE) -> DataFrame:
     """path, own_license, own_score, license, license_from (the directory it is
     inherited from; null if own or none) of every row of ``files``."""
-    slim = files.select(F.coalesce(path_col, F.lit("/")).alias("path"), F.col(text_col).alias("text"))
+    # Rows may share a path (all null ones do), so a row is its path and its text.
+    slim = files.select(F.coalesce(path_col, F.lit("/")).alias("path"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("own"))
     seen = stored(document_frequencies(slim), "words")
     n, idf = statistics(seen)
     need = required_words(idf, cosine)
     listed = F.array(*map(F.lit, need))
     # Few texts have a required word; only those are taken apart into lines.
-    split = slim.filter(F.arrays_overlap(words(F.col("text")), listed)).select("path", F.posexplode(candidates(F.col("path"), F.col("text"))).alias("at", "line"))
+    split = slim.filter(F.arrays_overlap(words(F.col("text")), listed)).select("path", "own", F.posexplode(candidates(F.col("path"), F.col("text"))).alias("at", "line"))
     lines = stored(split.filter(F.arrays_overlap(words(F.col("line")), listed)).withColumn("key", F.unhex(F.sha2("line", 256))), "lines")
-    best = lines.select("path", "at", "key").join(score_lines(lines, seen, n, idf, cosine), "key").groupBy("path").agg(
+    best = lines.select("path", "own", "at", "key").join(score_lines(lines, seen, n, idf, cosine), "key").groupBy("path", "own").agg(
         F.min(F.struct((-F.col("score")).alias("minus"), F.col("license"), F.col("at"))).alias("b")).select(
-        F.col("path").alias("_path"), F.col("b.license").alias("own_license"), (-F.col("b.minus")).alias("own_score"))
+        F.col("path").alias("_path"), F.col("own").alias("_own"), F.col("b.license").alias("own_license"), (-F.col("b.minus")).alias("own_score"))
     best = stored(best, "own")
     directory = _parent(F.col("_path"))
     given = best.filter(_is_license(F.col("_path"))).groupBy(directory.alias("above")).agg(
         F.min(F.struct((-F.col("own_score")).alias("minus"), F.col("own_license").alias("license"))).alias("b")).select("above", F.col("b.license").alias("license"))
-    all_ = slim.select("path", _parent(F.col("path")).alias("directory"))
+    all_ = slim.select("path", "own", _parent(F.col("path")).alias("directory"))
     unfolded = all_.select("directory").distinct().select("directory", F.explode(ancestors(F.col("directory"))).alias("above"))
     nearest = unfolded.join(given, "above").groupBy("directory").agg(F.max(F.struct(F.length("above").alias("n"), "above", "license")).alias("b")).select(
         "directory", F.col("b.above").alias("_from"), F.col("b.license").alias("_license"))
-    joined = all_.join(best, all_["path"] == best["_path"], "left").join(nearest, "directory", "left")
+    joined = all_.join(best, (all_["path"] == best["_path"]) & (all_["own"] == best["_own"]), "left").join(nearest, "directory", "left")
     return joined.select("path", "own_license", "own_score", F.coalesce("own_license", "_license").alias("license"),
                          F.when(F.col("own_license").isNull(), F.col("_from")).alias("license_from"))
 

@@ -34,3 +34,14 @@ def test_decontamination_judges_rows(spark):
     assert left.columns == docs.columns
     assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted([(1, "a clean text"), (2, None), (None, "clean too")], key=str)
     assert decontaminate.drop_contaminated(docs.limit(0), benchmark).count() == 0
+
+
+def test_a_license_belongs_to_the_row_that_holds_it(spark):
+    from poolbook.llm import licenses
+
+    mit = licenses.TEMPLATES["MIT"]
+    rows = [(None, mit), (None, "nothing here"), ("/a/b.txt", mit), ("/a/b.txt", "other words"), ("/a/b.txt", None), (None, None)]
+    files = spark.createDataFrame(rows, "path string, text string")
+    found = licenses.scan(files).collect()
+    assert sorted(r["own_license"] or "" for r in found) == ["", "", "", "", "MIT", "MIT"]
+    assert [r["license_from"] for r in found] == [None] * 6
