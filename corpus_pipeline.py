@@ -12,7 +12,14 @@ of ``documents``:
 
 Between stages the rows are written as Parquet to the shared checkpoint folder.
 SQL cannot express the stages (trained models, sampled signatures, a tokenizer),
-so ORACLE_SQL is None and tests compare with brute force.
+so ORACLE_SQL is None; a test runs the stages on a small table whose rows to keep
+are known.
+
+Defined results: a stage judges rows by their text, so repeated ids do not matter;
+of repeated rows near-dedup keeps one; rows without an id pass near-dedup as they are
+and are packed with a null id; null and empty texts fail the quality rules; an empty
+table gives no rows.  Columns beyond those of ``documents`` pass the first four
+stages unchanged.
 """
 
 from __future__ import annotations
