@@ -3,14 +3,27 @@
 Every line with a word gets the label content or boilerplate: the Viterbi path
 of a two-state linear-chain conditional random field over line features
 (symbol, upper-case, digit and exclamation density, repetition of the line, of
-its words and of its three-word windows, length, final punctuation).  A
+its words and of its three-word windows, length, final punctuation, place at the
+head or the end of the text).  A
 document stays if at least ``MIN_CONTENT`` of its words are in content lines
 and the base rules do not reject it.
 
 The field is trained here, by maximum conditional likelihood (forward-backward
-gradients): a line's training label is the quality label of its document.  The
-sample is at most ``SAMPLE`` labelled documents, those with the smallest hash of
-their id; everything else works on all rows.  Labels are read for training only.
+gradients), on line labels from weak supervision, so that a training sequence
+can change between content and boilerplate:
+
+* a line is boilerplate if texts of ``SPREAD`` or more different bodies (a body is
+  named by its longest line) hold it, and half or more of the texts that hold it
+  differ in body; this is counted over all documents.  Copies of one text, near
+  ones too, share their body and so do not make its lines boilerplate;
+* any other line of a good document is content;
+* any other line of a bad document is content if a logistic model of good against
+  bad documents' lines, both weighing the same, calls it like those of good ones.
+
+The sample is at most ``SAMPLE`` labelled documents, those with the smallest hash
+of their id, that hold at most ``LINES`` lines together (a document that would
+exceed them is left out of the sample); everything else works on all rows.  Labels
+are read for training only.
 
 Base figures, over words ``[^\\x20\\x09-\\x0D]+`` of the whole text: see
 ``COLUMNS``.  ``base_failed``: fewer than 50 words, or over half of the words in
@@ -19,12 +32,13 @@ three-word windows that the text has twice or more.
 Defined results: null text is empty: no words, base_failed.  Without usable
 labels (none, or of one class) the field has no weights and every line is
 content.  Repeated rows are judged one by one; repeated labels of an id count
-once (the lowest).  Further columns of the input are not read.
+once (the lowest); if rows of a labelled id differ in text, its smallest text is
+trained on.  Further columns of the input are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,17 +46,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from poolbook.llm.common import DARK, Words, byte_class, bytes_of, chunks
+from poolbook.llm.common import DARK, Words, byte_class, bytes_of, chunks, mix, stored, word_hash
 
 SAMPLE = 4000
+#: Lines of all training documents together.
+LINES = 60000
+#: Different bodies that must hold a line for it to count as boilerplate in training.
+SPREAD = 5
 MIN_CONTENT = 0.5
 MIN_WORDS = 50
-STEPS = 300
+STEPS = 150
 #: Strength of the quadratic penalty on the weights.
 PENALTY = 1.0
 
 COLUMNS = "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, content_share double, kept boolean"
-FEATURES = ("bias", "symbols", "repeated line", "repeated windows", "repeated words", "short", "upper case", "digits", "exclamations", "ends a sentence", "length")
+FEATURES = ("bias", "symbols", "repeated line", "repeated windows", "repeated words", "short", "upper case", "digits", "exclamations", "ends a sentence", "length", "first", "second", "last", "last but one")
+#: Lines that one row of stored training features holds.
+_PIECE = 10000
 
 _SYMBOL = byte_class(lambda b: chr(b) in "#*$%&|<>")
 _UPPER = byte_class(lambda b: 0x41 <= b <= 0x5A)
@@ -55,6 +75,17 @@ def _codes(x: np.ndarray) -> np.ndarray:
     return pd.factorize(x)[0].astype(np.int64)
 
 
+def _line_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where lines begin: at row starts and after every \n."""
+    begin = np.unique(np.concatenate([offsets[:-1][offsets[:-1] < offsets[1:]], np.flatnonzero(data == 0x0A) + 1]))
+    return begin[begin < len(data)]
+
+
+def _bare(data: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Line ends without their \n."""
+    return end - (data[end - 1] == 0x0A)
+
+
 class Lines:
     """Base figures per row and features per line of a string column."""
 
@@ -87,16 +118,14 @@ class Lines:
                 repeat[k : len(code) - 2 + k] |= often
         self.n_repeat_words = np.bincount(row[repeat], minlength=n)
 
-        # lines: between row starts and \n
-        feed = np.flatnonzero(data == 0x0A)
-        begin = np.unique(np.concatenate([offsets[:-1][offsets[:-1] < offsets[1:]], feed + 1]))
-        begin = begin[begin < len(data)]
+        begin = _line_starts(data, offsets)
         line_of = np.searchsorted(begin, words.start, side="right") - 1
         used, line = np.unique(line_of, return_inverse=True)
         m = len(used)
         begin_all = np.append(begin, len(data))
         begin, end = begin_all[used], begin_all[used + 1]
         self.row = np.searchsorted(offsets, begin, side="right") - 1
+        self.span = data, begin, end
         # the text of each line without its \n
         text = data[data != 0x0A]
         shift = per(data == 0x0A, np.zeros(len(begin_all), np.int64), begin_all)
@@ -107,6 +136,8 @@ class Lines:
 
         size = np.bincount(line, minlength=m)
         self.size = size
+        place = np.arange(m) - np.searchsorted(self.row, self.row)
+        left = np.searchsorted(self.row, self.row, side="right") - 1 - np.arange(m)
         share = lambda x: np.minimum(1.0, x / np.maximum(size, 1))
         chars = np.maximum(per(DARK[data], begin, end), 1)
         again = pd.Series(code * max(m, 1) + line).duplicated().to_numpy() if m else np.zeros(0, bool)
@@ -123,8 +154,17 @@ class Lines:
             share(per(_EXCLAIM[data], begin, end)),
             _END[data[last]] if m else np.zeros(0),
             np.log1p(size) / 5,
+            place == 0,
+            place == 1,
+            left == 0,
+            left == 1,
         ]).astype(np.float64)
 
+    def hashes(self) -> np.ndarray:
+        """A hash of every line."""
+        data, begin, end = self.span
+        return word_hash(data, begin, _bare(data, end)) if len(begin) else np.zeros(0, np.uint64)
+
 
 class Field:
     """A two-state linear chain: state 1 is content.
@@ -175,11 +215,10 @@ class Field:
         return label == 1
 
     @classmethod
-    def train(cls, features: np.ndarray, row: np.ndarray, gold: np.ndarray, steps: int = STEPS, penalty: float = PENALTY) -> Field:
-        """Maximum penalised conditional likelihood by Adam, full batches."""
+    def objective(cls, features: np.ndarray, row: np.ndarray, gold: np.ndarray, penalty: float = PENALTY) -> Callable[[np.ndarray], tuple[float, np.ndarray]]:
+        """theta (weights, then moves) -> penalised conditional log likelihood and
+        its gradient, both per sequence."""
         width = features.shape[1]
-        if not len(gold) or gold.all() or not gold.any():
-            return cls(np.zeros(width), np.zeros((2, 2)))
         sequence, place, count = cls._slots(row)
         length = np.bincount(sequence)
         order = np.argsort(-length, kind="stable")
@@ -189,13 +228,12 @@ class Field:
         active = np.searchsorted(-length[order], -np.arange(length.max()), side="left")
         steps_at = [begin[: active[t]] + t for t in range(length.max())]
         gold = gold.astype(np.int64)
-        inner = place > 0
+        now = np.flatnonzero(place > 0)
         seen = np.zeros((2, 2))
-        np.add.at(seen, (gold[np.flatnonzero(inner) - 1], gold[inner]), 1)
+        np.add.at(seen, (gold[now - 1], gold[now]), 1)
         target = np.concatenate([features.T @ gold, seen.ravel()])
-        theta = np.zeros(width + 4)
-        first, second = np.zeros_like(theta), np.zeros_like(theta)
-        for step in range(1, steps + 1):
+
+        def value(theta: np.ndarray) -> tuple[float, np.ndarray]:
             moves = theta[width:].reshape(2, 2)
             emit = np.zeros((len(row), 2))
             emit[:, 1] = features @ theta[:width]
@@ -207,43 +245,138 @@ class Field:
             for at in reversed(steps_at[1:]):
                 x = moves[None] + (emit[at] + backward[at])[:, None, :]
                 backward[at - 1] = np.logaddexp(x[:, :, 0], x[:, :, 1])
-            z = np.logaddexp(forward[begin, 0] + backward[begin, 0], forward[begin, 1] + backward[begin, 1])[rank[sequence]]
+            each = np.logaddexp(forward[begin, 0] + backward[begin, 0], forward[begin, 1] + backward[begin, 1])
+            z = each[rank[sequence]]
             content = np.exp(forward[:, 1] + backward[:, 1] - z)
-            now = np.flatnonzero(inner)
             pair = np.exp(forward[now - 1][:, :, None] + moves[None] + (emit[now] + backward[now])[:, None, :] - z[now][:, None, None])
             expected = np.concatenate([features.T @ content, pair.sum(axis=0).ravel()])
-            gradient = (target - expected - penalty * theta) / count
+            gain = target @ theta - each.sum() - penalty / 2 * theta @ theta
+            return float(gain / count), (target - expected - penalty * theta) / count
+
+        return value
+
+    @classmethod
+    def train(cls, features: np.ndarray, row: np.ndarray, gold: np.ndarray, steps: int = STEPS, penalty: float = PENALTY) -> Field:
+        """Maximum penalised conditional likelihood by Adam, full batches, from the
+        weights of a logistic model of single lines."""
+        width = features.shape[1]
+        if not len(gold) or gold.all() or not gold.any():
+            return cls(np.zeros(width), np.zeros((2, 2)))
+        value = cls.objective(features, row, gold, penalty)
+        theta = np.concatenate([logistic(features, gold, penalty), np.zeros(4)])
+        first, second = np.zeros_like(theta), np.zeros_like(theta)
+        for step in range(1, steps + 1):
+            _, gradient = value(theta)
             first = 0.9 * first + 0.1 * gradient
             second = 0.999 * second + 0.001 * gradient**2
-            theta += 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+            theta = theta + 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
         return cls(theta[:width], theta[width:].reshape(2, 2))
 
 
+def logistic(features: np.ndarray, gold: np.ndarray, penalty: float = PENALTY, steps: int = 25) -> np.ndarray:
+    """Weights of a penalised logistic model, by Newton steps."""
+    weights = np.zeros(features.shape[1])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(features @ weights, -30, 30)))
+        curve = (features * (p * (1 - p))[:, None]).T @ features + penalty * np.eye(len(weights))
+        move = np.linalg.solve(curve, features.T @ (gold - p) - penalty * weights)
+        weights = weights + move
+        if np.abs(move).max() < 1e-6:
+            break
+    return weights
+
+
+def weak_labels(features: np.ndarray, good: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Training label (content) of every line.  good: its document is good;
+    shared: documents of different bodies hold it."""
+    own = ~shared
+    ours, theirs = (own & good).sum(), (own & ~good).sum()
+    if not ours or not theirs:
+        return own & good
+    odds = features @ logistic(features[own], good[own]) - np.log(ours / theirs)
+    return own & (good | (odds > 0))
+
+
 def _slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> Field:
-    """Train on at most ``sample`` labelled documents (a bounded broadcast)."""
+def shared_lines(docs: DataFrame, wanted: np.ndarray, id_col: str = "doc_id", text_col: str = "text", spread: int = SPREAD) -> np.ndarray:
+    """Those of the ``wanted`` line hashes (sorted, at most ``LINES``) that texts of
+    ``spread`` or more bodies hold, counted over all rows of ``docs``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "text"):
+            data, offsets = bytes_of(batch.column("text"))
+            begin = _line_starts(data, offsets)
+            dark = np.concatenate([[0], np.cumsum(DARK[data])])
+            end = np.append(begin[1:], len(data))
+            used = dark[end] > dark[begin]
+            if not used.any():
+                continue
+            begin, end = begin[used], _bare(data, end[used])
+            row, line = np.searchsorted(offsets, begin, side="right") - 1, word_hash(data, begin, end)
+            # a body is named by its longest line, a text by all of them
+            order = np.lexsort((line, begin - end, row))
+            new = np.concatenate([[True], row[1:] != row[:-1]])
+            which = np.cumsum(new) - 1
+            body = line[order][new][which]
+            with np.errstate(over="ignore"):
+                text = np.add.reduceat(mix(line), np.flatnonzero(new))[which]
+            hit = wanted[np.minimum(np.searchsorted(wanted, line), len(wanted) - 1)] == line
+            got = pd.DataFrame({"line": line[hit].view(np.int64), "body": body[hit].view(np.int64), "whole": text[hit].view(np.int64)})
+            yield pa.RecordBatch.from_pandas(got.drop_duplicates(), preserve_index=False)
+
+    if not len(wanted):
+        return wanted
+    held = _slim(docs, id_col, text_col).select("text").mapInArrow(run, "line bigint, body bigint, whole bigint").distinct()
+    bodies = held.groupBy("line", "body").agg(F.count("*").alias("texts"))
+    often = bodies.groupBy("line").agg(F.count("*").alias("bodies"), F.sum("texts").alias("texts")).filter((F.col("bodies") >= spread) & (2 * F.col("bodies") >= F.col("texts")))
+    return np.sort(np.array([r["line"] for r in often.select("line").collect()], np.int64).view(np.uint64))
+
+
+def training_lines(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE, lines: int = LINES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(features, number of the document, its label, hash) of the lines of the sample:
+    at most ``sample`` documents and ``lines`` lines."""
     chosen = (labels.select(F.col(id_col).cast("bigint").alias("id"), F.col(label_col).cast("int").alias("gold")).dropna()
               .groupBy("id").agg(F.min("gold").alias("gold")).orderBy(F.xxhash64("id"), "id").limit(sample))
-    rows = _slim(docs, id_col, text_col).join(F.broadcast(chosen), "id").dropDuplicates(["id"])
+    rows = _slim(docs, id_col, text_col).join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("gold").alias("gold"), F.min("text").alias("text"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
-            lines = Lines(batch.column("text"))
-            bounds = np.searchsorted(lines.row, np.arange(batch.num_rows + 1))
-            yield pa.record_batch({
-                "id": batch.column("id"), "gold": batch.column("gold"),
-                "features": pa.array([lines.features[a:z].astype("<f8").tobytes() for a, z in zip(bounds[:-1], bounds[1:])], pa.binary()),
-            })
-
-    got = sorted(rows.select("id", "gold", "text").mapInArrow(features, "id bigint, gold int, features binary").collect())
-    parts = [np.frombuffer(r["features"], "<f8").reshape(-1, len(FEATURES)) for r in got]
-    if not parts:
+            x = Lines(batch.column("text"))
+            bounds, hashes = np.searchsorted(x.row, np.arange(batch.num_rows + 1)), x.hashes()
+            for k, (i, gold) in enumerate(zip(batch.column("id").to_pylist(), batch.column("gold").to_pylist())):
+                for piece, at in enumerate(range(bounds[k], bounds[k + 1], _PIECE)):
+                    end = min(at + _PIECE, bounds[k + 1])
+                    yield pa.record_batch({
+                        "id": pa.array([i], pa.int64()), "gold": pa.array([gold], pa.int32()), "piece": pa.array([piece], pa.int32()), "n": pa.array([end - at], pa.int32()),
+                        "features": pa.array([x.features[at:end].astype("<f8").tobytes()], pa.binary()), "hashes": pa.array([hashes[at:end].astype("<u8").tobytes()], pa.binary()),
+                    })
+
+    kept = stored(rows.select("id", "gold", "text").mapInArrow(features, "id bigint, gold int, piece int, n int, features binary, hashes binary"), "training-lines")
+    size = kept.groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.xxhash64("id"), "id").collect()
+    left_out, total = [], 0
+    for r in size:
+        if total + r["n"] <= lines:
+            total += r["n"]
+        else:
+            left_out.append(r["id"])
+    got = kept.filter(~F.col("id").isin(left_out)).orderBy("id", "piece").collect() if total else []
+    n = [r["n"] for r in got]
+    if not got:
+        return np.zeros((0, len(FEATURES))), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.uint64)
+    return (np.concatenate([np.frombuffer(r["features"], "<f8").reshape(-1, len(FEATURES)) for r in got]), np.repeat([r["id"] for r in got], n),
+            np.repeat([r["gold"] == 1 for r in got], n), np.concatenate([np.frombuffer(r["hashes"], "<u8") for r in got]))
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE, lines: int = LINES) -> Field:
+    """Train on weak line labels of the sampled documents (see above)."""
+    features, document, good, hashes = training_lines(docs, labels, id_col, text_col, label_col, sample, lines)
+    if not len(good) or good.all() or not good.any():
         return Field(np.zeros(len(FEATURES)), np.zeros((2, 2)))
-    size = [len(p) for p in parts]
-    return Field.train(np.concatenate(parts), np.repeat(np.arange(len(parts)), size), np.repeat([r["gold"] == 1 for r in got], size))
+    shared = np.isin(hashes, shared_lines(docs, np.unique(hashes), id_col, text_col))
+    return Field.train(features, document, weak_labels(features, good, shared))
 
 
 def judge(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text", min_content: float = MIN_CONTENT) -> DataFrame:
