@@ -16,9 +16,9 @@ of them there are.
 3. Texts that share a band are candidates.  A band bucket of up to ``BLOCK``
    texts is one task group; larger ones are cut into blocks by hash, and each
    pair of blocks is a group, so no task sees more than about two blocks.
-4. In a group, pairs whose signatures agree in enough samples, whose total
-   weights allow the similarity, and that this group has not linked yet, are
-   verified by their exact weighted Jaccard similarity, most alike first.
+4. In a group, pairs whose total weights allow the similarity (an exact bound)
+   and that this group has not linked yet are verified by their exact weighted
+   Jaccard similarity, those with most equal samples first.
    Verified pairs become links; a pair is left out only if links of the group
    already connect it.  So a group emits fewer links than it has texts, and
    no link between classes is lost.
@@ -26,8 +26,8 @@ of them there are.
    and small-star steps on checkpointed edge tables); the class id is the
    smallest document id.
 
-Chances for a pair of similarity 0.8: no shared band 1 in 600; too few agreeing
-samples 1 in 500.  Nothing is capped or sampled.
+A pair of similarity 0.8 shares no band with a chance of about 1 in 600.  Nothing
+is capped or sampled.
 
 Defined results: a text without words (null, empty) is alone in its class;
 repeated rows get the same class; rows that share an id but not the text are
@@ -52,8 +52,6 @@ from poolbook.llm.common import LOWER, WORD, Words, bytes_of, chunks, mix, store
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 9, 3
-#: Samples (of BANDS * ROWS) that must agree before a pair is verified.
-AGREE = 15
 #: Slots of the document-frequency table.
 SLOTS = 1 << 18
 #: Texts in one block of a large bucket.
@@ -123,8 +121,12 @@ class Weighted:
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    both = np.minimum(a[1][i], b[1][j]).sum()
+    """Of two sorted sets of keys with their weights."""
+    few, many = (a, b) if len(a[0]) <= len(b[0]) else (b, a)
+    at = np.searchsorted(many[0], few[0])
+    at[at == len(many[0])] = 0
+    met = many[0][at] == few[0] if len(many[0]) else np.zeros(len(few[0]), bool)
+    both = np.minimum(few[1][met], many[1][at[met]]).sum()
     union = a[1].sum() + b[1].sum() - both
     return float(both / union) if union else 0.0
 
@@ -284,9 +286,7 @@ def links_of(ids: np.ndarray, texts: pa.Array, sign_: np.ndarray, total: np.ndar
     for i in mine:
         js = other if both else other[i + 1 :]
         js = js[np.minimum(total[i], total[js]) >= SIMILARITY * 0.999 * np.maximum(total[i], total[js])]
-        agree = (sign_[js] == sign_[i]).sum(axis=1)
-        good = agree >= AGREE
-        found.append((agree[good], np.full(good.sum(), i), js[good]))
+        found.append(((sign_[js] == sign_[i]).sum(axis=1), np.full(len(js), i), js))
     agree, i, j = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, int),) * 3
     for k in np.argsort(-agree, kind="stable"):
         a, b = int(i[k]), int(j[k])
