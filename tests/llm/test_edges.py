@@ -152,6 +152,18 @@ def test_urls(spark):
     assert url_filter.judge_urls(df.limit(0)).count() == 0
 
 
+def test_url_vocabulary_weighs_distinct_stems(spark):
+    cases = {"http://a.org/free/top-deals": (0, 3, 3), "http://a.org/free/top": (0, 2, 2), "http://a.org/bet/bets?bet": (0, 1, 2), "http://a.org/paydays": (0, 1, 3),
+             "http://a.org/lotteries/x": (0, 1, 2), "http://a.org/FREE_loans": (0, 2, 3), "http://a.org/alphabet/freedom": (0, 0, 0), "http://a.org/nudes,free": (1, 1, 1)}
+    df = spark.createDataFrame([(u,) for u in cases], "url string")
+    got = {r["url"]: r for r in url_filter.judge_urls(df).collect()}
+    assert {u: (r["strict_hits"], r["soft_hits"], r["soft_weight"]) for u, r in got.items()} == cases
+    assert [u for u in cases if got[u]["verdict"] == "block"] == ["http://a.org/free/top-deals", "http://a.org/FREE_loans", "http://a.org/nudes,free"]
+    assert not set(url_filter.STRICT) & set(url_filter.SOFT)
+    # the oracle reads terms as whole runs of letters and digits
+    assert all(t.isascii() and t.isalnum() and t == t.lower() for stem in (*url_filter.STRICT, *url_filter.SOFT) for t in url_filter.forms(stem))
+
+
 def test_licenses(spark):
     rows = [("/a/LICENSE", "Released under the MIT License."), ("/a/b/x.txt", "text"), ("/a/b/y.txt", "x\nLicensed under CC BY-NC 4.0.\nz"), ("/a/b/c/LICENSE.md", "Licensed under the Apache License, Version 2.0."),
             ("/a/b/c/d/z", None), ("/q/z", ""), (None, None), ("/a/b/x.txt", "text"), ("plain", "v" * 300000)]
