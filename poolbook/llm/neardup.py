@@ -13,9 +13,11 @@ of them there are.
    table that the shingle's hash picks, so equal shingles get equal draws
    everywhere.
 2. Rows with equal word sequences are one text; its smallest id stands for it.
-3. Texts that share a band are candidates.  A band bucket of up to ``BLOCK``
-   texts is one task group; larger ones are cut into blocks by hash, and each
-   pair of blocks is a group, so no task sees more than about two blocks.
+3. Texts that share a band are candidates.  Buckets of the same texts (told by
+   their number, least and greatest node and 128 bits of hash) are looked at once.
+   A band bucket of up to ``BLOCK`` texts is one task group; larger ones are cut
+   into blocks by hash, and each pair of blocks is a group, so no task sees more
+   than about two blocks.
 4. In a group, pairs whose total weights allow the similarity (an exact bound)
    and that this group has not linked yet are verified by their exact weighted
    Jaccard similarity, those with most equal samples first.
@@ -318,7 +320,12 @@ def links(docs: DataFrame, reps: DataFrame, signed: DataFrame, idf: np.ndarray,
 
     reps: node, rep, text_key, total, signature, bands; stored, one row per text."""
     member = reps.select("node", F.explode("bands").alias("bucket"))
-    size = member.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    # Buckets of several bands often hold the same texts; one of them does for all.
+    mark = lambda k: F.xxhash64("node", F.lit(k))
+    size = member.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.min("node").alias("least"), F.max("node").alias("most"),
+        F.bit_xor(mark(1)).alias("mark1"), F.bit_xor(mark(2)).alias("mark2")).filter("n > 1")
+    size = size.groupBy("n", "least", "most", "mark1", "mark2").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
     blocks = F.ceil(F.col("n") / F.lit(float(BLOCK))).cast("int")
     cell = F.when(blocks <= 1, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(F.transform(
         F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(F.least("own", o).alias("i"), F.greatest("own", o).alias("j"))))

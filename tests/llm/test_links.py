@@ -35,3 +35,26 @@ def test_links_connect_what_all_pairs_connect(two_sides):
         want = [(a, b) for a in range(n) for b in range(a + 1, n)
                 if (not two_sides or side[a] != side[b]) and neardup.weighted_jaccard(x.of(a), x.of(b)) >= neardup.SIMILARITY]
         assert parts(n, got) == parts(n, want) and len(got) <= n - 1
+
+
+def test_classes_are_those_of_all_pairs(spark):
+    """Groups of two, three and many near copies; buckets of the same texts are looked at once."""
+    rng = random.Random(7)
+    rows, next_id = [], 0
+    for size in (1, 1, 2, 2, 3, 8, 40):
+        base = [f"w{rng.randrange(400)}" for _ in range(150)]
+        for _ in range(size):
+            words = list(base)
+            for at in rng.sample(range(150), rng.choice([0, 0, 1, 1, 2, 4])):
+                words[at] = f"x{rng.randrange(400)}"
+            rows.append((next_id, " ".join(words)))
+            next_id += 1
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    x = neardup.Weighted(pa.array([t for _, t in rows], pa.large_string()), neardup.word_idf(docs))
+    n = len(rows)
+    like = [[neardup.weighted_jaccard(x.of(a), x.of(b)) for b in range(n)] for a in range(n)]
+    want = parts(n, [(a, b) for a in range(n) for b in range(a) if like[a][b] >= neardup.SIMILARITY])
+    found: dict[int, set[int]] = {}
+    for r in neardup.classes(docs).collect():
+        found.setdefault(r["class_id"], set()).add(r["doc_id"])
+    assert {frozenset(c) for c in found.values()} == want
