@@ -21,7 +21,8 @@ histogram of lengths (at most ``CAPACITY`` numbers, whatever the input):
 The plan's rows say which ranks of a length go to which sequences.  Every task
 numbers its pieces per length; summed counts turn that into ranks; so pieces are
 placed without sorting or gathering them, and a length that a third of all
-pieces share is no hot key (its window has one row per task).
+pieces share is no hot key (its window has one row per task; pieces meet their
+task's rank by (length, task)).
 
 Defined results: null text is empty and becomes the single id 1; repeated rows
 and repeated ids are packed as documents of their own; an empty table gives no
@@ -37,6 +38,7 @@ from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -48,7 +50,7 @@ END = 1
 #: Units that a worker keeps the ids of, between chunks.
 MEMO = 400_000
 
-PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, task string, k bigint"
+PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, task int, k bigint"
 _workers: dict = {}
 
 
@@ -134,10 +136,9 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vo
     piece's number k among those of its length in its task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import uuid
-
         encode = encoder(vocabulary or default_vocabulary())
-        task, seen = uuid.uuid4().hex, np.zeros(capacity + 1, np.int64)
+        # of all attempts of a task only one's rows are committed
+        task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in chunks(batches, "text", 4 << 20):
             ids, count = encode.ids(batch.column("text"))
             at, out = 0, []
@@ -149,7 +150,7 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vo
                     out.append((doc, piece, start, len(part), zlib.crc32(part.tobytes()), task, int(seen[len(part)])))
                     seen[len(part)] += 1
             columns = list(zip(*out))
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "k"])
 
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, PIECES)
@@ -292,8 +293,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     counts = {r["length"]: r["n"] for r in per_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     rows = plan(counts, capacity)
     before = W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding, -1)
-    base = per_task.select(F.col("length").alias("_length"), F.col("task").alias("_task"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
-    ranked = pieces.join(base, (pieces["length"] == base["_length"]) & (pieces["task"] == base["_task"])).select(
+    key = lambda: F.col("task").cast("bigint") * (capacity + 1) + F.col("length")
+    base = per_task.select(key().alias("_key"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
+    # One number a key: a key has the pieces of one length in one task, however many
+    # there are of that length.
+    ranked = pieces.withColumn("_key", key()).join(base, "_key").select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("k") + F.col("_base")).alias("rank"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
