@@ -19,6 +19,9 @@ from poolbook.session import checkpoint_dir
 
 #: Bytes of text that one vectorised step inside a task works on.
 CHUNK_BYTES = 8 << 20
+#: The same where a step holds arrays of several numbers per byte or line (hashes,
+#: sums, features): these take up to 40 bytes for every byte of text, in every worker.
+STEP_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +65,7 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTE
             end = max(at + 1, int(np.searchsorted(size, done + limit, side="right")))
             yield batch.slice(at, end - at)
             at = end
+    pa.default_memory_pool().release_unused()  # the worker outlives the task
 
 
 def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

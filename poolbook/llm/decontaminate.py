@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from poolbook.llm.common import chunks, lower_words, stored
+from poolbook.llm.common import CHUNK_BYTES, STEP_BYTES, chunks, lower_words, stored
 
 WINDOW = 10
 #: Bytes of query text that go to the tasks at once.
@@ -59,24 +59,32 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         import uuid
 
         for batch in chunks(batches, "text"):
-            words = lower_words(batch.column("text"))
-            if only is None:
-                coded = words.text.dictionary_encode()
-                code, names = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
-            else:
-                code, names = pc.fill_null(pc.index_in(words.text, only), -1).to_numpy(zero_copy_only=False), only
-            at = np.flatnonzero(code >= 0)
-            order = np.argsort(code[at], kind="stable")
-            position = (at + words.row[at])[order].astype(np.int32)  # a gap of one between documents
-            size = np.bincount(code[at], minlength=len(names))
-            first = np.cumsum(words.count) - words.count + np.arange(len(words.count))
+            found, counts, words_before, rows_before = [], [], 0, 0
+            # words of given terms are looked up piece by piece: the others need not be held
+            for part in chunks(iter([batch]), "text", CHUNK_BYTES if only is None else STEP_BYTES):
+                words = lower_words(part.column("text"))
+                if only is None:
+                    coded = words.text.dictionary_encode()
+                    code, names = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+                else:
+                    code, names = pc.fill_null(pc.index_in(words.text, only), -1).to_numpy(zero_copy_only=False), only
+                at = np.flatnonzero(code >= 0)
+                # a gap of one between documents
+                found.append((code[at], (at + words.row[at] + words_before + rows_before).astype(np.int32)))
+                counts.append(words.count)
+                words_before, rows_before = words_before + len(code), rows_before + len(words.count)
+            code, position = (np.concatenate(x) for x in zip(*found))
+            count = np.concatenate(counts)
+            position = position[np.argsort(code, kind="stable")]
+            size = np.bincount(code, minlength=len(names))
+            first = np.cumsum(count) - count + np.arange(len(count))
             here = np.flatnonzero(size)
             one = lambda values, kind: pa.array([values], pa.list_(kind))
             yield pa.record_batch({
                 "segment": [uuid.uuid4().hex],
                 "doc_id": one(batch.column("id").to_pylist(), pa.int64()),
                 "first": one(first, pa.int64()),
-                "n_words": one(words.count, pa.int64()),
+                "n_words": one(count, pa.int64()),
                 "terms": one(names.take(pa.array(here)).to_pylist(), pa.string()),
                 "sizes": one(size[here], pa.int64()),
                 "positions": pa.array([position.tobytes()], pa.binary()),

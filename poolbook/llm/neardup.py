@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from poolbook.llm.common import LOWER, WORD, Words, bytes_of, chunks, mix, stored, word_hash
+from poolbook.llm.common import LOWER, STEP_BYTES, WORD, Words, bytes_of, chunks, mix, stored, word_hash
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -190,23 +190,25 @@ def _slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
 
 
+def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a task and how many of them hold each slot's words, in slices."""
+    df, rows = np.zeros(SLOTS, np.int64), 0
+    for batch in chunks(batches, "text", STEP_BYTES):
+        data, offsets = bytes_of(batch.column("text"))
+        data = LOWER[data]
+        words = Words(data, offsets, WORD)
+        slot = (word_hash(data, words.start, words.end) & np.uint64(SLOTS - 1)).astype(np.int64)
+        once = pd.unique(words.row * SLOTS + slot)
+        df += np.bincount(once % SLOTS, minlength=SLOTS)
+        rows += batch.num_rows
+    for k, part in enumerate(np.split(df, _SLICES)):
+        yield pa.record_batch({"slice": pa.array([k], pa.int32()), "n": pa.array([rows], pa.int64()), "df": pa.array([part.astype("<i8").tobytes()], pa.binary())})
+
+
 def word_idf(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """idf per slot over all rows.  Tasks count into one table each; the tables
     are added in slices."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, rows = np.zeros(SLOTS, np.int64), 0
-        for batch in chunks(batches, "text"):
-            data, offsets = bytes_of(batch.column("text"))
-            data = LOWER[data]
-            words = Words(data, offsets, WORD)
-            slot = (word_hash(data, words.start, words.end) & np.uint64(SLOTS - 1)).astype(np.int64)
-            once = pd.unique(words.row * SLOTS + slot)
-            df += np.bincount(once % SLOTS, minlength=SLOTS)
-            rows += batch.num_rows
-        for k, part in enumerate(np.split(df, _SLICES)):
-            yield pa.record_batch({"slice": pa.array([k], pa.int32()), "n": pa.array([rows], pa.int64()), "df": pa.array([part.astype("<i8").tobytes()], pa.binary())})
-
     def add(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Sums what it meets; used before and after the shuffle."""
         total: dict[int, list] = {}
@@ -221,7 +223,7 @@ def word_idf(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         yield pd.DataFrame([(k, n, part.astype("<i8").tobytes()) for k, (n, part) in total.items()], columns=["slice", "n", "df"]).astype({"slice": "int32", "n": "int64"})
 
     kinds = "slice int, n bigint, df binary"
-    parts = docs.select(F.col(text_col).alias("text")).mapInArrow(count, kinds)
+    parts = docs.select(F.col(text_col).alias("text")).mapInArrow(count_words, kinds)
     summed = parts.repartition(_SLICES, "slice").mapInPandas(add, kinds).collect()
     df, n = np.zeros(SLOTS), 0
     for row in summed:
@@ -235,7 +237,7 @@ def sign(docs: DataFrame, idf: np.ndarray, id_col: str = "doc_id", text_col: str
     """Signature of every row (``SIGNATURES``); no bands where there are no words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text", 4 << 20):
+        for batch in chunks(batches, "text", STEP_BYTES):
             x = Weighted(batch.column("text"), idf)
             samples = signatures(x)
             keys = band_keys(samples)
@@ -255,7 +257,7 @@ def keyed(rows: DataFrame) -> DataFrame:
     """``rows`` (id, text) with the key of their word sequence."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text", 4 << 20):
+        for batch in chunks(batches, "text", STEP_BYTES):
             keys = Weighted(batch.column("text"), np.ones(SLOTS)).text_keys()
             yield pa.record_batch({"id": batch.column("id"), "text": batch.column("text"), "text_key": pa.array(keys, pa.binary())})
 

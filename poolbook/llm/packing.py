@@ -88,7 +88,7 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(vocabulary.values()) + 3, bool)  # ids that end a unit of letters
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.memo: dict[str, np.ndarray] = {}
+        self.memo: dict[str, bytes] = {}  # little-endian uint32
 
     def learn(self, units: list[str]) -> None:
         """Ids of units; those of letters only are encoded many to a text, which
@@ -96,13 +96,14 @@ class Encoder:
         plain = [u for u in units if u.isalpha() and unicodedata.is_normalized("NFC", u) and u.lower().isalpha()]
         for at in range(0, len(plain), 512):
             part = plain[at : at + 512]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(part) and cuts[-1] == len(ids):
-                self.memo.update(zip(part, np.split(ids, cuts[:-1])))
+                flat, at_byte = ids.tobytes(), (4 * cuts).tolist()
+                self.memo.update((u, flat[a:b]) for u, a, b in zip(part, [0, *at_byte], at_byte))
         rest = [u for u in units if u not in self.memo]
         for u, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
-            self.memo[u] = np.array(e.ids, np.uint32)
+            self.memo[u] = np.array(e.ids, "<u4").tobytes()
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows as uint32, count per row), without the final id."""
@@ -115,8 +116,8 @@ class Encoder:
             self.memo.clear()
         self.learn([w for w in names if w not in self.memo])
         own = [self.memo[w] for w in names]
-        size = np.array([len(x) for x in own], np.int64)
-        flat = np.concatenate(own) if own else np.zeros(0, np.uint32)
+        size = np.array([len(x) for x in own], np.int64) // 4
+        flat = np.frombuffer(b"".join(own), "<u4")
         begin = np.cumsum(size) - size
         code = coded.indices.to_numpy(zero_copy_only=False)
         n = size[code] if len(code) else np.zeros(0, np.int64)
@@ -139,7 +140,7 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vo
         encode = encoder(vocabulary or default_vocabulary())
         # of all attempts of a task only one's rows are committed
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for batch in chunks(batches, "text", 4 << 20):
+        for batch in chunks(batches, "text", 2 << 20):
             ids, count = encode.ids(batch.column("text"))
             at, out = 0, []
             for doc, n in zip(batch.column("id").to_pylist(), count.tolist()):
