@@ -183,18 +183,22 @@ def vault_arms(t: ChainTables, names=("swaps", "balance_changes", "managed", "in
 
 
 # ---- label sets (Q13-Q16) --------------------------------------------------
-def label_sets(t: ChainTables) -> dict[tuple[str, str], Callable[[], DataFrame]]:
-    """The pool-name label set of each (project, version) that has one."""
+def label_sets(t: ChainTables, join: str | None = None) -> dict[tuple[str, str], Callable[[], DataFrame]]:
+    """The pool-name label set of each (project, version) that has one.
+    ``join``: join hint for the lookups into the token dimension; the planner's choice without."""
+    def known() -> DataFrame:
+        return t("tokens") if join is None else t("tokens").hint(join)
+
     def pair(table: str, pool: str, token0: str, token1: str, key: tuple[str, str]):
-        return lambda: L.pair_labels(t(table), t("tokens"), pool, token0, token1, LABEL_PREFIX[key])
+        return lambda: L.pair_labels(t(table), known(), pool, token0, token1, LABEL_PREFIX[key])
 
     def bancor() -> DataFrame:
         events = t("bancor_liquidity_added").select("contract_address", F.col("_reserveToken").alias("reserve"))
-        return L.hub_labels(events, t("tokens"), "contract_address", "reserve", NATIVE_PLACEHOLDER, WRAPPED_NATIVE,
+        return L.hub_labels(events, known(), "contract_address", "reserve", NATIVE_PLACEHOLDER, WRAPPED_NATIVE,
                             BANCOR_HUB_TOKEN, LABEL_PREFIX[("Bancor", "2")], BANCOR_HUB_SYMBOL)
 
     sets = {
-        ("Uniswap", "1"): lambda: L.single_labels(t("uniswap_v1_exchanges"), t("tokens"), "exchange", "token",
+        ("Uniswap", "1"): lambda: L.single_labels(t("uniswap_v1_exchanges"), known(), "exchange", "token",
                                                   LABEL_PREFIX[("Uniswap", "1")], NATIVE_SYMBOL),
         ("Bancor", "2"): bancor,
     }
@@ -205,8 +209,12 @@ def label_sets(t: ChainTables) -> dict[tuple[str, str], Callable[[], DataFrame]]
 
 
 def pool_labels(t: ChainTables) -> DataFrame:
-    """All pool-name label sets of the reference, unioned (K3)."""
-    return L.union_labels(*[build() for build in label_sets(t).values()])
+    """All pool-name label sets of the reference, unioned (K3).
+
+    The token dimension grows with the registries, so at every size it is shuffled
+    once, for all lookups, and hashed by partition: it never passes whole through the
+    driver, and no registry is sorted (a sort spills where one token has most pools)."""
+    return L.union_labels(*[build() for build in label_sets(t, join="shuffle_hash").values()])
 
 
 # ---- one Sources record per exchange (Q1-Q9, Q17) --------------------------

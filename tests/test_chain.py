@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+from collections import Counter
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from poolbook.plans.config import JOBS, UNISWAP_V2_EXCLUDED_POOLS
 from poolbook.plans.jobs import build_window
 from poolbook.sources.chain import ChainTables, pool_labels, sources_for
+from tests.plan_util import plan_text
 
 # The reference's literal fixture: (token, pool) pairs of two pools.
 T_1INCH = bytes.fromhex("111111111117dc0aa78b770fa6a738034120c302")
@@ -111,6 +113,36 @@ def test_label_sets_on_chain_tables(spark, scratch):
     }
 
 
+def test_label_lookups_never_broadcast_the_tokens(spark, scratch):
+    """The token dimension grows: however small it is here, its lookups are hash joins
+    over shuffles, and repeated and null keys count as in any inner join."""
+    e = "token binary, exchange binary"
+    _write(spark, scratch, "uniswap.Factory_evt_NewExchange", [(T_888, P_A), (None, P_B), (T_888, P_A)], e)
+    pair = "token0 binary, token1 binary, pair binary"
+    _write(spark, scratch, "uniswap_v2.Factory_evt_PairCreated", [(T_1INCH, WETH, P_A), (T_1INCH, None, P_B), (T_888, WETH, None)], pair)
+    _write(spark, scratch, "uniswap_v3.Factory_evt_PoolCreated", [], "token0 binary, token1 binary, pool binary")
+    _write(spark, scratch, "sushi.Factory_evt_PairCreated", [], pair)
+    for q in ("mooniswap.MooniFactory_evt_Deployed", "onelp.MooniswapFactory_evt_Deployed"):
+        _write(spark, scratch, q, [], "token1 binary, token2 binary, mooniswap binary")
+    _write(spark, scratch, "bancor.StandardPoolConverter_evt_LiquidityAdded", [(P_B, T_888), (P_B, T_888), (P_B, T_1INCH)],
+           "contract_address binary, _reserveToken binary")
+    _write(spark, scratch, "erc20.tokens",
+           [(T_1INCH, "1INCH", 2), (T_1INCH, None, 2), (T_888, "888", 18), (T_888, "888", 18), (WETH, "WETH", 18), (None, "NONE", 1)],
+           "contract_address binary, symbol string, decimals int")
+    out = pool_labels(ChainTables(spark, base=scratch))
+    plan = plan_text(out, "simple")
+    assert "ShuffledHashJoin" in plan
+    assert "Broadcast" not in plan and "SortMergeJoin" not in plan
+    labels = Counter((r["address"] and bytes(r["address"]), r["label"]) for r in out.collect())
+    assert labels == {
+        (P_A, "Uni v1 LP 888 - ETH"): 4,
+        (P_A, "Uni v2 LP 1INCH - WETH"): 1,
+        (None, "Uni v2 LP 888 - WETH"): 2,
+        (P_B, "Bancor LP 888 - BNT"): 2,
+        (P_B, "Bancor LP 1INCH - BNT"): 1,
+    }
+
+
 def test_balancer_v2_by_pool_from_vault_events(spark, scratch):
     from poolbook.sources.chain import balancer_v2_window
 
